@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload is trigger-only batch (full refresh of core tables and marts);
+nothing in it reads a stream, keeps state across micro-batches or handles
+late data, so no Structured Streaming operator is built.  The batch jobs in
+``shopmart.plans.pipeline`` can be driven per file drop by any scheduler.
+"""
