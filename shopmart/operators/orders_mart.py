@@ -130,13 +130,25 @@ def active_drivers(order_drivers: DataFrame, orders_enriched: DataFrame) -> Data
 
 def orders_fact(orders_enriched: DataFrame, order_financials: DataFrame,
                 driver_stats: DataFrame) -> DataFrame:
-    """One row per dated order with money and status flags."""
+    """One row per dated order with money and status flags.
+
+    ``order_financials`` is either K12's output or ``order_item_totals``
+    (lines summed per order, order discount not yet applied); with the
+    latter the order discount is applied here and the orders are joined
+    only once.
+    """
     zero = F.lit(0).cast("decimal(1,0)")
+    fin = order_financials
     j = (orders_enriched
-         .join(order_financials, "order_id", "left")
+         .join(fin, "order_id", "left")
          .join(driver_stats.select("order_id", "has_driver_change"), "order_id", "left"))
+    if "_revenue_x100" in fin.columns:
+        revenue = money.numerator_to_amount(
+            F.col("_revenue_x100") * money.pct_factor("order_discount"))
+    else:
+        revenue = F.col("revenue_amount_items")
     gross = F.coalesce("gross_amount_items", zero)
-    revenue_items = F.coalesce("revenue_amount_items", zero)
+    revenue_items = F.coalesce(revenue, zero)
     delivered = F.col("delivered_at").isNotNull()
     canceled = F.col("canceled_at").isNotNull()
     flag = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
@@ -206,6 +218,5 @@ def build_dm_orders(orders: DataFrame, order_items: DataFrame, order_drivers: Da
                     stores: DataFrame) -> DataFrame:
     """Core tables → ``dm_orders``; store-less orders leave before any shuffle."""
     oe = orders_enriched(orders.filter(F.col("store_id").isNotNull()), stores)
-    fin = order_financials(order_items, oe)
-    fact = orders_fact(oe, fin, driver_stats(order_drivers))
+    fact = orders_fact(oe, order_item_totals(order_items), driver_stats(order_drivers))
     return dm_orders(fact, active_drivers(order_drivers, oe))

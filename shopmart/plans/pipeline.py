@@ -93,14 +93,10 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
 
 def marts(core: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Core tables → conformed ``dm_orders`` and ``dm_items`` (lazy)."""
-    oe = orders_mart.orders_enriched(core["orders"].filter(F.col("store_id").isNotNull()),
-                                     core["stores"])
-    dm_orders = orders_mart.dm_orders(
-        orders_mart.orders_fact(oe, orders_mart.order_financials(core["order_items"], oe),
-                                orders_mart.driver_stats(core["order_drivers"])),
-        orders_mart.active_drivers(core["order_drivers"], oe))
-    dm_items = items_mart.dm_items(items_mart.dm_items_base(core["order_items"], oe,
-                                                            core["items"]))
+    dm_orders = orders_mart.build_dm_orders(core["orders"], core["order_items"],
+                                            core["order_drivers"], core["stores"])
+    oe = orders_mart.orders_enriched(core["orders"], core["stores"])
+    dm_items = items_mart.build_dm_items(oe, core["order_items"], core["items"])
     return {"dm_orders": dm_orders, "dm_items": dm_items}
 
 
