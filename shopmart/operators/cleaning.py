@@ -3,6 +3,7 @@ de-duplication, dense surrogate keys."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -54,28 +55,32 @@ def dedupe_by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str]) -> DataFrame:
     """Add a dense 1..N key in ``order_cols`` order (NULLs first), as a sequence would.
 
-    Range-partition and sort on the order columns, materialise that once in
-    the session's checkpoint folder, count rows per partition, turn the
-    counts (one row per partition) into starting offsets, and add each row's
-    position inside its partition.  No step gathers the data in one task;
-    the checkpoint pins the partition layout so every use sees the same keys.
+    Range-partition and sort on the order columns and write that layout,
+    with each row's partition and position, as parquet into the session's
+    checkpoint folder (cutting the lineage, so a lost executor cannot shift
+    keys).  Counting rows per partition then reads two columns; the counts
+    (one row per partition) become starting offsets that are broadcast back.
+    No step gathers the data in one task.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    path = f"{folder.rstrip('/')}/shopmart-seq-{name}-{uuid.uuid4().hex}"
     order_cols = list(order_cols)
     ordered = [F.col(c).asc_nulls_first() for c in order_cols]
-    laid_out = (df.repartitionByRange(*ordered)
-                .sortWithinPartitions(*ordered)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()))
-    laid_out = laid_out.checkpoint(eager=True)
-
-    counts = laid_out.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
-                                          F.min("_pos").alias("_first"))
+    (df.repartitionByRange(*ordered)
+     .sortWithinPartitions(*ordered)
+     .withColumn("_pid", F.spark_partition_id())
+     .withColumn("_pos", F.monotonically_increasing_id())
+     .write.parquet(path))
+    staged = spark.read.parquet(path)
+
+    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
+                                        F.min("_pos").alias("_first"))
     # One row per partition, so a single-partition window here is bounded.
     offsets = counts.select(
         "_pid", "_first",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    return (laid_out.join(F.broadcast(offsets), "_pid")
+    return (staged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.col("_offset") + F.col("_pos") - F.col("_first") + F.lit(1))
             .drop("_pid", "_pos", "_first", "_offset"))
