@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, FOREIGN_KEYS, LOAD_ORDER, RAW, conform
 from shopmart.operators import items_mart, normalize, orders_mart, quality
 from shopmart.operators.cleaning import fill_defaults, with_surrogate_key
-from shopmart.sources.io import Target, read_table, write_table
+from shopmart.sources.io import Target, read_files, read_table, write_table
 
 SEQUENCE_KEYS = {
     "order_items": ("order_item_sk", normalize.ORDER_ITEM_COLUMNS),
@@ -86,6 +86,26 @@ def core_violations(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return v
 
 
+def run_extract(spark: SparkSession, raw_glob: str, staging: Target,
+                raw_name: str = "raw") -> RunResult:
+    """Copy the raw parquet files (path or glob) into staging, schema-checked."""
+    result = RunResult()
+    _write_counted(read_files(spark, raw_glob, RAW.schema), staging, raw_name, result)
+    return result
+
+
+def truncate_children_first(spark: SparkSession, target: Target) -> None:
+    """Empty the core tables of a JDBC target, children before parents.
+
+    An overwrite of an empty frame with ``truncate`` issues TRUNCATE and
+    keeps the table; pass ``cascadeTruncate="true"`` in the target options
+    where the database supports it.
+    """
+    for name in reversed(LOAD_ORDER):
+        empty = spark.createDataFrame([], CORE[name].schema)
+        write_table(empty, target, name, mode="overwrite")
+
+
 def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Target,
             raw_name: str = "raw", violations_target: Target | None = None,
             workers: int = 4) -> RunResult:
@@ -103,10 +123,14 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
     filled = fill_defaults(raw)
     result = RunResult()
 
+    jdbc = core_target.kind == "jdbc"
+    if jdbc:
+        truncate_children_first(spark, core_target)
+
     def load(name):
-        return lambda: _write_counted(core_table(filled, name), core_target, name, result)
-    run_concurrently({name: load(name) for name in LOAD_ORDER},
-                     1 if core_target.kind == "jdbc" else workers)
+        return lambda: _write_counted(core_table(filled, name), core_target, name, result,
+                                      mode="append" if jdbc else "overwrite")
+    run_concurrently({name: load(name) for name in LOAD_ORDER}, 1 if jdbc else workers)
     written = {name: read_table(spark, core_target, name, schema=CORE[name].schema)
                for name in CORE}
     result.violations = core_violations(written)

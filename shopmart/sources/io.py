@@ -13,8 +13,10 @@ constraints and grants stay) with parallel connections per partition.
 
 from __future__ import annotations
 
+import os
 import time
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -42,6 +44,25 @@ class Target:
         return Target("jdbc", url, options=options)
 
 
+def jdbc_target_from_env(env=None, prefix: str = "POSTGRES_") -> Target:
+    """A PostgreSQL JDBC target from ``{prefix}USER/PASSWORD/HOST/INTERNAL_PORT/DB``.
+
+    Defaults: user and password ``postgres``, host ``postgres``, port 5432,
+    database ``postgres``; the driver class is the PostgreSQL one.
+    """
+    env = os.environ if env is None else env
+    get = lambda k, d: env.get(prefix + k, d)
+    url = "jdbc:postgresql://%s:%s/%s" % (get("HOST", "postgres"), get("INTERNAL_PORT", "5432"),
+                                           quote(get("DB", "postgres")))
+    return Target.jdbc(url, user=get("USER", "postgres"), password=get("PASSWORD", "postgres"),
+                       driver="org.postgresql.Driver")
+
+
+def read_files(spark: SparkSession, path_or_glob: str, schema: T.StructType) -> DataFrame:
+    """Scan parquet files by path or glob (``…/raw/*.parquet``) with a declared schema."""
+    return spark.read.schema(schema).parquet(path_or_glob)
+
+
 def _path(target: Target, name: str) -> str:
     return f"{target.location}/{name}"
 

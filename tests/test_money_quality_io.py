@@ -112,3 +112,25 @@ def test_run_etl_and_marts_end_to_end(spark, tmp_path):
     sk = read_table(spark, core, "order_items").agg(F.min("order_item_sk"), F.max("order_item_sk"),
                                                      F.countDistinct("order_item_sk")).first()
     assert tuple(sk) == (1, 6000, 6000)
+
+
+def test_run_etl_into_jdbc_parents_first(spark, tmp_path):
+    raw_dir = tmp_path / "raw"
+    raw_order_lines(spark, SF_SMALL).write.parquet(str(raw_dir))
+    stage = Target.parquet(str(tmp_path / "stage"), versioned=False)
+    ext = pipeline.run_extract(spark, f"{raw_dir}/*.parquet", stage)
+    assert ext.rows == {"raw": 6027}
+    db = Target.jdbc("jdbc:derby:memory:core_etl;create=true",
+                     driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    first = pipeline.run_etl(spark, stage, db)
+    again = pipeline.run_etl(spark, stage, db)          # full refresh, not doubled
+    assert first.rows == again.rows
+    assert read_table(spark, db, "orders").count() == 1484
+    assert read_table(spark, db, "order_items").count() == 6000
+
+
+def test_jdbc_target_from_env():
+    from shopmart.sources.io import jdbc_target_from_env
+    t = jdbc_target_from_env({"POSTGRES_HOST": "db", "POSTGRES_DB": "shop", "POSTGRES_USER": "u"})
+    assert t.location == "jdbc:postgresql://db:5432/shop"
+    assert t.options["user"] == "u" and t.options["driver"] == "org.postgresql.Driver"

@@ -172,3 +172,36 @@ def test_item_fact_matches_base(spark):
                                   F.col("item_gross_amount").alias("g"),
                                   F.col("orders_with_item_cnt").cast("bigint").alias("n"))
     assert via_lines.exceptAll(base).count() == 0 and base.exceptAll(via_lines).count() == 0
+
+
+def test_hot_order_store_and_item(spark):
+    """A third of all lines on one order, store and item: same marts as the line-level fact."""
+    rows = [line(1, item_id=1, item_quantity=1 + i % 3, item_canceled_quantity=i % 2,
+                 item_price=Decimal("3.35"), item_discount=Decimal("12.50"),
+                 order_discount=Decimal("10.00"), driver_id=100 + i % 5) for i in range(300)]
+    rows += [line(2 + i, item_id=2 + i % 40, store_id=2 + i % 7,
+                  store_address=f"Main st, R , S{i % 7}", address_text=None,
+                  item_quantity=1 + i % 4, item_price=Decimal("1.99") + i,
+                  created_at=datetime(2024, 1 + i % 12, 1 + i % 28, 8),
+                  user_id=20 + i % 50, driver_id=7 + i % 9) for i in range(600)]
+    raw = fill_defaults(raw_rows(spark, rows)).repartition(5)
+    t = core_tables(raw)
+    got = marts(t)
+    oe = orders_mart.orders_enriched(t["orders"], t["stores"]).filter(F.col("store_id").isNotNull())
+    fact = items_mart.item_fact(t["order_items"], oe, t["items"])
+    brute = (fact.groupBy("report_date", "city", "store_id", "item_id")
+             .agg(F.sum("item_quantity").cast("int").alias("q"),
+                  F.countDistinct("order_id").cast("int").alias("n"),
+                  F.sum("has_item_cancellation").cast("int").alias("c"),
+                  F.sum("item_gross_amount_calc").cast("decimal(18,2)").alias("g")))
+    mart = got["dm_items"].select("report_date", "city", "store_id", "item_id",
+                                  F.col("ordered_quantity").alias("q"),
+                                  F.col("orders_with_item_cnt").alias("n"),
+                                  F.col("orders_with_item_cancellation_cnt").alias("c"),
+                                  F.col("item_gross_amount").alias("g"))
+    assert brute.exceptAll(mart).count() == 0 and mart.exceptAll(brute).count() == 0
+    hot = got["dm_orders"].filter("store_id = 1").first()
+    assert hot.active_drivers_cnt == 5 + 0 and hot.orders_created_cnt == 1
+    lines = orders_mart.order_lines(t["order_items"], oe).filter("order_id = 1")
+    revenue = lines.agg(F.sum("revenue_line_amount")).first()[0] + Decimal("5.00")
+    assert hot.revenue_amount == revenue.quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
