@@ -1,0 +1,105 @@
+"""The eight reports as Spark SQL over the views ``dm_orders`` and ``dm_items``.
+
+For users who query the marts in SQL.  Same results as
+``shopmart.operators.reports`` (tested): averages and percentages divide
+exact decimals with enough digits that one ``ROUND`` decides exactly, and
+ties at the top-10 cut are broken by the group key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _mean2(col: str, scale: int) -> str:
+    return (f"CAST(ROUND(CAST(SUM({col}) AS DECIMAL(27,{scale})) / "
+            f"CAST(COUNT({col}) AS DECIMAL(10,0)), 2) AS DECIMAL(18,2))")
+
+
+def _pct(part: str, whole: str) -> str:
+    return (f"CAST(ROUND(CAST(100 * {part} AS DECIMAL(19,0)) / "
+            f"CAST(NULLIF({whole}, 0) AS DECIMAL(18,0)), 2) AS DECIMAL(18,2))")
+
+
+STORE = "city, store_id, store_address"
+STORE_TIES = "city ASC NULLS FIRST, store_id ASC NULLS FIRST, store_address ASC NULLS FIRST"
+ITEM = "item_id, item_title, item_category"
+ITEM_TIES = "item_id ASC NULLS FIRST, item_title ASC NULLS FIRST, item_category ASC NULLS FIRST"
+
+REPORT_SQL = {
+    "q1_weekday_totals": """
+SELECT dayofweek(report_date) - 1 AS day_of_week_num,
+       date_format(report_date, 'EEEE') AS day_of_week,
+       SUM(gross_amount) AS total_gross,
+       SUM(revenue_amount) AS total_revenue,
+       SUM(profit_amount) AS total_profit
+FROM dm_orders
+GROUP BY 1, 2
+ORDER BY day_of_week_num""",
+    "q2_monthly_buyers": f"""
+SELECT report_year, report_month,
+       {_mean2('avg_check_amount', 2)} AS avg_check,
+       {_mean2('orders_per_buyer', 4)} AS avg_orders_per_buyer,
+       {_mean2('revenue_per_buyer', 2)} AS avg_revenue_per_buyer
+FROM dm_orders
+GROUP BY report_year, report_month
+ORDER BY report_year, report_month""",
+    "q3_best_check_stores": f"""
+SELECT {STORE}, {_mean2('avg_check_amount', 2)} AS avg_check
+FROM dm_orders
+GROUP BY {STORE}
+ORDER BY avg_check DESC NULLS FIRST, {STORE_TIES}
+LIMIT 10""",
+    "q4_driver_change_rate": f"""
+SELECT {STORE},
+       SUM(orders_created_cnt) AS total_orders,
+       SUM(orders_with_driver_change_cnt) AS driver_changed_orders,
+       {_pct('SUM(orders_with_driver_change_cnt)', 'SUM(orders_created_cnt)')}
+         AS driver_change_rate_pct
+FROM dm_orders
+GROUP BY {STORE}
+HAVING SUM(orders_created_cnt) > 0
+ORDER BY driver_change_rate_pct DESC NULLS FIRST, driver_changed_orders DESC NULLS FIRST,
+         {STORE_TIES}
+LIMIT 10""",
+    "q5_category_turnover": """
+SELECT item_category, SUM(item_gross_amount) AS total_gross
+FROM dm_items
+GROUP BY item_category
+ORDER BY total_gross DESC NULLS FIRST, item_category ASC NULLS FIRST""",
+    "q6_most_canceled_items": f"""
+SELECT {ITEM}, SUM(canceled_quantity) AS total_canceled_quantity
+FROM dm_items
+GROUP BY {ITEM}
+ORDER BY total_canceled_quantity DESC NULLS FIRST, {ITEM_TIES}
+LIMIT 10""",
+    "q7_item_cancel_rate": f"""
+SELECT {ITEM},
+       SUM(ordered_quantity) AS total_ordered,
+       SUM(canceled_quantity) AS total_canceled,
+       {_pct('SUM(canceled_quantity)', 'SUM(ordered_quantity)')} AS cancel_rate_pct
+FROM dm_items
+GROUP BY {ITEM}
+HAVING SUM(ordered_quantity) >= 100
+ORDER BY cancel_rate_pct DESC NULLS FIRST, total_canceled DESC NULLS FIRST, {ITEM_TIES}
+LIMIT 10""",
+    "q8_item_order_cancel_rate": f"""
+SELECT {ITEM},
+       SUM(orders_with_item_cnt) AS total_orders_with_item,
+       SUM(orders_with_item_cancellation_cnt) AS canceled_orders_with_item,
+       {_pct('SUM(orders_with_item_cancellation_cnt)', 'SUM(orders_with_item_cnt)')}
+         AS cancellation_rate_pct
+FROM dm_items
+GROUP BY {ITEM}
+HAVING SUM(orders_with_item_cnt) >= 50
+ORDER BY cancellation_rate_pct DESC NULLS FIRST, {ITEM_TIES}
+LIMIT 10""",
+}
+
+
+def run_report_sql(spark: SparkSession, name: str, dm_orders: DataFrame,
+                   dm_items: DataFrame) -> DataFrame:
+    """Register the marts as temporary views and run report ``name`` in SQL."""
+    dm_orders.createOrReplaceTempView("dm_orders")
+    dm_items.createOrReplaceTempView("dm_items")
+    return spark.sql(REPORT_SQL[name])

@@ -55,3 +55,36 @@ def test_fixture_broadcasts_only_the_bounded_part_slice(spark):
     p = plan(raw_order_lines(spark, SF_SMALL))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(p_partkey,0\)", p)
     assert "BroadcastExchange" in p
+
+
+def test_sql_reports_equal_dataframe_reports(spark, core):
+    from shopmart.operators import reports
+    from shopmart.plans.report_sql import run_report_sql
+    m = pipeline.marts(core)
+    dm = {k: v.cache() for k, v in m.items()}
+    for name, (source, fn) in reports.REPORTS.items():
+        a = fn(dm[source])
+        b = run_report_sql(spark, name, dm["dm_orders"], dm["dm_items"])
+        assert a.columns == b.columns, name
+        assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()], name
+
+
+def test_cli_jobs(spark, tmp_path):
+    import json
+    from contextlib import redirect_stdout
+    from shopmart.cli import main
+    raw = tmp_path / "raw"
+    raw_order_lines(spark, SF_SMALL).write.parquet(str(raw))
+    outs = []
+    for argv in (["extract", "--raw", f"{raw}/*.parquet", "--stage", str(tmp_path / "st")],
+                 ["etl", "--stage", str(tmp_path / "st"), "--core", str(tmp_path / "core")],
+                 ["marts", "--core", str(tmp_path / "core"), "--dm", str(tmp_path / "dm"),
+                  "--partition-by-month"],
+                 ["report", "q1_weekday_totals", "--dm", str(tmp_path / "dm")]):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            assert main(argv) == 0
+        outs.append(json.loads(buf.getvalue().strip().splitlines()[-1]))
+    assert outs[0]["rows"] == {"raw": 6027}
+    assert outs[2]["rows"] == {"dm_orders": 1437, "dm_items": 5726}
+    assert len(outs[3]["rows"]) == 7
