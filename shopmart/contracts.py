@@ -178,11 +178,14 @@ DM_ITEMS = Contract("dm_items", (
 MARTS = {c.name: c for c in (DM_ORDERS, DM_ITEMS)}
 
 # Mart money and counters default to 0 when the column is missing.
+_MART_ZERO = ("gross_amount", "revenue_amount", "profit_amount", "orders_created_cnt",
+              "orders_delivered_cnt", "orders_canceled_cnt", "orders_canceled_after_delivery_cnt",
+              "orders_canceled_service_fault_cnt", "buyers_cnt", "avg_check_amount",
+              "orders_per_buyer", "revenue_per_buyer", "orders_with_driver_change_cnt",
+              "active_drivers_cnt", "item_gross_amount", "ordered_quantity", "canceled_quantity",
+              "orders_with_item_cnt", "orders_with_item_cancellation_cnt")
 for _mart in MARTS.values():
-    for _c, _t in _mart.columns:
-        if isinstance(_t, (T.DecimalType, T.IntegerType)) and not _c.startswith("report_") \
-                and not _c.endswith("_rank") and _c not in ("store_id", "item_id"):
-            _mart.defaults[_c] = 0
+    _mart.defaults.update({c: 0 for c in _mart.names if c in _MART_ZERO})
 
 
 def conform(df: DataFrame, contract: Contract, audit: bool = False) -> DataFrame:
