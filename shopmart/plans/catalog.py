@@ -16,14 +16,10 @@ from pyspark.sql import functions as F
 
 from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, FOREIGN_KEYS, present
 from shopmart.operators import items_mart, normalize, orders_mart, quality, reports
-from shopmart.operators.cleaning import fill_defaults, with_surrogate_key
+from shopmart.operators.cleaning import fill_defaults
+from shopmart.plans.pipeline import SEQUENCE_KEYS, core_table
 from shopmart.sources.fixture import raw_order_lines
 
-SK_ORDER = {
-    "order_items": ("order_item_sk", normalize.ORDER_ITEM_COLUMNS),
-    "order_drivers": ("order_driver_sk", ("order_id", "driver_id")),
-}
-
 
 class Lineage:
     """Lazily built frames of the whole pipeline for one source folder."""
@@ -45,12 +41,8 @@ class Lineage:
         return normalize.CORE_BUILDERS[name](self.filled)
 
     def core_with_keys(self, name: str) -> DataFrame:
-        """Core table with its sequence key, when it has one (K9)."""
-        df = self.core(name)
-        if name in SK_ORDER:
-            key, order = SK_ORDER[name]
-            df = with_surrogate_key(df, key, order).select(*CORE[name].names)
-        return df
+        """Core table in contract shape, with its sequence key when it has one (K9)."""
+        return core_table(self.filled, name)
 
     @cached_property
     def orders_enriched(self) -> DataFrame:
@@ -84,8 +76,14 @@ def _report_query(fn, mart):
 
 def _unique_query(table, key):
     def build(L):
-        df = L.mart(table) if table.startswith("dm_") else (
-            L.filled if table == "raw" else L.core(table))
+        if table.startswith("dm_"):
+            df = L.mart(table)
+        elif table == "raw":
+            df = L.filled
+        elif table in SEQUENCE_KEYS and key == (SEQUENCE_KEYS[table][0],):
+            df = L.core_with_keys(table)
+        else:
+            df = L.core(table)
         return quality.check_unique(df, key, allow_null=(table == "raw"))
     return build
 
@@ -137,6 +135,8 @@ def _build_registry() -> dict[str, Callable[[Lineage], DataFrame]]:
     r["check_not_null_marts"] = _not_null_marts
     for table in ("users", "stores", "drivers", "items", "orders"):
         r[f"check_unique_{table}"] = _unique_query(table, CORE[table].key)
+    r["check_unique_order_items_sk"] = _unique_query("order_items", ("order_item_sk",))
+    r["check_unique_order_drivers_sk"] = _unique_query("order_drivers", ("order_driver_sk",))
     r["check_unique_order_drivers_pair"] = _unique_query("order_drivers", ("order_id", "driver_id"))
     r["check_unique_raw_order_item"] = _unique_query("raw", ("order_id", "item_id"))
     r["check_unique_dm_orders"] = _unique_query("dm_orders", DM_ORDERS.key)

@@ -37,6 +37,8 @@ COLUMNS = {
     'check_unique_drivers': ['driver_id', 'n_rows'],
     'check_unique_items': ['item_id', 'n_rows'],
     'check_unique_orders': ['order_id', 'n_rows'],
+    'check_unique_order_items_sk': ['order_item_sk', 'n_rows'],
+    'check_unique_order_drivers_sk': ['order_driver_sk', 'n_rows'],
     'check_unique_order_drivers_pair': ['order_id', 'driver_id', 'n_rows'],
     'check_unique_raw_order_item': ['order_id', 'item_id', 'n_rows'],
     'check_unique_dm_orders': ['report_date', 'city', 'store_id', 'n_rows'],

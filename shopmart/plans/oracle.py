@@ -389,6 +389,8 @@ def _bodies() -> dict[str, str]:
     for t, key in (("users", ["user_id"]), ("stores", ["store_id"]), ("drivers", ["driver_id"]),
                    ("items", ["item_id"]), ("orders", ["order_id"])):
         b[f"check_unique_{t}"] = _unique(t, key)
+    b["check_unique_order_items_sk"] = _unique("order_items_sk", ["order_item_sk"])
+    b["check_unique_order_drivers_sk"] = _unique("order_drivers_sk", ["order_driver_sk"])
     b["check_unique_order_drivers_pair"] = _unique("order_drivers", ["order_id", "driver_id"])
     b["check_unique_raw_order_item"] = _unique("filled", ["order_id", "item_id"], True)
     b["check_unique_dm_orders"] = _unique("dm_orders", ["report_date", "city", "store_id"])
