@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from shopmart.contracts import DM_ITEMS, conform
 from shopmart.functions import money
 from shopmart.functions.dates import iso_week
+from shopmart.functions.dates import iso_year as iso_year_of
 from shopmart.operators.orders_mart import fill_line_defaults
 
 ORDER_ATTRS = ("order_id", "store_id", "store_address", "city", "report_date", "report_year",
@@ -100,7 +101,8 @@ RANK_SPECS = {
 RANK_PARTITION = ("report_year", "city", "store_id")
 
 
-def rank_window(period: tuple[str, ...], descending: bool) -> Window:
+def rank_window(period: tuple[str, ...], descending: bool,
+                group: tuple[str, ...] = RANK_PARTITION) -> Window:
     """Rank within (period, report_year, city, store); ties → item_id, then day.
 
     Including report_year in the daily key changes no group (the date fixes
@@ -112,15 +114,29 @@ def rank_window(period: tuple[str, ...], descending: bool) -> Window:
     order = [q.desc() if descending else q.asc(), F.col("item_id").asc()]
     if period != ("report_date",):
         order.append(F.col("report_date").asc())
-    return Window.partitionBy(*period, *RANK_PARTITION).orderBy(*order)
+    return Window.partitionBy(*period, *group).orderBy(*order)
 
 
-def dm_items(base: DataFrame) -> DataFrame:
-    """Add the six popularity ranks and conform to the mart contract."""
-    ranked = (base.filter(F.col("store_id").isNotNull())
-              .repartition(*RANK_PARTITION)
-              .withColumns({name: F.row_number().over(rank_window(period, desc))
-                            for name, (period, desc) in RANK_SPECS.items()}))
+def dm_items(base: DataFrame, iso_year: bool = False) -> DataFrame:
+    """Add the six popularity ranks and conform to the mart contract.
+
+    Weekly ranks group by calendar ``report_year`` and ISO ``report_week``
+    (so 2024-12-30, ISO week 1 of 2025, joins week 1 of 2024).  With
+    ``iso_year=True`` they group by the ISO week-numbering year instead;
+    that key is not inside (report_year, city, store), so the weekly ranks
+    then take a second exchange.
+    """
+    ranked = base.filter(F.col("store_id").isNotNull()).repartition(*RANK_PARTITION)
+    specs = dict(RANK_SPECS)
+    if iso_year:
+        ranked = ranked.withColumn("_iso_year", iso_year_of("report_date"))
+        weekly = {n: specs.pop(n) for n in list(specs) if n.startswith("weekly")}
+    ranked = ranked.withColumns({name: F.row_number().over(rank_window(period, desc))
+                                 for name, (period, desc) in specs.items()})
+    if iso_year:
+        group = ("_iso_year", "city", "store_id")
+        ranked = ranked.withColumns({name: F.row_number().over(rank_window(period, desc, group))
+                                     for name, (period, desc) in weekly.items()})
     return conform(ranked, DM_ITEMS)
 
 

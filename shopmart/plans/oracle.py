@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import re
 
+from shopmart.functions.text import SERVICE_FAULT_PATTERN, UNKNOWN_CITY
+
 # ---------------------------------------------------------------- helpers
 
 def _ratio(num: str, num_scale: int, den: str, out_scale: int) -> str:
@@ -82,7 +84,7 @@ NUM_LINE = (f"(CAST(GREATEST(item_quantity - item_canceled_quantity, 0) AS DECIM
             f"* {_pct('order_discount')})")
 NUM_ITEM = (f"(CAST(item_quantity AS DECIMAL(10,0)) * CAST(item_price AS DECIMAL(12,2)) "
             f"* {_pct('item_discount')} * {_pct('order_discount')})")
-FAULT = "service|сервис|курьер|driver|store|shop|магазин|delivery|доставка"
+FAULT = SERVICE_FAULT_PATTERN
 
 CTES: dict[str, str] = {
     "raw_src": FIXTURE,
@@ -129,8 +131,8 @@ WHERE order_id IS NOT NULL AND driver_id IS NOT NULL""",
  item_replaced_id NULLS FIRST) AS order_item_sk, * FROM order_items""",
     "order_drivers_sk": """SELECT row_number() OVER (ORDER BY order_id NULLS FIRST,
  driver_id NULLS FIRST) AS order_driver_sk, * FROM order_drivers""",
-    "orders_enriched": """SELECT o.order_id, o.user_id, o.store_id, s.store_address,
- COALESCE(o.delivery_city, s.store_city, 'UNKNOWN') AS city, o.created_at, o.delivered_at,
+    "orders_enriched": f"""SELECT o.order_id, o.user_id, o.store_id, s.store_address,
+ COALESCE(o.delivery_city, s.store_city, '{UNKNOWN_CITY}') AS city, o.created_at, o.delivered_at,
  o.canceled_at, o.order_cancellation_reason,
  CAST(COALESCE(o.order_discount, 0) AS DECIMAL(5,2)) AS order_discount,
  CAST(COALESCE(o.delivery_cost, 0) AS DECIMAL(12,2)) AS delivery_cost,

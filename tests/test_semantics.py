@@ -205,3 +205,18 @@ def test_hot_order_store_and_item(spark):
     lines = orders_mart.order_lines(t["order_items"], oe).filter("order_id = 1")
     revenue = lines.agg(F.sum("revenue_line_amount")).first()[0] + Decimal("5.00")
     assert hot.revenue_amount == revenue.quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
+
+
+def test_weekly_rank_iso_year_option(spark):
+    raw = fill_defaults(raw_rows(spark, [
+        line(1, item_id=1, item_quantity=1, created_at=datetime(2024, 12, 30, 9)),  # ISO 2025-W01
+        line(2, item_id=2, item_quantity=5, created_at=datetime(2024, 1, 2, 9)),    # ISO 2024-W01
+    ]))
+    t = core_tables(raw)
+    oe = orders_mart.orders_enriched(t["orders"], t["stores"])
+    base = items_mart.dm_items_base(t["order_items"], oe, t["items"])
+    calendar = {r.item_id: r.weekly_popularity_rank for r in items_mart.dm_items(base).collect()}
+    iso = {r.item_id: r.weekly_popularity_rank
+           for r in items_mart.dm_items(base, iso_year=True).collect()}
+    assert calendar == {2: 1, 1: 2}      # both in (2024, week 1)
+    assert iso == {2: 1, 1: 1}           # different ISO years
