@@ -74,7 +74,9 @@ def main() -> None:
     spark = local_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           app_name="shopmart-bench")
     work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(f"{work}/checkpoints")
+    if not (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(f"{work}/checkpoints")
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     cold = None
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):

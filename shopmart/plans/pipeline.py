@@ -106,9 +106,27 @@ def truncate_children_first(spark: SparkSession, target: Target) -> None:
         write_table(empty, target, name, mode="overwrite")
 
 
+class ConstraintViolation(ValueError):
+    """Raised by ``run_etl(..., fail_on_violation=True)``; carries the counts."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__("core constraints violated: " + ", ".join(
+            f"{k}={v}" for k, v in sorted(counts.items())))
+        self.counts = counts
+
+
+def violation_counts(violations: dict[str, DataFrame], workers: int = 4) -> dict[str, int]:
+    """Rows per violations frame (NOT NULL frames: the summed null rows)."""
+    def count(name, df):
+        if name.startswith("not_null_"):
+            return lambda: int(df.agg(F.sum("null_rows")).first()[0] or 0)
+        return df.count
+    return run_concurrently({n: count(n, df) for n, df in violations.items()}, workers)
+
+
 def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Target,
             raw_name: str = "raw", violations_target: Target | None = None,
-            workers: int = 4) -> RunResult:
+            workers: int = 4, fail_on_violation: bool = False) -> RunResult:
     """Raw order lines → seven core tables; constraint report.
 
     ``raw_source`` is a target holding ``raw_name`` (read with the declared
@@ -117,6 +135,9 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
     except into JDBC, where parents are loaded before children so that
     database foreign keys hold.  Checks run over the tables just written,
     so they re-read compact parquet instead of recomputing the split.
+    With ``fail_on_violation`` the job raises ``ConstraintViolation`` when
+    any check finds a row, as a database with enforced constraints would
+    reject the load; by default violations are only reported.
     """
     raw = raw_source if isinstance(raw_source, DataFrame) else \
         read_table(spark, raw_source, raw_name, schema=RAW.schema)
@@ -137,6 +158,10 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
     if violations_target is not None:
         run_concurrently({name: (lambda n=name, df=df: write_table(df, violations_target, n))
                           for name, df in result.violations.items()}, workers)
+    if fail_on_violation:
+        bad = {k: v for k, v in violation_counts(result.violations, workers).items() if v}
+        if bad:
+            raise ConstraintViolation(bad)
     return result
 
 

@@ -24,7 +24,7 @@ REQUIRED_CONF = {
 
 
 def local_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "shopmart") -> SparkSession:
+                  app_name: str = "shopmart", extra_conf: dict | None = None) -> SparkSession:
     """A local session for tests and the benchmark (UI off, no server)."""
     master = master or os.environ.get("SHOPMART_MASTER", "local[*]")
     builder = (
@@ -35,27 +35,41 @@ def local_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("SHOPMART_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in REQUIRED_CONF.items():
+    for key, value in {**REQUIRED_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset.
+    """The shared folder for lineage-cutting tables: ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is; a machine-local temporary folder is only made for local runs.
+    Read from the session (config first, then the context's checkpoint
+    folder).  Only when it is unset and the master is local is a temporary
+    folder made — never on a cluster, where a machine-local folder would not
+    be shared.  Works on classic and Connect sessions.
     """
-    sc = spark.sparkContext
-    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
+        return configured
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="shopmart-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+    master = spark.conf.get("spark.master", "") or ""
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
+    key = master + (sc.applicationId if sc is not None else "")
+    if key not in _LOCAL_FOLDERS:
+        path = tempfile.mkdtemp(prefix="shopmart-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            path = sc.getCheckpointDir()
+        _LOCAL_FOLDERS[key] = path
+    return _LOCAL_FOLDERS[key]

@@ -12,7 +12,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    s = local_session(master="local[*]", shuffle_partitions=8, app_name="shopmart-tests")
-    s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    s = local_session(master="local[*]", shuffle_partitions=8, app_name="shopmart-tests",
+                      extra_conf={"spark.sql.warehouse.dir": warehouse})
+    # Use the session's shared checkpoint folder; name one only if it is unset.
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()

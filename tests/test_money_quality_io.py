@@ -134,3 +134,18 @@ def test_jdbc_target_from_env():
     t = jdbc_target_from_env({"POSTGRES_HOST": "db", "POSTGRES_DB": "shop", "POSTGRES_USER": "u"})
     assert t.location == "jdbc:postgresql://db:5432/shop"
     assert t.options["user"] == "u" and t.options["driver"] == "org.postgresql.Driver"
+
+
+def test_fail_on_violation_and_catalog_target(spark, tmp_path):
+    import pytest as _pytest
+    stage = Target.parquet(str(tmp_path / "stage"), versioned=False)
+    write_table(raw_order_lines(spark, SF_SMALL), stage, "raw")
+    with _pytest.raises(pipeline.ConstraintViolation) as err:
+        pipeline.run_etl(spark, stage, Target.parquet(str(tmp_path / "core")),
+                         fail_on_violation=True)
+    assert err.value.counts["fk_order_items_order"] == 67
+    assert "unique_orders" not in err.value.counts
+    spark.sql("CREATE DATABASE IF NOT EXISTS shopmart_test")
+    cat = Target.table("shopmart_test")
+    write_table(read_table(spark, Target.parquet(str(tmp_path / "core")), "users"), cat, "users")
+    assert read_table(spark, cat, "users").count() == 150

@@ -48,7 +48,9 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(shuffle_partitions=16)
     work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(f"{work}/ckpt")
+    if not (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(f"{work}/ckpt")
     stage = Target.parquet(f"{work}/stage", versioned=False)
     write_table(raw_order_lines(spark, sf_dir), stage, "raw")
     raw = read_table(spark, stage, "raw", schema=RAW.schema)
