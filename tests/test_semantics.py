@@ -220,3 +220,20 @@ def test_weekly_rank_iso_year_option(spark):
            for r in items_mart.dm_items(base, iso_year=True).collect()}
     assert calendar == {2: 1, 1: 2}      # both in (2024, week 1)
     assert iso == {2: 1, 1: 1}           # different ISO years
+
+
+def test_top10_tie_at_the_cut_is_broken_by_key(spark):
+    from shopmart.operators import reports
+    rows = [(date(2024, 1, 1), "c", i, f"s{i}", Decimal("10.00")) for i in range(12, 0, -1)]
+    dm = spark.createDataFrame(rows, "report_date date, city string, store_id bigint, "
+                                     "store_address string, avg_check_amount decimal(18,2)")
+    for n in (1, 4):
+        top = reports.q3_best_check_stores(dm.repartition(n)).collect()
+        assert [r.store_id for r in top] == list(range(1, 11))
+
+
+def test_fill_defaults_replaces_nan_in_float_columns(spark):
+    df = spark.createDataFrame([(float("nan"), None, 1.5)], "item_discount double, "
+                               "item_canceled_quantity int, delivery_cost double")
+    out = fill_defaults(df, ["item_discount", "item_canceled_quantity", "delivery_cost"]).first()
+    assert (out.item_discount, out.item_canceled_quantity, out.delivery_cost) == (0.0, 0, 1.5)
