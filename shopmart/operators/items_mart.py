@@ -117,7 +117,7 @@ def rank_window(period: tuple[str, ...], descending: bool,
     return Window.partitionBy(*period, *group).orderBy(*order)
 
 
-def dm_items(base: DataFrame, iso_year: bool = False) -> DataFrame:
+def dm_items(base: DataFrame, iso_year: bool = False, shared_exchange: bool = True) -> DataFrame:
     """Add the six popularity ranks and conform to the mart contract.
 
     Weekly ranks group by calendar ``report_year`` and ISO ``report_week``
@@ -125,8 +125,16 @@ def dm_items(base: DataFrame, iso_year: bool = False) -> DataFrame:
     ``iso_year=True`` they group by the ISO week-numbering year instead;
     that key is not inside (report_year, city, store), so the weekly ranks
     then take a second exchange.
+
+    ``shared_exchange`` (default) shuffles once on (report_year, city,
+    store_id): a task then holds whole store-years, at most items × 366
+    rows per store.  With ``False`` Spark shuffles once per period (three
+    exchanges) and a task holds at most items × 31 rows per store — the
+    choice for a very large item catalogue.
     """
-    ranked = base.filter(F.col("store_id").isNotNull()).repartition(*RANK_PARTITION)
+    ranked = base.filter(F.col("store_id").isNotNull())
+    if shared_exchange:
+        ranked = ranked.repartition(*RANK_PARTITION)
     specs = dict(RANK_SPECS)
     if iso_year:
         ranked = ranked.withColumn("_iso_year", iso_year_of("report_date"))
@@ -141,7 +149,7 @@ def dm_items(base: DataFrame, iso_year: bool = False) -> DataFrame:
 
 
 def build_dm_items(orders_enriched: DataFrame, order_items: DataFrame,
-                   items: DataFrame) -> DataFrame:
+                   items: DataFrame, **options) -> DataFrame:
     """Dated orders + lines + items → ``dm_items``; store-less orders leave first."""
     oe = orders_enriched.filter(F.col("store_id").isNotNull())
-    return dm_items(dm_items_base(order_items, oe, items))
+    return dm_items(dm_items_base(order_items, oe, items), **options)

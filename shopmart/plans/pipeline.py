@@ -165,12 +165,16 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
     return result
 
 
-def marts(core: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Core tables → conformed ``dm_orders`` and ``dm_items`` (lazy)."""
+def marts(core: dict[str, DataFrame], **item_options) -> dict[str, DataFrame]:
+    """Core tables → conformed ``dm_orders`` and ``dm_items`` (lazy).
+
+    ``item_options`` go to ``items_mart.dm_items`` (``iso_year``,
+    ``shared_exchange``).
+    """
     dm_orders = orders_mart.build_dm_orders(core["orders"], core["order_items"],
                                             core["order_drivers"], core["stores"])
     oe = orders_mart.orders_enriched(core["orders"], core["stores"])
-    dm_items = items_mart.build_dm_items(oe, core["order_items"], core["items"])
+    dm_items = items_mart.build_dm_items(oe, core["order_items"], core["items"], **item_options)
     return {"dm_orders": dm_orders, "dm_items": dm_items}
 
 

@@ -88,3 +88,14 @@ def test_cli_jobs(spark, tmp_path):
     assert outs[0]["rows"] == {"raw": 6027}
     assert outs[2]["rows"] == {"dm_orders": 1437, "dm_items": 5726}
     assert len(outs[3]["rows"]) == 7
+
+
+def test_rank_exchange_options_agree(spark, core):
+    shared = pipeline.marts(core)["dm_items"]
+    per_period = pipeline.marts(core, shared_exchange=False)["dm_items"]
+    p, q = plan(per_period), plan(shared)
+    exchanges = lambda text: len(re.findall(r"\n\(\d+\) Exchange\n", text))
+    assert "REPARTITION_BY_COL" not in p
+    assert exchanges(p) == exchanges(q) + 2      # three window exchanges instead of one
+    assert shared.exceptAll(per_period).count() == 0
+    assert per_period.exceptAll(shared).count() == 0
