@@ -59,11 +59,6 @@ def numerator_to_amount(numerator) -> Column:
     return _c(numerator).cast(NUMERATOR) * F.lit("0.0001").cast(_BASIS_POINTS)
 
 
-def amount_to_numerator(amount) -> Column:
-    """Money (scale ≤ 2) in numerator units, to add to a numerator sum."""
-    return (_c(amount).cast(PRICE) * F.lit(10000).cast("decimal(5,0)")).cast(NUMERATOR)
-
-
 def to_money(amount, dtype: str = "decimal(18,2)") -> Column:
     """Round an exact amount half away from zero into a mart money column."""
     return _c(amount).cast(dtype)

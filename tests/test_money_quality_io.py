@@ -149,3 +149,10 @@ def test_fail_on_violation_and_catalog_target(spark, tmp_path):
     cat = Target.table("shopmart_test")
     write_table(read_table(spark, Target.parquet(str(tmp_path / "core")), "users"), cat, "users")
     assert read_table(spark, cat, "users").count() == 150
+
+
+def test_check_predicate_single_rule(spark):
+    df = spark.createDataFrame([(1, 5, 3), (2, 2, 4), (3, None, 1)],
+                               "order_id bigint, item_quantity int, item_canceled_quantity int")
+    bad = quality.check_predicate(df, "lte", F.col("item_canceled_quantity") <= F.col("item_quantity"))
+    assert [(r.check_name, r.order_id) for r in bad.collect()] == [("lte", 2)]   # NULL passes
