@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 POINTER = "_current"
@@ -82,8 +83,9 @@ def read_table(spark: SparkSession, target: Target, name: str,
                num_partitions: int | None = None) -> DataFrame:
     """Read table ``name``; ``schema`` makes a parquet read fail early on drift.
 
-    For JDBC, ``partition_column`` with bounds and ``num_partitions`` splits
-    the scan into parallel range queries instead of one connection.
+    For JDBC, ``partition_column`` and ``num_partitions`` split the scan into
+    parallel range queries instead of one connection; bounds not given are
+    fetched with one pushed-down ``MIN``/``MAX`` query (a single row).
     """
     if target.kind == "parquet":
         path = _path(target, name)
@@ -99,6 +101,10 @@ def read_table(spark: SparkSession, target: Target, name: str,
         for k, v in target.options.items():
             reader = reader.option(k, v)
         if partition_column:
+            if lower_bound is None or upper_bound is None:
+                lower_bound, upper_bound = _jdbc_bounds(spark, target, name, partition_column)
+                if lower_bound is None:          # empty table: one partition is enough
+                    return reader.load()
             reader = (reader.option("partitionColumn", partition_column)
                       .option("lowerBound", lower_bound).option("upperBound", upper_bound)
                       .option("numPartitions", num_partitions or 8))
@@ -106,6 +112,16 @@ def read_table(spark: SparkSession, target: Target, name: str,
     raise ValueError(f"unknown target kind {target.kind!r}")
 
 
+def _jdbc_bounds(spark: SparkSession, target: Target, name: str, column: str):
+    """MIN/MAX of ``column``, pushed to the database as one aggregate query."""
+    reader = (spark.read.format("jdbc").option("url", target.location).option("dbtable", name)
+              .option("pushDownAggregate", "true"))
+    for k, v in target.options.items():
+        reader = reader.option(k, v)
+    row = reader.load().agg(F.min(column), F.max(column)).first()
+    return (row[0], row[1]) if row is not None else (None, None)
+
+
 def write_table(df: DataFrame, target: Target, name: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> str:
     """Write ``df`` as table ``name``; returns where the data went."""

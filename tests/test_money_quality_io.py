@@ -127,6 +127,11 @@ def test_run_etl_into_jdbc_parents_first(spark, tmp_path):
     assert first.rows == again.rows
     assert read_table(spark, db, "orders").count() == 1484
     assert read_table(spark, db, "order_items").count() == 6000
+    core = pipeline.read_core(spark, db, jdbc_partitions=4)
+    assert core["order_items"].rdd.getNumPartitions() == 4
+    dm = Target.parquet(str(tmp_path / "dm"))
+    assert pipeline.run_marts(spark, db, dm, jdbc_partitions=4).rows == \
+        {"dm_orders": 1437, "dm_items": 5726}
 
 
 def test_jdbc_target_from_env():
