@@ -2,6 +2,7 @@
 
     python -m shopmart extract --raw 's3a://…/raw/*.parquet' --stage s3a://…/stage
     python -m shopmart etl     --stage s3a://…/stage --core s3a://…/core [--violations …]
+    python -m shopmart load    --core s3a://…/core --to jdbc:postgresql://db:5432/shop
     python -m shopmart marts   --core s3a://…/core --dm s3a://…/dm [--partition-by-month]
     python -m shopmart report  q1_weekday_totals --dm s3a://…/dm [--out s3a://…/reports]
 
@@ -54,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--stage", required=True)
     p.add_argument("--core", required=True)
     p.add_argument("--violations")
+    p = sub.add_parser("load")
+    p.add_argument("--core", required=True)
+    p.add_argument("--to", required=True)
     p = sub.add_parser("marts")
     p.add_argument("--core", required=True)
     p.add_argument("--dm", required=True)
@@ -72,6 +76,9 @@ def main(argv: list[str] | None = None) -> int:
         vt = target(args.violations) if args.violations else None
         res = pipeline.run_etl(spark, target(args.stage), target(args.core), violations_target=vt)
         out = {"rows": res.rows, "written": res.written}
+    elif args.command == "load":
+        res = pipeline.run_load(spark, target(args.core), target(args.to))
+        out = {"rows": res.rows, "written": res.written}
     elif args.command == "marts":
         part = ["report_year", "report_month"] if args.partition_by_month else None
         res = pipeline.run_marts(spark, target(args.core), target(args.dm), partition_by=part)

@@ -165,6 +165,24 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
     return result
 
 
+def run_load(spark: SparkSession, core_source: Target, target: Target) -> RunResult:
+    """Copy built core tables into another target (typically JDBC).
+
+    Into JDBC the tables are emptied children-first and appended
+    parents-first, so database foreign keys hold throughout; each table is
+    written by the executors over parallel connections.
+    """
+    core = {name: read_table(spark, core_source, name, schema=CORE[name].schema)
+            for name in CORE}
+    result = RunResult()
+    jdbc = target.kind == "jdbc"
+    if jdbc:
+        truncate_children_first(spark, target)
+    for name in LOAD_ORDER:
+        _write_counted(core[name], target, name, result, mode="append" if jdbc else "overwrite")
+    return result
+
+
 def marts(core: dict[str, DataFrame], **item_options) -> dict[str, DataFrame]:
     """Core tables → conformed ``dm_orders`` and ``dm_items`` (lazy).
 

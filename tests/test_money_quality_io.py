@@ -127,6 +127,11 @@ def test_run_etl_into_jdbc_parents_first(spark, tmp_path):
     assert first.rows == again.rows
     assert read_table(spark, db, "orders").count() == 1484
     assert read_table(spark, db, "order_items").count() == 6000
+    copy = Target.jdbc("jdbc:derby:memory:core_copy;create=true",
+                       driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert pipeline.run_load(spark, db, copy).rows == first.rows
+    assert pipeline.run_load(spark, db, copy).rows == first.rows   # reload, not doubled
+    assert read_table(spark, copy, "order_drivers").count() == 4356
     core = pipeline.read_core(spark, db, jdbc_partitions=4)
     assert core["order_items"].rdd.getNumPartitions() == 4
     dm = Target.parquet(str(tmp_path / "dm"))
