@@ -168,18 +168,22 @@ def orders_fact(orders_enriched: DataFrame, order_financials: DataFrame,
 MART_KEY = ("report_date", "city", "store_id")
 
 
-def dm_orders(orders_fact: DataFrame, active_drivers: DataFrame) -> DataFrame:
+def dm_orders(orders_fact: DataFrame, active_drivers: DataFrame,
+              stores: DataFrame | None = None) -> DataFrame:
     """Daily store mart, one row per (report_date, city, store_id).
 
     Grouped on the three key columns only — year/month/day follow from the
-    date and the address from the store — so the courier counts, grouped on
-    the same key, join without re-shuffling either side.  Orders are unique
-    per row here, so the order count is a plain count; buyers stay distinct.
-    Money is exact until the final rounding into NUMERIC(18,2)/(18,4).
+    date — so the courier counts, grouped on the same key, join without
+    re-shuffling either side.  Every aggregate has a fixed-width buffer, so
+    Spark hash-aggregates; the store address (a string, which would force a
+    sort-based aggregate) is joined from ``stores`` afterwards, one row per
+    store-day.  Without ``stores`` it is carried as ``max(store_address)``.
+    Orders are unique per row here, so the order count is a plain count;
+    buyers stay distinct.  Money is exact until the final rounding into
+    NUMERIC(18,2)/(18,4).
     """
     fact = orders_fact.filter(F.col("store_id").isNotNull())
-    agg = fact.groupBy(*MART_KEY).agg(
-        F.max("store_address").alias("store_address"),
+    measures = [
         F.sum("gross_amount_order").alias("_gross"),
         F.sum("revenue_amount_order").alias("_revenue"),
         F.sum("profit_amount_order").alias("_profit"),
@@ -190,11 +194,17 @@ def dm_orders(orders_fact: DataFrame, active_drivers: DataFrame) -> DataFrame:
         F.sum("is_canceled_service_fault").alias("orders_canceled_service_fault_cnt"),
         F.countDistinct("user_id").alias("buyers_cnt"),
         F.sum("has_driver_change").alias("orders_with_driver_change_cnt"),
-    )
+    ]
+    if stores is None:
+        measures.append(F.max("store_address").alias("store_address"))
+    agg = fact.groupBy(*MART_KEY).agg(*measures)
     ad = active_drivers.filter(F.col("store_id").isNotNull())
+    joined = agg.join(ad, list(MART_KEY), "left")
+    if stores is not None:
+        joined = joined.join(stores.select("store_id", "store_address"), "store_id", "left")
     d = F.col("report_date")
     buyers = F.col("buyers_cnt")
-    out = agg.join(ad, list(MART_KEY), "left").select(
+    out = joined.select(
         "report_date", F.year(d).alias("report_year"), F.month(d).alias("report_month"),
         F.dayofmonth(d).alias("report_day"), "city", "store_id", "store_address",
         money.to_money("_gross").alias("gross_amount"),
@@ -219,4 +229,4 @@ def build_dm_orders(orders: DataFrame, order_items: DataFrame, order_drivers: Da
     """Core tables → ``dm_orders``; store-less orders leave before any shuffle."""
     oe = orders_enriched(orders.filter(F.col("store_id").isNotNull()), stores)
     fact = orders_fact(oe, order_item_totals(order_items), driver_stats(order_drivers))
-    return dm_orders(fact, active_drivers(order_drivers, oe))
+    return dm_orders(fact, active_drivers(order_drivers, oe), stores)

@@ -60,7 +60,8 @@ class Lineage:
 
     @cached_property
     def dm_items(self) -> DataFrame:
-        return items_mart.dm_items(self.dm_items_base)
+        return items_mart.build_dm_items(self.orders_enriched, self.core("order_items"),
+                                         self.core("items"), self.core("stores"))
 
     def mart(self, name: str) -> DataFrame:
         return {"dm_orders": self.dm_orders, "dm_items": self.dm_items}[name]

@@ -192,7 +192,8 @@ def marts(core: dict[str, DataFrame], **item_options) -> dict[str, DataFrame]:
     dm_orders = orders_mart.build_dm_orders(core["orders"], core["order_items"],
                                             core["order_drivers"], core["stores"])
     oe = orders_mart.orders_enriched(core["orders"], core["stores"])
-    dm_items = items_mart.build_dm_items(oe, core["order_items"], core["items"], **item_options)
+    dm_items = items_mart.build_dm_items(oe, core["order_items"], core["items"], core["stores"],
+                                         **item_options)
     return {"dm_orders": dm_orders, "dm_items": dm_items}
 
 

@@ -62,11 +62,15 @@ def test_sql_reports_equal_dataframe_reports(spark, core):
     from shopmart.plans.report_sql import run_report_sql
     m = pipeline.marts(core)
     dm = {k: v.cache() for k, v in m.items()}
-    for name, (source, fn) in reports.REPORTS.items():
-        a = fn(dm[source])
-        b = run_report_sql(spark, name, dm["dm_orders"], dm["dm_items"])
-        assert a.columns == b.columns, name
-        assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()], name
+    try:
+        for name, (source, fn) in reports.REPORTS.items():
+            a = fn(dm[source])
+            b = run_report_sql(spark, name, dm["dm_orders"], dm["dm_items"])
+            assert a.columns == b.columns, name
+            assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()], name
+    finally:
+        for v in dm.values():
+            v.unpersist()
 
 
 def test_cli_jobs(spark, tmp_path):
