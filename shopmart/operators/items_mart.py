@@ -109,7 +109,8 @@ def dm_items_base(order_items: DataFrame, orders_enriched: DataFrame,
     Equal to grouping the line fact by its eleven descriptive columns: the
     others follow from these keys.
     """
-    return attach_labels(item_totals(order_items, orders_enriched, with_address=True), items)
+    labeled = attach_labels(item_totals(order_items, orders_enriched, with_address=True), items)
+    return labeled.select(*[c for c in DM_ITEMS.names if not c.endswith("_rank")])
 
 
 RANK_SPECS = {
