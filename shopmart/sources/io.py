@@ -123,18 +123,29 @@ def _jdbc_bounds(spark: SparkSession, target: Target, name: str, column: str):
 
 
 def write_table(df: DataFrame, target: Target, name: str, mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as table ``name``; returns where the data went."""
+                partition_by: list[str] | None = None,
+                max_records_per_file: int | None = None) -> str:
+    """Write ``df`` as table ``name``; returns where the data went.
+
+    ``max_records_per_file`` splits each task's output into files of at
+    most that many rows (no shuffle), so a small table written by few tasks
+    can still be scanned by many.
+    """
     if target.kind == "parquet":
         path = _path(target, name)
+        if max_records_per_file:
+            df_writer = lambda m: df.write.mode(m).option(
+                "maxRecordsPerFile", max_records_per_file)
+        else:
+            df_writer = lambda m: df.write.mode(m)
         if not target.versioned or mode != "overwrite":
-            w = df.write.mode(mode)
+            w = df_writer(mode)
             if partition_by:
                 w = w.partitionBy(*partition_by)
             w.parquet(path)
             return path
         version = "version=%d" % time.time_ns()
-        w = df.write.mode("error")
+        w = df_writer("error")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{path}/{version}")

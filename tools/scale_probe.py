@@ -66,7 +66,7 @@ def main():
     out = {}
     for k in ks:
         stage = Target.parquet(f"{work}/x{k}", versioned=False)
-        write_table(replicated(raw, k), stage, "raw")
+        write_table(replicated(raw, k), stage, "raw", max_records_per_file=50_000)
         core_t = Target.parquet(f"{work}/core{k}")
         t = time.perf_counter()
         etl = pipeline.run_etl(spark, stage, core_t)
