@@ -2,13 +2,14 @@
 
 Plan shape: lines are first summed per (order, item) — map-side, so a hot
 order or item collapses before any shuffle — then meet their order (one
-row per order) on ``order_id``, are summed per (report_date, city, store,
-item), ranked, and only then pick up the item's title and category and the
-store address (one lookup per mart row, and the rank sorts stay narrow).  The six ranks share one
-exchange on (report_year, city, store_id): every window's partition key
-contains those three columns, so Spark sorts six times but shuffles once.
-A rank group holds at most one row per item and day of its period, so its
-size is bounded by the item catalogue, not by the number of orders.
+row per order) on ``order_id`` and are summed per (report_date, city,
+store, item).  Those narrow rows are ranked, and only then pick up the
+item's title and category and the store address, so the rank sorts do not
+carry long strings.  The six ranks share one exchange on (report_year,
+city, store_id): every window's partition key contains those columns, so
+Spark sorts six times but shuffles once.  A rank group holds at most one
+row per item and day of its period, so its size is bounded by the item
+catalogue, not by the number of orders.
 """
 
 from __future__ import annotations
