@@ -237,3 +237,17 @@ def test_fill_defaults_replaces_nan_in_float_columns(spark):
                                "item_canceled_quantity int, delivery_cost double")
     out = fill_defaults(df, ["item_discount", "item_canceled_quantity", "delivery_cost"]).first()
     assert (out.item_discount, out.item_canceled_quantity, out.delivery_cost) == (0.0, 0, 1.5)
+
+
+def test_marts_invariant_under_aqe_off(spark):
+    from tests.conftest import SF_SMALL
+    from shopmart.sources.fixture import raw_order_lines
+    raw = raw_order_lines(spark, SF_SMALL)
+    with_aqe = {k: v.collect() for k, v in marts(core_tables(raw)).items()}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        without = {k: v.collect() for k, v in marts(core_tables(raw)).items()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for name in with_aqe:
+        assert sorted(map(repr, with_aqe[name])) == sorted(map(repr, without[name])), name
