@@ -70,11 +70,16 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str]) -> D
     folder = ensure_checkpoint_dir(spark)
     path = f"{folder.rstrip('/')}/shopmart-seq-{name}-{uuid.uuid4().hex}"
     order_cols = list(order_cols)
-    ordered = [F.col(c).asc_nulls_first() for c in order_cols]
-    (df.repartitionByRange(*ordered)
+    # Rows equal on every order column are interchangeable; a seeded random
+    # tie-breaker lets the range partitioner split a large group of copies
+    # across tasks instead of sending all of them to one.
+    ordered = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col("_tie").asc()]
+    (df.withColumn("_tie", F.rand(seed=20240101))
+     .repartitionByRange(*ordered)
      .sortWithinPartitions(*ordered)
      .withColumn("_pid", F.spark_partition_id())
      .withColumn("_pos", F.monotonically_increasing_id())
+     .drop("_tie")
      .write.parquet(path))
     staged = spark.read.parquet(path)
 

@@ -166,3 +166,24 @@ def test_check_predicate_single_rule(spark):
                                "order_id bigint, item_quantity int, item_canceled_quantity int")
     bad = quality.check_predicate(df, "lte", F.col("item_canceled_quantity") <= F.col("item_quantity"))
     assert [(r.check_name, r.order_id) for r in bad.collect()] == [("lte", 2)]   # NULL passes
+
+
+def test_surrogate_key_splits_a_group_of_copies(spark):
+    copies = spark.range(0, 30000).select(F.lit(7).alias("a"), F.lit("x").alias("b"))
+    other = spark.range(0, 10000).select((F.col("id") + 100).alias("a"), F.lit("y").alias("b"))
+    df = copies.unionByName(other).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny data
+    try:
+        out = with_surrogate_key(df, "sk", ["a", "b"])
+        rows = out.select("sk", "a").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r.sk for r in rows) == list(range(1, 40001))
+    assert {r.a for r in rows if r.sk <= 30000} == {7}          # copies first, in key order
+    import glob
+    import os
+    from shopmart.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).replace("file:", "")
+    staged = max(glob.glob(f"{folder}/shopmart-seq-sk-*"), key=os.path.getmtime)
+    parts = spark.read.parquet(staged).filter("a = 7").select("_pid").distinct().count()
+    assert parts > 1                                             # the copies are split
