@@ -81,7 +81,8 @@ def test_cli_jobs(spark, tmp_path):
     raw_order_lines(spark, SF_SMALL).write.parquet(str(raw))
     outs = []
     for argv in (["extract", "--raw", f"{raw}/*.parquet", "--stage", str(tmp_path / "st")],
-                 ["etl", "--stage", str(tmp_path / "st"), "--core", str(tmp_path / "core")],
+                 ["etl", "--stage", str(tmp_path / "st"), "--core", str(tmp_path / "core"),
+                  "--violations", str(tmp_path / "violations")],
                  ["marts", "--core", str(tmp_path / "core"), "--dm", str(tmp_path / "dm"),
                   "--partition-by-month"],
                  ["report", "q1_weekday_totals", "--dm", str(tmp_path / "dm")]):
@@ -92,6 +93,9 @@ def test_cli_jobs(spark, tmp_path):
     assert outs[0]["rows"] == {"raw": 6027}
     assert outs[2]["rows"] == {"dm_orders": 1437, "dm_items": 5726}
     assert len(outs[3]["rows"]) == 7
+    orphans = read_table(spark, Target.parquet(str(tmp_path / "violations")),
+                         "fk_order_items_order")
+    assert orphans.count() == 67
 
 
 def test_rank_exchange_options_agree(spark, core):
