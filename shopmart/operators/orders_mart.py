@@ -128,35 +128,22 @@ def active_drivers(order_drivers: DataFrame, orders_enriched: DataFrame) -> Data
             .agg(F.countDistinct("driver_id").alias("active_drivers_cnt")))
 
 
-def orders_fact(orders_enriched: DataFrame, order_financials: DataFrame,
-                driver_stats: DataFrame) -> DataFrame:
-    """One row per dated order with money and status flags.
-
-    ``order_financials`` is either K12's output or ``order_item_totals``
-    (lines summed per order, order discount not yet applied); with the
-    latter the order discount is applied here and the orders are joined
-    only once.
-    """
+def _fact(orders_enriched: DataFrame, financials: DataFrame, driver_stats: DataFrame,
+          revenue_items) -> DataFrame:
     zero = F.lit(0).cast("decimal(1,0)")
-    fin = order_financials
     j = (orders_enriched
-         .join(fin, "order_id", "left")
+         .join(financials, "order_id", "left")
          .join(driver_stats.select("order_id", "has_driver_change"), "order_id", "left"))
-    if "_revenue_x100" in fin.columns:
-        revenue = money.numerator_to_amount(
-            F.col("_revenue_x100") * money.pct_factor("order_discount"))
-    else:
-        revenue = F.col("revenue_amount_items")
     gross = F.coalesce("gross_amount_items", zero)
-    revenue_items = F.coalesce(revenue, zero)
+    revenue = F.coalesce(revenue_items, zero)
     delivered = F.col("delivered_at").isNotNull()
     canceled = F.col("canceled_at").isNotNull()
     flag = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
     return j.select(
         *ENRICHED_COLUMNS,
         gross.alias("gross_amount_order"),
-        (revenue_items + F.col("delivery_cost")).alias("revenue_amount_order"),
-        revenue_items.alias("profit_amount_order"),
+        (revenue + F.col("delivery_cost")).alias("revenue_amount_order"),
+        revenue.alias("profit_amount_order"),
         F.coalesce("has_driver_change", F.lit(0)).alias("has_driver_change"),
         flag(delivered).alias("is_delivered"),
         flag(canceled).alias("is_canceled"),
@@ -165,6 +152,25 @@ def orders_fact(orders_enriched: DataFrame, order_financials: DataFrame,
     )
 
 
+def orders_fact(orders_enriched: DataFrame, order_financials: DataFrame,
+                driver_stats: DataFrame) -> DataFrame:
+    """One row per dated order with money and status flags (K15), from K12 and K13."""
+    return _fact(orders_enriched, order_financials, driver_stats,
+                 F.col("revenue_amount_items"))
+
+
+def orders_fact_from_totals(orders_enriched: DataFrame, totals: DataFrame,
+                            driver_stats: DataFrame) -> DataFrame:
+    """``orders_fact`` from ``order_item_totals``: the orders are joined once.
+
+    The order discount is applied here, after the per-order line sums,
+    instead of in a separate join of the totals with the orders.
+    """
+    revenue = money.numerator_to_amount(
+        F.col("_revenue_x100") * money.pct_factor("order_discount"))
+    return _fact(orders_enriched, totals, driver_stats, revenue)
+
+
 MART_KEY = ("report_date", "city", "store_id")
 
 
@@ -228,5 +234,5 @@ def build_dm_orders(orders: DataFrame, order_items: DataFrame, order_drivers: Da
                     stores: DataFrame) -> DataFrame:
     """Core tables → ``dm_orders``; store-less orders leave before any shuffle."""
     oe = orders_enriched(orders.filter(F.col("store_id").isNotNull()), stores)
-    fact = orders_fact(oe, order_item_totals(order_items), driver_stats(order_drivers))
+    fact = orders_fact_from_totals(oe, order_item_totals(order_items), driver_stats(order_drivers))
     return dm_orders(fact, active_drivers(order_drivers, oe), stores)
