@@ -152,9 +152,7 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
         return lambda: _write_counted(core_table(filled, name), core_target, name, result,
                                       mode="append" if jdbc else "overwrite")
     run_concurrently({name: load(name) for name in LOAD_ORDER}, 1 if jdbc else workers)
-    written = {name: read_table(spark, core_target, name, schema=CORE[name].schema)
-               for name in CORE}
-    result.violations = core_violations(written)
+    result.violations = core_violations(read_core(spark, core_target))
     if violations_target is not None:
         run_concurrently({name: (lambda n=name, df=df: write_table(df, violations_target, n))
                           for name, df in result.violations.items()}, workers)
