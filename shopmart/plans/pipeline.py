@@ -170,8 +170,7 @@ def run_load(spark: SparkSession, core_source: Target, target: Target) -> RunRes
     parents-first, so database foreign keys hold throughout; each table is
     written by the executors over parallel connections.
     """
-    core = {name: read_table(spark, core_source, name, schema=CORE[name].schema)
-            for name in CORE}
+    core = read_core(spark, core_source)
     result = RunResult()
     jdbc = target.kind == "jdbc"
     if jdbc:
