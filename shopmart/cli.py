@@ -41,7 +41,8 @@ def session(app: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     spark = builder.getOrCreate()
     for key, value in REQUIRED_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) is None:     # the cluster's own setting wins
+            spark.conf.set(key, value)
     return spark
 
 

@@ -12,9 +12,11 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on: exact decimals stay ANSI-checked, timestamps
-# are zone-free, and AQE re-plans joins, coalesces partitions and splits
-# skewed join partitions at run time.
+# Settings the jobs expect (Spark 4 defaults, stated so a session that turned
+# them off gets them back where unset): AQE re-plans joins, coalesces
+# partitions and splits skewed join partitions at run time.  Results do not
+# depend on the session time zone (all timestamps are zone-free) nor on AQE
+# (tested with it off).
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
