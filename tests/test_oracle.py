@@ -10,6 +10,8 @@ from shopmart.plans.columns import COLUMNS
 from tests.conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem".split()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -47,4 +49,7 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.execute(oracle_sql()[name])
     d_cols = [d[0] for d in rel.description]
     assert sorted(d_cols) == sorted(df.columns)
+    # Same engine-neutral types on both sides, column by column.
+    spark_types = {f.name: SPARK_TO_DUCK[f.dataType.simpleString()] for f in df.schema.fields}
+    assert spark_types == {d[0]: str(d[1]) for d in rel.description}
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(d_cols, rel.fetchall())
