@@ -187,3 +187,15 @@ def test_surrogate_key_splits_a_group_of_copies(spark):
     staged = max(glob.glob(f"{folder}/shopmart-seq-sk-*"), key=os.path.getmtime)
     parts = spark.read.parquet(staged).filter("a = 7").select("_pid").distinct().count()
     assert parts > 1                                             # the copies are split
+
+
+def test_present_maps_to_engine_neutral_types(spark):
+    from datetime import date
+    from shopmart.contracts import present
+    df = spark.createDataFrame([(date(2024, 1, 2), 3, Decimal("1.25"), True, "x")],
+                               "d date, i int, m decimal(18,2), b boolean, s string")
+    out = present(df)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == \
+        ["timestamp_ntz", "bigint", "double", "bigint", "string"]
+    r = out.first()
+    assert (r.d.isoformat(), r.i, r.m, r.b, r.s) == ("2024-01-02T00:00:00", 3, 1.25, 1, "x")
