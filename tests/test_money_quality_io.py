@@ -199,3 +199,10 @@ def test_present_maps_to_engine_neutral_types(spark):
         ["timestamp_ntz", "bigint", "double", "bigint", "string"]
     r = out.first()
     assert (r.d.isoformat(), r.i, r.m, r.b, r.s) == ("2024-01-02T00:00:00", 3, 1.25, 1, "x")
+
+
+def test_surrogate_key_is_reproducible(spark):
+    df = spark.range(0, 20000).select((F.col("id") * 37 % 20000).alias("a")).repartition(7)
+    first = {r.a: r.sk for r in with_surrogate_key(df, "sk", ["a"]).collect()}
+    second = {r.a: r.sk for r in with_surrogate_key(df.repartition(3), "sk", ["a"]).collect()}
+    assert first == second and sorted(first.values()) == list(range(1, 20001))
