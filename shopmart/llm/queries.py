@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import simhash
+from shopmart.llm import simhash, suffix_dedup
 from shopmart.llm.common import read
 
 
@@ -16,7 +16,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), span=200, with_bytes=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup,)
+    f.__name__: f for f in (op1_simhash_near_dedup, op6_suffix_array_dedup)
 }
 ORACLE_SQL: dict[str, str] = {}
