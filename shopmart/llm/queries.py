@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import simhash, suffix_dedup
-from shopmart.llm.common import read
+from shopmart.llm import (decontaminate, multiset_hash, packing, pii, quality, secrets, simhash,
+                          spans, suffix_dedup, token_counts, toxicity)
+from shopmart.llm.common import fold_of, read
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +17,68 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.compare_with_next(read(spark, sf_dir, "documents"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        decontaminate.items_digest(F.col("items")).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
+                                     "toxic", keep=fold_of("doc_id", 5) != 0)
+    return found.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), span=200, with_bytes=False)
 
 
+def _span_columns(kinds: tuple[str, ...]):
+    return [*(spans.count_kind(F.col("found.base"), k).alias(f"n_{k}") for k in kinds),
+            F.sha2(spans.as_text(F.col("found.base")), 256).alias("base_sha256"),
+            spans.as_text(F.col("found.spans")).alias("spans")]
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = docs.select("doc_id", pii.pii_column(F.col("text")).alias("found"))
+    return found.select("doc_id", *_span_columns(pii.KINDS))
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secrets.secrets_column(
+        F.col("text"), secrets.train(docs)).alias("found"))
+    return found.select("doc_id", *_span_columns(("assign", "access", "hex")))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
+                                    "quality", keep=fold_of("doc_id", 3) != 1)
+    return found.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.with_running_sums(
+        token_counts.length_histogram(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op6_suffix_array_dedup)
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_document_fingerprints, op3_benchmark_decontamination,
+        op4_toxicity, op5_best_fit_packing, op6_suffix_array_dedup, op7_pii, op8_secret_scans,
+        op9_quality_classifier, op10_token_counts)
 }
 ORACLE_SQL: dict[str, str] = {}
