@@ -45,3 +45,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return (texts.join(F.broadcast(ids), "doc_id")
             .select("text", F.col("label").cast("int").alias("label")))
+
+
+def splittable(aggregated: DataFrame) -> DataFrame:
+    """One more (small) exchange above an aggregate that is joined with a skewed table.
+
+    AQE splits a hot key of a join only if both inputs come straight from
+    their exchange; an aggregate on the join key keeps its own exchange below it.
+    """
+    return aggregated.hint("rebalance")

@@ -108,10 +108,12 @@ class Rewritten:
 _ODD = re.compile("[^\x00-\u00ac\u00ae-\u024f]")
 _AT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{AT_WORDS}|@)\s*[\])}}>]\s*", re.I)
 _DOT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*", re.I)
-# Bare words count only as a whole address: name at host dot domain.
+# Bare words count only as a whole address: name at host dot top-level domain.  Fixed values:
+# the usual top-level domains, and any two letters.
+_TOP = "com|net|org|edu|gov|mil|int|info|biz|name|pro|dev|app|test|example|[a-z]{2}"
 _BARE = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>\s+(?:{AT_WORDS})\s+|@)"
-    rf"(?:[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS})\s+|\.))+[A-Za-z0-9-]+(?![A-Za-z0-9-])", re.I)
+    rf"(?:[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS})\s+|\.))+(?:{_TOP})(?![A-Za-z0-9-])", re.I)
 _BARE_DOT = re.compile(rf"\s+(?:{DOT_WORDS})\s+", re.I)
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])\s+(?:{DOT_WORDS})\s+(?=[0-9])", re.I)
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))

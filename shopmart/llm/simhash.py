@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shopmart.llm.common import cut
+from shopmart.llm.common import cut, splittable
 
 HASH_SEED = 42
 PAIR_BLOCK = 1 << 20    # candidate pairs compared at a time
@@ -230,7 +230,7 @@ def links(fps: DataFrame, max_bits: int, count: int, hot_bucket: int = 4096) ->
     sizes = (rows.where("home").groupBy("seg", "key").count()
              .where(F.col("count") > hot_bucket)
              .select("seg", "key", F.ceil(F.col("count") / hot_bucket).cast("int").alias("parts")))
-    rows = rows.join(sizes, ["seg", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.join(splittable(sizes), ["seg", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("parts"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     rows = rows.select("seg", "key", "fp", "home", "parts", own.cast("int").alias("own"), other)
@@ -254,10 +254,10 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (both.where("v > u").join(least, "u")
+        large = (both.where("v > u").join(splittable(least), "u")
                  .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u")
+        small = (large.join(splittable(least), "u")
                  .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
                          F.col("m").alias("v"))
                  .where("u <> v").distinct())
@@ -298,7 +298,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
 
     marked, nodes, groups = _groups(docs, shingle, max_bits, id_col, text_col, hot_bucket)
     named = groups.select("root", id_of("first").alias("component_id"))
-    by_fp = nodes.join(named, "root").select("fp", "component_id")
+    by_fp = nodes.join(splittable(named), "root").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(id_of("first").alias(id_col), "fp", "component_id")
 
 

@@ -33,6 +33,7 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.llm import bytehash
-from shopmart.llm.common import cut
+from shopmart.llm.common import cut, splittable
 
 TOKEN = 32
 PLACE = np.uint64((1 << 22) - 1)  # a block has at most 2**21 bytes
@@ -104,7 +105,14 @@ def _long_text_runs(buf: np.ndarray, span: int, token: int):
 
 def _runs_map(span: int, token: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copies: Counter[int] = Counter()
         for batch in batches:
+            # Two copies of a text in a task count as many: the rest add nothing.
+            wanted = []
+            for key in batch.column("key").to_pylist():
+                copies[key] += 1
+                wanted.append(copies[key] <= 2)
+            batch = batch.filter(pa.array(wanted))
             buf, offsets = bytehash.text_bytes(batch.column("text"))
             keys = batch.column("key").to_numpy()
             for lo, hi in bytehash.blocks(np.diff(offsets)):
@@ -203,14 +211,14 @@ def _cut_runs(span: int):
         seen: set[int] = set()
         for pdf in batches:
             out = []
-            for key, text, *runs in zip(*(pdf[c] for c in pdf.columns)):
+            for key, _, text, *runs in zip(*(pdf[c] for c in pdf.columns)):
                 if key in seen:
                     continue
                 seen.add(key)
                 data = text.encode()
                 out += [(*rest, key, start, n, data[start: start + n + span - 1])
                         for *rest, start, n in zip(*runs)]
-            yield pd.DataFrame(out, columns=["token", "hot", "witness", "key", "start", "n", "bytes"])
+            yield pd.DataFrame(out, columns=["token", "witness", "key", "start", "n", "bytes"])
 
     return run
 
@@ -244,6 +252,19 @@ def _apply_map(span: int, with_bytes: bool):
     return run
 
 
+def _run_bytes(texts: DataFrame, runs: DataFrame, span: int) -> DataFrame:
+    """The bytes of ``runs`` (token, witness, key, start, n), cut from their texts.
+
+    All columns of ``texts`` are read, so the texts cross the exchange once for
+    this join and for the final one.
+    """
+    by_text = runs.groupBy("key").agg(
+        F.collect_list(F.struct("token", "witness", "start", "n")).alias("runs"))
+    return texts.join(splittable(by_text), "key").select(
+        *texts.columns, *(f"runs.{c}" for c in ("token", "witness", "start", "n"))).mapInPandas(
+        _cut_runs(span), "token long, witness boolean, key long, start long, n int, bytes binary")
+
+
 def remove_repeats(docs: DataFrame, span: int = 200, token: int = TOKEN, id_col: str = "doc_id",
                    text_col: str = "text", hot_token: int = 4096,
                    with_bytes: bool = True) -> DataFrame:
@@ -257,36 +278,28 @@ def remove_repeats(docs: DataFrame, span: int = 200, token: int = TOKEN, id_col:
 
     # 1. Tokens that occur twice, and their runs.
     twice = runs.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    runs = cut(runs.join(twice, "token", "left_semi"))
+    runs = cut(runs.join(splittable(twice), "token", "left_semi"))
     # 2. Whole runs that occur twice; tokens with several different runs.
     whole = runs.groupBy("token", "run").agg(
         F.count("*").alias("c"), F.min(F.struct("key", "start", "n")).alias("one"))
     kinds = whole.groupBy("token").agg(F.count("*").alias("kinds")).where("kinds > 1")
     known = whole.where("c > 1").select("token", "run")
-    repeated = (runs.join(known, ["token", "run"], "left_semi")
+    repeated = (runs.join(splittable(known), ["token", "run"], "left_semi")
                 .select("key", "start", (F.col("start") + F.col("n")).alias("stop")).distinct())
     # 3. One of each different run of a token that has several, by text.
-    rest = (whole.join(kinds, "token")
-            .select("token", "one.*", (F.col("c") > 1).alias("witness"),
-                    (F.col("kinds") > hot_token).alias("hot")))
-    by_text = rest.groupBy("key").agg(
-        F.collect_list(F.struct("token", "hot", "witness", "start", "n")).alias("runs"))
-    cut_runs = texts.join(by_text, "key").select(
-        "key", "text", *(f"runs.{c}" for c in ("token", "hot", "witness", "start", "n"))).mapInPandas(
-        _cut_runs(span), "token long, hot boolean, witness boolean, key long, start long, n int, "
-                         "bytes binary")
-    cut_runs = cut(cut_runs)
-    cold = (cut_runs.where("not hot")
+    rest = (whole.join(splittable(kinds), "token")
+            .select("token", "kinds", "one.*", (F.col("c") > 1).alias("witness")))
+    cold = (_run_bytes(texts, rest.where(F.col("kinds") <= hot_token), span)
             .repartitionByRange("token").sortWithinPartitions("token")
             .mapInPandas(_suffix_map(span), "key long, start long, stop long"))
-    rows = cut_runs.where("hot").mapInPandas(
+    rows = _run_bytes(texts, rest.where(F.col("kinds") > hot_token), span).mapInPandas(
         _row_map(span), "token long, tail long, key long, start long, witness boolean")
     often = rows.groupBy("token", "tail").agg(F.count("*").alias("c")).where("c > 1")
-    hot = (rows.where("not witness").join(often, ["token", "tail"], "left_semi")
+    hot = (rows.where("not witness").join(splittable(often), ["token", "tail"], "left_semi")
            .select("key", "start", (F.col("start") + 1).alias("stop")))
     starts = (repeated.unionByName(cold).unionByName(hot)
               .groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("starts")))
-    out = (texts.join(starts, "key", "left")
+    out = (texts.join(splittable(starts), "key", "left")
            .select("doc_id", "text", "starts.start", "starts.stop")
            .mapInPandas(_apply_map(span, with_bytes), RESULT))
     out = out if with_bytes else out.drop("kept")
