@@ -81,7 +81,7 @@ DIGIT_WORDS = {w: str(i) for words in (
     "zéro un deux trois quatre cinq six sept huit neuf",
     "null eins zwei drei vier fünf sechs sieben acht neun")
     for i, w in enumerate(words.split())} | {"oh": "0"}
-AT_WORDS, DOT_WORDS = "at|arroba|arobase|chez", "dot|punto|point|punkt"
+AT_WORDS, DOT_WORDS = "at|arroba|arobase", "dot|punto|point|punkt"
 
 
 class Rewritten:
@@ -109,8 +109,9 @@ _ODD = re.compile("[^\x00-\u00ac\u00ae-\u024f]")
 _AT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{AT_WORDS}|@)\s*[\])}}>]\s*", re.I)
 _DOT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*", re.I)
 # Bare words count only as a whole address: name at host dot top-level domain.  Fixed values:
-# the usual top-level domains, and any two letters.
-_TOP = "com|net|org|edu|gov|mil|int|info|biz|name|pro|dev|app|test|example|[a-z]{2}"
+# the usual top-level domains that are no common words.
+_TOP = ("com|net|org|edu|gov|mil|info|biz|dev|io|ai|eu|uk|de|fr|es|ch|nl|se|pl|cz|pt|dk|fi|ie|ru|jp|"
+        "cn|kr|au|nz|br|mx|ca|za")
 _BARE = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>\s+(?:{AT_WORDS})\s+|@)"
     rf"(?:[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS})\s+|\.))+(?:{_TOP})(?![A-Za-z0-9-])", re.I)

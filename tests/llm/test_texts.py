@@ -194,7 +194,7 @@ def test_plain_text_is_left_alone(text):
 
 
 def test_base_spans_stay_beside_disguises():
-    text = "a.b@c.de and x at y dot zz"
+    text = "a.b@c.de and x at y dot de"
     base, found = pii.find(text)
     assert base == [("email", 0, 8)] and found == [("email", 0, 8), ("email", 13, 26)]
 
@@ -285,8 +285,8 @@ def test_toxicity_folding_stems_and_exceptions():
     assert toxicity.fold("іdіоt") == " idiot "  # Cyrillic letters
     lexicon = toxicity.Lexicon({" idiot ": 3.0, " scum": 2.0, " scumbag ": 4.0}, [" idiot proof "])
     fold = toxicity.fold
-    assert lexicon.matches(fold("an 1diot, a scumbag and scummy")) == {2: 3.0, 10: 4.0, 22: 2.0}
-    assert lexicon.matches(fold("an idiot proof idiot")) == {14: 3.0}
+    assert lexicon.matches(fold("an 1diot, a scumbag and scummy")) == {3: 3.0, 11: 4.0, 23: 2.0}
+    assert lexicon.matches(fold("an idiot proof idiot")) == {15: 3.0}
     assert lexicon.weight("idiot " + "word " * 400) < lexicon.weight("idiot") and lexicon.weight("") == 0
 
 
