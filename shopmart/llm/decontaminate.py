@@ -35,7 +35,7 @@ from shopmart.llm import bytehash
 IS_WORD = np.zeros(256, bool)
 IS_WORD[0x30:0x3A] = IS_WORD[0x41:0x5B] = IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
 BLOCK_WORDS = 1 << 22
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 21
 
 
 class TestSuffixes:

@@ -46,8 +46,8 @@ from shopmart.llm import bytehash
 from shopmart.llm.common import cut, splittable
 
 TOKEN = 32
-PLACE = np.uint64((1 << 22) - 1)  # a block has at most 2**21 bytes
-RUN_BYTES = 1 << 22   # run bytes whose suffixes are sorted at a time
+PLACE = np.uint64((1 << 22) - 1)  # a block has fewer bytes
+RUN_BYTES = 1 << 20   # run bytes whose suffixes are sorted at a time
 
 
 def _slide_min(values: np.ndarray, width: int) -> np.ndarray:
