@@ -269,6 +269,7 @@ def remove_repeats(docs: DataFrame, span: int = 200, token: int = TOKEN, id_col:
                    text_col: str = "text", hot_token: int = 4096,
                    with_bytes: bool = True) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes."""
+    token = min(token, span)
     text = F.coalesce(F.col(text_col), F.lit(""))
     # A text is known by its hash: equal texts have equal repeats.
     texts = docs.select(F.xxhash64(text).alias("key"), F.col(id_col).alias("doc_id"),
