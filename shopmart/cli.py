@@ -7,8 +7,11 @@
     python -m shopmart report  q1_weekday_totals --dm s3a://…/dm [--out s3a://…/reports]
 
 Every command prints one JSON line with the tables written and their row
-counts.  Targets are parquet folders, ``table:<database>`` for catalog
-tables, or ``jdbc:…`` URLs (credentials from ``POSTGRES_*`` for PostgreSQL).
+counts; ``report`` without ``--out`` prints every row as a JSON line.
+Targets are parquet folders, ``table:<database>`` for catalog
+tables, or ``jdbc:…`` URLs (credentials from ``POSTGRES_*`` for PostgreSQL),
+whose tables are in the schemas ``--core-schema`` and ``--dm-schema``
+and are read over ``--jdbc-partitions`` connections.
 """
 
 from __future__ import annotations
@@ -23,17 +26,18 @@ from shopmart.contracts import DM_ITEMS, DM_ORDERS
 from shopmart.operators import reports
 from shopmart.plans import pipeline
 from shopmart.session import REQUIRED_CONF
-from shopmart.sources.io import Target, jdbc_target_from_env, read_table, write_table
+from shopmart.sources.io import (JDBC_PARTITIONS, Target, jdbc_target_from_env, read_table,
+                                 write_table)
 
 
-def target(spec: str) -> Target:
+def target(spec: str, schema: str | None = None) -> Target:
     if spec.startswith("table:"):
         return Target.table(spec[len("table:"):])
     if spec.startswith("jdbc:postgresql:"):
         env_target = jdbc_target_from_env()
-        return Target.jdbc(spec, **env_target.options)
+        return Target.jdbc(spec, schema=schema, **env_target.options)
     if spec.startswith("jdbc:"):
-        return Target.jdbc(spec)
+        return Target.jdbc(spec, schema=schema)
     return Target.parquet(spec)
 
 
@@ -67,6 +71,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("name", choices=sorted(reports.REPORTS))
     p.add_argument("--dm", required=True)
     p.add_argument("--out")
+    for command in sub.choices.values():
+        command.add_argument("--core-schema", default="core")
+        command.add_argument("--dm-schema", default="dm")
+        command.add_argument("--jdbc-partitions", type=int, default=JDBC_PARTITIONS)
     args = ap.parse_args(argv)
 
     spark = session(f"shopmart-{args.command}")
@@ -75,24 +83,32 @@ def main(argv: list[str] | None = None) -> int:
         out = {"rows": res.rows}
     elif args.command == "etl":
         vt = target(args.violations) if args.violations else None
-        res = pipeline.run_etl(spark, target(args.stage), target(args.core), violations_target=vt)
+        res = pipeline.run_etl(spark, target(args.stage), target(args.core, args.core_schema),
+                               violations_target=vt, jdbc_partitions=args.jdbc_partitions)
         out = {"rows": res.rows, "written": res.written}
     elif args.command == "load":
-        res = pipeline.run_load(spark, target(args.core), target(args.to))
+        res = pipeline.run_load(spark, target(args.core, args.core_schema),
+                                target(args.to, args.core_schema), args.jdbc_partitions)
         out = {"rows": res.rows, "written": res.written}
     elif args.command == "marts":
         part = ["report_year", "report_month"] if args.partition_by_month else None
-        res = pipeline.run_marts(spark, target(args.core), target(args.dm), partition_by=part)
+        res = pipeline.run_marts(spark, target(args.core, args.core_schema),
+                                 target(args.dm, args.dm_schema), partition_by=part,
+                                 jdbc_partitions=args.jdbc_partitions)
         out = {"rows": res.rows, "written": res.written}
     else:
-        dm = target(args.dm)
+        dm = target(args.dm, args.dm_schema)
         source, fn = reports.REPORTS[args.name]
         schema = DM_ORDERS.schema if source == "dm_orders" else DM_ITEMS.schema
-        result = fn(read_table(spark, dm, source, schema=schema))
+        split = "store_id" if dm.kind == "jdbc" else None
+        result = fn(read_table(spark, dm, source, schema=schema, partition_column=split,
+                               num_partitions=args.jdbc_partitions))
         if args.out:
             out = {"written": write_table(result, target(args.out), args.name)}
         else:
-            out = {"rows": [r.asDict() for r in result.limit(1000).collect()]}
+            for row in result.toLocalIterator():
+                print(json.dumps(row.asDict(), default=str))
+            return 0
     print(json.dumps(out, default=str))
     return 0
 

@@ -2,6 +2,7 @@
 
 A contract is plain data.  ``conform`` applies one to a DataFrame (column
 list and order, casts, defaults, audit column) in a single ``select``;
+column, key and constraint names are the database's identifiers (fixed values);
 ``shopmart.operators.quality`` turns the same data into distributed checks.
 """
 
@@ -194,16 +195,14 @@ def conform(df: DataFrame, contract: Contract, audit: bool = False) -> DataFrame
     Columns come out in contract order and type (decimals round half away
     from zero on the cast, as a NUMERIC column does on insert); a column
     the frame lacks takes its default or NULL; ``audit`` appends the
-    write-time audit column.
+    write-time audit column.  A default fills an absent column only, as in a
+    database: an explicit NULL stays and is reported by the NOT NULL check.
     """
     present = set(df.columns)
     cols = []
     for name, dtype in contract.columns:
         if name in present:
-            c = F.col(name)
-            if name in contract.defaults:
-                c = F.coalesce(c, F.lit(contract.defaults[name]))
-            cols.append(c.cast(dtype).alias(name))
+            cols.append(F.col(name).cast(dtype).alias(name))
         elif name in contract.defaults:
             cols.append(F.lit(contract.defaults[name]).cast(dtype).alias(name))
         else:

@@ -3,14 +3,11 @@ de-duplication, dense surrogate keys."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopmart.session import ensure_checkpoint_dir
-
 # Columns the load step fills with 0 before splitting the raw table.
 RAW_ZERO_DEFAULTS = ("item_discount", "order_discount", "delivery_cost", "item_canceled_quantity")
 
@@ -32,8 +29,13 @@ def fill_defaults(raw: DataFrame, columns: Sequence[str] = RAW_ZERO_DEFAULTS) ->
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows with NULL (or NaN) in any of ``columns``."""
-    return df.dropna(subset=list(columns))
+    """Drop rows with NULL (or NaN) in any of ``columns``; NOT NULL reaches the scan."""
+    types = dict(df.dtypes)
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull())
+        if types[c] in ("double", "float"):
+            df = df.filter(~F.isnan(c))
+    return df
 
 
 def dedupe_by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -56,40 +58,58 @@ def dedupe_by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
             .select(*key, *[F.col("_row")[c].alias(c) for c in rest]))
 
 
+BLOCK_WIDTH = 1 << 16  # values of the first order column whose cells are summed together
+CELL_WIDTH = 1 << 12   # values of the second order column that make a cell
+
+
+def _coarse(column: str, dtype: str, width: int) -> Column:
+    """An order-preserving bucket of a column."""
+    if dtype in ("tinyint", "smallint", "int", "bigint"):
+        return F.floor(F.col(column) / F.lit(width)) if width > 1 else F.col(column)
+    if dtype == "string":
+        return F.substring(column, 1, 2)
+    return F.col(column)
+
+
 def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str]) -> DataFrame:
     """Add a dense 1..N key in ``order_cols`` order (NULLs first), as a sequence would.
 
-    Range-partition and sort on the order columns and write that layout,
-    with each row's partition and position, as parquet into the session's
-    checkpoint folder (cutting the lineage, so a lost executor cannot shift
-    keys).  Counting rows per partition then reads two columns; the counts
-    (one row per partition) become starting offsets that are broadcast back.
-    No step gathers the data in one task.
+    Equal rows are counted first (map-side), so copies are one row until the
+    end.  The others are numbered within cells - one value of the first
+    order column and a range of the second - and cells start at the sum of
+    all cells before them: summed within blocks of the first column, then over
+    the blocks (one row per ``BLOCK_WIDTH`` values).  Cells follow from the
+    values alone, so the key does not depend on layout or retries, nothing is written, and a
+    hot value of the first column is spread over the cells of the second.
+    ``order_cols`` must cover the columns that tell rows apart.
     """
-    spark = df.sparkSession
-    folder = ensure_checkpoint_dir(spark)
-    path = f"{folder.rstrip('/')}/shopmart-seq-{name}-{uuid.uuid4().hex}"
-    order_cols = list(order_cols)
-    # Rows equal on every order column are interchangeable; a seeded random
-    # tie-breaker lets the range partitioner split a large group of copies
-    # across tasks instead of sending all of them to one.
-    ordered = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col("_tie").asc()]
-    (df.withColumn("_tie", F.rand(seed=20240101))
-     .repartitionByRange(*ordered)
-     .sortWithinPartitions(*ordered)
-     .withColumn("_pid", F.spark_partition_id())
-     .withColumn("_pos", F.monotonically_increasing_id())
-     .drop("_tie")
-     .write.parquet(path))
-    staged = spark.read.parquet(path)
-
-    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
-                                        F.min("_pos").alias("_first"))
-    # One row per partition, so a single-partition window here is bounded.
-    offsets = counts.select(
-        "_pid", "_first",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    return (staged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_offset") + F.col("_pos") - F.col("_first") + F.lit(1))
-            .drop("_pid", "_pos", "_first", "_offset"))
+    order_cols, types = list(order_cols), dict(df.dtypes)
+    rest = [c for c in df.columns if c not in order_cols]
+    rows = df.groupBy(*order_cols, *rest).agg(F.count(F.lit(1)).alias("_copies"))
+    first, second = order_cols[0], order_cols[1] if len(order_cols) > 1 else None
+    cells = [_coarse(first, types[first], 1).alias("_first"),
+             (_coarse(second, types[second], CELL_WIDTH) if second else F.lit(0)).alias("_cell")]
+    rows = rows.select("*", _coarse(first, types[first], BLOCK_WIDTH).alias("_block"), *cells)
+
+    def ordered(*columns):
+        return [F.col(c).asc_nulls_first() for c in columns]
+
+    before = (Window.unboundedPreceding, -1)
+    sums = rows.groupBy("_block", "_first", "_cell").agg(F.sum("_copies").alias("_n"))
+    inside = Window.partitionBy("_block").orderBy(*ordered("_first", "_cell")).rowsBetween(*before)
+    over = Window.orderBy(*ordered("_block")).rowsBetween(*before)
+    blocks = (sums.groupBy("_block").agg(F.sum("_n").alias("_n"))
+              .select(F.col("_block").alias("_b"), F.coalesce(F.sum("_n").over(over), F.lit(0))
+                      .alias("_block_offset")))
+    starts = (sums.withColumn("_cell_offset", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+              .join(blocks, F.col("_block").eqNullSafe(F.col("_b")))
+              .select(F.col("_first").alias("_f"), F.col("_cell").alias("_c"),
+                      (F.col("_block_offset") + F.col("_cell_offset")).alias("_start")))
+    within = (Window.partitionBy("_first", "_cell").orderBy(*ordered(*order_cols, *rest))
+              .rowsBetween(*before))
+    numbered = (rows.withColumn("_before", F.coalesce(F.sum("_copies").over(within), F.lit(0)))
+                .join(starts, F.col("_first").eqNullSafe(F.col("_f"))
+                      & F.col("_cell").eqNullSafe(F.col("_c"))))
+    lowest = F.col("_start") + F.col("_before") + 1
+    return (numbered.withColumn(name, F.explode(
+        F.sequence(lowest, lowest + F.col("_copies") - 1))).select(*df.columns, name))

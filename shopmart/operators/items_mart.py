@@ -5,16 +5,13 @@ order or item collapses before any shuffle — then meet their order (one
 row per order) on ``order_id`` and are summed per (report_date, city,
 store, item).  Those narrow rows are ranked, and only then pick up the
 item's title and category and the store address, so the rank sorts do not
-carry long strings.  The six ranks share one exchange on (report_year,
-city, store_id): every window's partition key contains those columns, so
-Spark sorts six times but shuffles once.  A rank group holds at most one
-row per item and day of its period, so its size is bounded by the item
-catalogue, not by the number of orders.
+carry long strings.  Ranks come from counts of cells (one quantity, a range
+of items) and places within cells, so no task holds a whole store.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopmart.contracts import DM_ITEMS, conform
@@ -114,68 +111,124 @@ def dm_items_base(order_items: DataFrame, orders_enriched: DataFrame,
     return labeled.select(*[c for c in DM_ITEMS.names if not c.endswith("_rank")])
 
 
-RANK_SPECS = {
-    # output column: (period columns, ordered_quantity descending?)
-    "daily_popularity_rank": (("report_date",), True),
-    "daily_reverse_popularity_rank": (("report_date",), False),
-    "weekly_popularity_rank": (("report_week",), True),
-    "weekly_reverse_popularity_rank": (("report_week",), False),
-    "monthly_popularity_rank": (("report_month",), True),
-    "monthly_reverse_popularity_rank": (("report_month",), False),
-}
-RANK_PARTITION = ("report_year", "city", "store_id")
+# Period of a rank → the columns that, with the store, make its group.
+RANK_PERIODS = {"daily": ("report_date",), "weekly": ("report_week",),
+                "monthly": ("report_month",)}
+RANK_GROUP = ("report_year", "city", "store_id")
+ITEM_RANGE = 4096   # item ids of one rank cell
 
 
-def rank_window(period: tuple[str, ...], descending: bool,
-                group: tuple[str, ...] = RANK_PARTITION) -> Window:
-    """Rank within (period, report_year, city, store); ties → item_id, then day.
+def _period_group(period: str, iso_year: bool) -> list[str]:
+    """Group columns of a period's ranks; the year of an ISO week may be the ISO year."""
+    group = list(RANK_GROUP)
+    if period == "weekly" and iso_year:
+        group[0] = "_iso_year"
+    return [*RANK_PERIODS[period], *group]
 
-    Including report_year in the daily key changes no group (the date fixes
-    the year) but lets all six windows share one exchange.  Weekly and
-    monthly groups hold one row per item and day, so report_date breaks the
-    remaining ties deterministically.
-    """
-    q = F.col("ordered_quantity")
-    order = [q.desc() if descending else q.asc(), F.col("item_id").asc()]
-    if period != ("report_date",):
-        order.append(F.col("report_date").asc())
-    return Window.partitionBy(*period, *group).orderBy(*order)
+
+def _ranks_by_window(df: DataFrame, iso_year: bool) -> DataFrame:
+    """Six windows over one exchange on the store-year: simple, one task per store-year."""
+    df = df.repartition(*RANK_GROUP)
+    q, ties = F.col("ordered_quantity"), [F.col("item_id").asc(), F.col("report_date").asc()]
+    return df.withColumns({
+        f"{period}_{name}": F.row_number().over(
+            Window.partitionBy(*_period_group(period, iso_year)).orderBy(order, *ties))
+        for period in RANK_PERIODS
+        for name, order in (("popularity_rank", q.desc()), ("reverse_popularity_rank", q.asc()))})
+
+
+def _period_key(number: int, period: str, group: list[str]) -> Column:
+    """One number for a period: its kind, year, and day, week or month."""
+    value = F.unix_date(group[0]) if period == "daily" else F.col(group[0])
+    return F.lit(number * 10**12).cast("long") + F.col(group[1]) * 10**6 + value
 
 
-def with_ranks(df: DataFrame, iso_year: bool = False, shared_exchange: bool = True) -> DataFrame:
+def _ranks_by_cell(df: DataFrame, iso_year: bool) -> DataFrame:
+    """The six ranks as the rows in earlier cells plus the place within the cell.
+
+    A cell is one quantity and a range of item ids of a store-year, so a
+    store's rows are spread over as many tasks as it has cells, and a rank
+    group is never in one task.  Rows are ordered (item, day) within a cell the
+    same way for rising and falling quantity: one window per period.
+    Cells are counted per day, summed to weeks and months, and their running sums
+    in either direction are looked up by cell.
+    """
+    rows = df.withColumn("_range", F.floor(F.col("item_id") / ITEM_RANGE))
+    cell = [*RANK_GROUP, "ordered_quantity", "_range"]
+    # The mart key and a sum are never NULL.  Saying so before the exchange leaves nothing for
+    # the join below to filter, which would make its side of the exchange another one.
+    for c in cell:
+        rows = rows.filter(F.col(c).isNotNull())
+    rows = rows.repartition(*cell)
+    # 1 per row.  It reads every column, so that this side and the ranked side read the same
+    # rows of the same exchange and the mart below is computed once.
+    one = F.greatest(F.lit(1), F.least(F.lit(1), F.xxhash64(*df.columns)))
+    iso = ["_iso_year"] if iso_year else []
+    days = rows.groupBy("report_date", "report_week", "report_month", *iso, *cell).agg(
+        F.sum(one).alias("_n"))
+    starts = None
+    for i, period in enumerate(RANK_PERIODS):
+        group = _period_group(period, iso_year)
+        sums = (days.groupBy(*dict.fromkeys([*group, *cell])).agg(F.sum("_n").alias("_n")))
+        q, rest = F.col("ordered_quantity"), F.col("_range").asc()
+        if iso_year and period == "weekly":  # an ISO year's cell lies in two calendar years
+            q_cells = sums.groupBy(*group, "ordered_quantity", "_range").agg(
+                F.sum("_n").alias("_n"))
+        else:
+            q_cells = sums
+        before = (Window.unboundedPreceding, -1)
+        window = Window.partitionBy(*group)
+        q_cells = q_cells.select(
+            *group, "ordered_quantity", "_range",
+            *(F.coalesce(F.sum("_n").over(window.orderBy(order, rest).rowsBetween(*before)),
+                         F.lit(0)).alias(name)
+              for name, order in (("_falling", q.desc()), ("_rising", q.asc()))))
+        if q_cells is not sums and iso_year and period == "weekly":
+            q_cells = sums.select(*group, *cell[:1], "ordered_quantity", "_range").join(
+                q_cells, [*group, "ordered_quantity", "_range"])
+        found = q_cells.select(*cell, _period_key(i, period, group).alias("key"),
+                               F.struct("_falling", "_rising").alias("at"))
+        starts = found if starts is None else starts.unionByName(found)
+    # One row per cell: at most 366 days, 53 weeks and 12 months in its maps.
+    starts = starts.groupBy(*cell).agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "at"))).alias("_starts"))
+    ranked = rows.join(starts, cell)
+    for i, period in enumerate(RANK_PERIODS):
+        group = _period_group(period, iso_year)
+        at = F.element_at("_starts", _period_key(i, period, group))
+        place = F.row_number().over(
+            Window.partitionBy(*dict.fromkeys([*group, "ordered_quantity", "_range"]))
+            .orderBy("item_id", "report_date"))
+        ranked = ranked.withColumns({
+            f"{period}_popularity_rank": at["_falling"] + place,
+            f"{period}_reverse_popularity_rank": at["_rising"] + place})
+    return ranked.drop("_range", "_starts")
+
+
+RANK_METHODS = {"cells": _ranks_by_cell, "windows": _ranks_by_window}
+
+
+def with_ranks(df: DataFrame, iso_year: bool = False, method: str = "cells") -> DataFrame:
     """The six popularity ranks over item rows of dated, store-bound orders.
 
-    Weekly ranks group by calendar ``report_year`` and ISO ``report_week``
-    (so 2024-12-30, ISO week 1 of 2025, joins week 1 of 2024).  With
-    ``iso_year=True`` they group by the ISO week-numbering year instead;
-    that key is not inside (report_year, city, store), so the weekly ranks
-    then take a second exchange.
-
-    ``shared_exchange`` (default) shuffles once on (report_year, city,
-    store_id): a task then holds whole store-years, at most items × 366
-    rows per store.  With ``False`` Spark shuffles once per period (three
-    exchanges) and a task holds at most items × 31 rows per store — the
-    choice for a very large item catalogue.
+    Ranks are by ``ordered_quantity`` within (period, report_year, city,
+    store); ties → item_id, then day.  Weekly ranks group by calendar
+    ``report_year`` and ISO ``report_week`` (so 2024-12-30, ISO week 1 of 2025,
+    joins week 1 of 2024), with ``iso_year=True`` by the ISO week-numbering year.
+
+    ``method="cells"`` holds no rank group in one task; ``"windows"`` gives
+    the same ranks from six plain windows, with all rows of a store-year
+    (at most items × 366) in one task.
     """
     ranked = df.filter(F.col("store_id").isNotNull())
-    if shared_exchange:
-        ranked = ranked.repartition(*RANK_PARTITION)
-    specs = dict(RANK_SPECS)
     if iso_year:
         ranked = ranked.withColumn("_iso_year", iso_year_of("report_date"))
-        weekly = {n: specs.pop(n) for n in list(specs) if n.startswith("weekly")}
-    ranked = ranked.withColumns({name: F.row_number().over(rank_window(period, desc))
-                                 for name, (period, desc) in specs.items()})
-    if iso_year:
-        group = ("_iso_year", "city", "store_id")
-        ranked = ranked.withColumns({name: F.row_number().over(rank_window(period, desc, group))
-                                     for name, (period, desc) in weekly.items()})
-    return ranked
+    return RANK_METHODS[method](ranked, iso_year)
 
 
-def dm_items(base: DataFrame, iso_year: bool = False, shared_exchange: bool = True) -> DataFrame:
+def dm_items(base: DataFrame, iso_year: bool = False, method: str = "cells") -> DataFrame:
     """Add the six popularity ranks to ``dm_items_base`` and conform."""
-    return conform(with_ranks(base, iso_year, shared_exchange), DM_ITEMS)
+    return conform(with_ranks(base, iso_year, method), DM_ITEMS)
 
 
 def build_dm_items(orders_enriched: DataFrame, order_items: DataFrame, items: DataFrame,
@@ -183,8 +236,8 @@ def build_dm_items(orders_enriched: DataFrame, order_items: DataFrame, items: Da
     """Dated orders + lines + items (+ stores) → ``dm_items``.
 
     Ranks are computed on the narrow measure rows; titles, categories and
-    the store address are looked up afterwards, so the six window sorts do
-    not carry the long strings (about a third faster at 6M rows).
+    the store address are looked up afterwards, so the rank sorts do
+    not carry the long strings.
     """
     oe = orders_enriched.filter(F.col("store_id").isNotNull())
     totals = item_totals(order_items, oe, with_address=stores is None)

@@ -9,18 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from shopmart.contracts import ORDER_ITEMS, ORDERS
 from shopmart.functions.text import address_part
 from shopmart.operators.cleaning import dedupe_by_key, require
 
-ORDER_COLUMNS = (
-    "order_id", "user_id", "store_id", "address_text", "created_at", "paid_at",
-    "delivery_started_at", "delivered_at", "canceled_at", "payment_type", "order_discount",
-    "order_cancellation_reason", "delivery_cost",
-)
-ORDER_ITEM_COLUMNS = (
-    "order_id", "item_id", "item_quantity", "item_price", "item_canceled_quantity",
-    "item_discount", "item_replaced_id",
-)
+ORDER_COLUMNS = tuple(c for c in ORDERS.names if c != "delivery_city")
+ORDER_ITEM_COLUMNS = tuple(c for c in ORDER_ITEMS.names if c != "order_item_sk")
 
 
 def users(raw: DataFrame) -> DataFrame:
@@ -50,8 +44,7 @@ def orders(raw: DataFrame) -> DataFrame:
     df = raw.select(*ORDER_COLUMNS).withColumn("delivery_city", address_part("address_text", 0))
     df = require(df, ["order_id", "user_id"])
     df = dedupe_by_key(df, ["order_id"])
-    return df.select("order_id", "user_id", "store_id", "address_text", "delivery_city",
-                     *ORDER_COLUMNS[4:])
+    return df.select(*ORDERS.names)
 
 
 def order_items(raw: DataFrame, line_key: list[str] | None = None) -> DataFrame:

@@ -49,9 +49,11 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame,
 
     A left-anti join on the reference; NULL references pass, as in SQL.
     Spark broadcasts the parent keys when they are measured small and
-    otherwise shuffles both sides, splitting a hot reference (AQE skew join).
+    otherwise shuffles both sides, splitting a hot reference (AQE skew join;
+    the parent keys are not made distinct, as an aggregate above their
+    exchange would keep AQE from splitting).
     """
-    keys = parent.select(F.col(parent_key).alias("_parent_key")).distinct()
+    keys = parent.select(F.col(parent_key).alias("_parent_key"))
     return (child.filter(F.col(column).isNotNull())
             .join(keys, F.col(column) == F.col("_parent_key"), "left_anti"))
 

@@ -75,7 +75,7 @@ def _report_query(fn, mart):
     return lambda L: fn(L.mart(mart))
 
 
-def _unique_query(table, key):
+def _unique_query(table, key, allow_null=False):
     def build(L):
         if table.startswith("dm_"):
             df = L.mart(table)
@@ -85,7 +85,7 @@ def _unique_query(table, key):
             df = L.core_with_keys(table)
         else:
             df = L.core(table)
-        return quality.check_unique(df, key, allow_null=(table == "raw"))
+        return quality.check_unique(df, key, allow_null)
     return build
 
 
@@ -94,6 +94,36 @@ def _fk_query(fk):
                                                L.core(fk.parent), fk.parent_key)
 
 
+# Keys that rows of the raw table and of the marts share: the uniqueness check at work.
+SHARED_KEYS = {
+    "check_unique_raw_order_item": ("raw", ("order_id", "item_id")),
+    "check_unique_raw_user": ("raw", ("user_id",)),
+    "check_unique_raw_store": ("raw", ("store_id",)),
+    "check_unique_raw_driver": ("raw", ("driver_id",)),
+    "check_unique_raw_item": ("raw", ("item_id",)),
+    "check_unique_raw_order": ("raw", ("order_id",)),
+    "check_unique_raw_order_driver": ("raw", ("order_id", "driver_id")),
+    "check_unique_order_items_line": ("order_items", ("order_id", "item_id")),
+    "check_unique_dm_orders_day_city": ("dm_orders", ("report_date", "city")),
+    "check_unique_dm_items_day_item": ("dm_items", ("report_date", "item_id")),
+}
+
+
+def _fk_to_known(child, column, parent, key, known):
+    """References to parents that lack a value count as broken."""
+    return lambda L: quality.check_foreign_key(
+        L.core(child), column, L.core(parent).filter(F.col(known).isNotNull()), key)
+
+
+# References that some rows of the driver's data break: to stores whose city is known, to
+# orders that were delivered.
+KNOWN_PARENTS = {
+    "check_fk_orders_store_with_city": ("orders", "store_id", "stores", "store_id", "store_city"),
+    "check_fk_order_drivers_delivered": ("order_drivers", "order_id", "orders", "order_id",
+                                         "delivered_at"),
+}
+
+
 def _not_null_core(L):
     frames = [quality.check_not_null(L.core_with_keys(n), c) for n, c in CORE.items()]
     out = frames[0]
@@ -139,7 +169,10 @@ def _build_registry() -> dict[str, Callable[[Lineage], DataFrame]]:
     r["check_unique_order_items_sk"] = _unique_query("order_items", ("order_item_sk",))
     r["check_unique_order_drivers_sk"] = _unique_query("order_drivers", ("order_driver_sk",))
     r["check_unique_order_drivers_pair"] = _unique_query("order_drivers", ("order_id", "driver_id"))
-    r["check_unique_raw_order_item"] = _unique_query("raw", ("order_id", "item_id"))
+    for name, (table, key) in SHARED_KEYS.items():
+        r[name] = _unique_query(table, key, allow_null=True)
+    for name, spec in KNOWN_PARENTS.items():
+        r[name] = _fk_to_known(*spec)
     r["check_unique_dm_orders"] = _unique_query("dm_orders", DM_ORDERS.key)
     r["check_unique_dm_items"] = _unique_query("dm_items", DM_ITEMS.key)
     for fk in FOREIGN_KEYS:

@@ -41,6 +41,17 @@ COLUMNS = {
     'check_unique_order_drivers_sk': ['order_driver_sk', 'n_rows'],
     'check_unique_order_drivers_pair': ['order_id', 'driver_id', 'n_rows'],
     'check_unique_raw_order_item': ['order_id', 'item_id', 'n_rows'],
+    'check_unique_raw_user': ['user_id', 'n_rows'],
+    'check_unique_raw_store': ['store_id', 'n_rows'],
+    'check_unique_raw_driver': ['driver_id', 'n_rows'],
+    'check_unique_raw_item': ['item_id', 'n_rows'],
+    'check_unique_raw_order': ['order_id', 'n_rows'],
+    'check_unique_raw_order_driver': ['order_id', 'driver_id', 'n_rows'],
+    'check_unique_order_items_line': ['order_id', 'item_id', 'n_rows'],
+    'check_unique_dm_orders_day_city': ['report_date', 'city', 'n_rows'],
+    'check_unique_dm_items_day_item': ['report_date', 'item_id', 'n_rows'],
+    'check_fk_orders_store_with_city': ['order_id', 'user_id', 'store_id', 'address_text', 'delivery_city', 'created_at', 'paid_at', 'delivery_started_at', 'delivered_at', 'canceled_at', 'payment_type', 'order_discount', 'order_cancellation_reason', 'delivery_cost'],
+    'check_fk_order_drivers_delivered': ['order_id', 'driver_id'],
     'check_unique_dm_orders': ['report_date', 'city', 'store_id', 'n_rows'],
     'check_unique_dm_items': ['report_date', 'city', 'store_id', 'item_id', 'n_rows'],
     'check_fk_orders_user': ['order_id', 'user_id', 'store_id', 'address_text', 'delivery_city', 'created_at', 'paid_at', 'delivery_started_at', 'delivered_at', 'canceled_at', 'payment_type', 'order_discount', 'order_cancellation_reason', 'delivery_cost'],

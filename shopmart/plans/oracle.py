@@ -67,16 +67,16 @@ SELECT o.o_orderkey AS order_id,
  CASE WHEN o.o_orderkey % 89 = 0 THEN -5.0 WHEN o.o_orderstatus = 'P' THEN NULL ELSE 99.5 END AS delivery_cost,
  CASE WHEN l.l_linenumber = 6 THEN NULL ELSE l.l_suppkey END AS driver_id,
  CASE WHEN l.l_linenumber = 6 THEN NULL ELSE s.s_name END AS driver_phone,
- l.l_partkey % 200 AS item_id,
- CASE WHEN l.l_partkey % 50 = 49 THEN NULL ELSE p.p_name END AS item_title,
+ l.item AS item_id,
+ CASE WHEN l.item % 50 = 49 THEN NULL ELSE p.p_name END AS item_title,
  p.p_type AS item_category,
  CAST(l.l_quantity AS INT) AS item_quantity,
  p.p_retailprice AS item_price,
  CASE WHEN l.l_linenumber = 5 AND l.l_returnflag = 'R' THEN CAST(l.l_quantity AS INT) + 1 WHEN l.l_returnflag = 'R' THEN CAST(l.l_quantity AS INT) WHEN l.l_returnflag = 'A' THEN 1 END AS item_canceled_quantity,
- CASE WHEN l.l_linenumber = 7 THEN NULL WHEN l.l_linenumber = 4 AND l.l_partkey % 40 = 7 THEN 120.0 ELSE ROUND(l.l_discount * 100, 0) END AS item_discount,
- CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber = 1 THEN (l.l_partkey + 1) % 200 END AS item_replaced_id
+ CASE WHEN l.l_linenumber = 7 THEN NULL WHEN l.l_linenumber = 4 AND l.item % 40 = 7 THEN 120.0 ELSE ROUND(l.l_discount * 100, 0) END AS item_discount,
+ CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber = 1 THEN l.item + 1 END AS item_replaced_id
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey LEFT JOIN part p ON p.p_partkey = l.l_partkey % 200
+LEFT JOIN (SELECT *, CASE WHEN l_linenumber = 2 THEN l_partkey - l_partkey % 20 ELSE l_partkey END AS item FROM lineitem) l ON l.l_orderkey = o.o_orderkey LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey LEFT JOIN part p ON p.p_partkey = l.item
 """
 
 NUM_LINE = (f"(CAST(GREATEST(item_quantity - item_canceled_quantity, 0) AS DECIMAL(10,0)) "
@@ -394,7 +394,23 @@ def _bodies() -> dict[str, str]:
     b["check_unique_order_items_sk"] = _unique("order_items_sk", ["order_item_sk"])
     b["check_unique_order_drivers_sk"] = _unique("order_drivers_sk", ["order_driver_sk"])
     b["check_unique_order_drivers_pair"] = _unique("order_drivers", ["order_id", "driver_id"])
-    b["check_unique_raw_order_item"] = _unique("filled", ["order_id", "item_id"], True)
+    for name, (table, key) in {
+            "raw_order_item": ("filled", ["order_id", "item_id"]), "raw_user": ("filled", ["user_id"]),
+            "raw_store": ("filled", ["store_id"]), "raw_driver": ("filled", ["driver_id"]),
+            "raw_item": ("filled", ["item_id"]), "raw_order": ("filled", ["order_id"]),
+            "raw_order_driver": ("filled", ["order_id", "driver_id"]),
+            "order_items_line": ("order_items", ["order_id", "item_id"]),
+            "dm_orders_day_city": ("dm_orders", ["report_date", "city"]),
+            "dm_items_day_item": ("dm_items", ["report_date", "item_id"])}.items():
+        b[f"check_unique_{name}"] = _unique(table, key, True)
+    for name, (child, col, parent, known) in {
+            "orders_store_with_city": ("orders", "store_id", "stores", "store_city"),
+            "order_drivers_delivered": ("order_drivers", "order_id", "orders", "delivered_at"),
+            }.items():
+        cols = ", ".join(f"c.{c}" for c in CORE_COLUMNS[child])
+        b[f"check_fk_{name}"] = (
+            f"SELECT {cols} FROM {child} c LEFT JOIN {parent} p ON p.{col} = c.{col} "
+            f"WHERE c.{col} IS NOT NULL AND p.{known} IS NULL")
     b["check_unique_dm_orders"] = _unique("dm_orders", ["report_date", "city", "store_id"])
     b["check_unique_dm_items"] = _unique("dm_items",
                                          ["report_date", "city", "store_id", "item_id"])

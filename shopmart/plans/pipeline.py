@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, FOREIGN_KEYS, LOAD_ORDER, RAW, conform
 from shopmart.operators import items_mart, normalize, orders_mart, quality
 from shopmart.operators.cleaning import fill_defaults, with_surrogate_key
-from shopmart.sources.io import Target, read_files, read_table, write_table
+from shopmart.sources.io import JDBC_PARTITIONS, Target, read_files, read_table, write_table
 
 SEQUENCE_KEYS = {
     "order_items": ("order_item_sk", normalize.ORDER_ITEM_COLUMNS),
@@ -98,8 +98,7 @@ def truncate_children_first(spark: SparkSession, target: Target) -> None:
     """Empty the core tables of a JDBC target, children before parents.
 
     An overwrite of an empty frame with ``truncate`` issues TRUNCATE and
-    keeps the table; pass ``cascadeTruncate="true"`` in the target options
-    where the database supports it.
+    keeps the table; PostgreSQL targets truncate with CASCADE (see ``Target.jdbc``).
     """
     for name in reversed(LOAD_ORDER):
         empty = spark.createDataFrame([], CORE[name].schema)
@@ -126,11 +125,13 @@ def violation_counts(violations: dict[str, DataFrame], workers: int = 4) -> dict
 
 def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Target,
             raw_name: str = "raw", violations_target: Target | None = None,
-            workers: int = 4, fail_on_violation: bool = False) -> RunResult:
+            workers: int = 4, fail_on_violation: bool = False,
+            jdbc_partitions: int = JDBC_PARTITIONS) -> RunResult:
     """Raw order lines → seven core tables; constraint report.
 
-    ``raw_source`` is a target holding ``raw_name`` (read with the declared
-    RAW schema, so a drifted file fails at once) or a ready DataFrame.
+    ``raw_source`` is a target holding ``raw_name`` (a file whose columns
+    differ from the RAW contract raises before anything is written) or a
+    ready DataFrame.
     The seven tables are independent jobs and are written concurrently,
     except into JDBC, where parents are loaded before children so that
     database foreign keys hold.  Checks run over the tables just written,
@@ -152,7 +153,7 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
         return lambda: _write_counted(core_table(filled, name), core_target, name, result,
                                       mode="append" if jdbc else "overwrite")
     run_concurrently({name: load(name) for name in LOAD_ORDER}, 1 if jdbc else workers)
-    result.violations = core_violations(read_core(spark, core_target))
+    result.violations = core_violations(read_core(spark, core_target, jdbc_partitions))
     if violations_target is not None:
         run_concurrently({name: (lambda n=name, df=df: write_table(df, violations_target, n))
                           for name, df in result.violations.items()}, workers)
@@ -163,14 +164,15 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
     return result
 
 
-def run_load(spark: SparkSession, core_source: Target, target: Target) -> RunResult:
+def run_load(spark: SparkSession, core_source: Target, target: Target,
+             jdbc_partitions: int = JDBC_PARTITIONS) -> RunResult:
     """Copy built core tables into another target (typically JDBC).
 
     Into JDBC the tables are emptied children-first and appended
     parents-first, so database foreign keys hold throughout; each table is
     written by the executors over parallel connections.
     """
-    core = read_core(spark, core_source)
+    core = read_core(spark, core_source, jdbc_partitions)
     result = RunResult()
     jdbc = target.kind == "jdbc"
     if jdbc:
@@ -183,8 +185,7 @@ def run_load(spark: SparkSession, core_source: Target, target: Target) -> RunRes
 def marts(core: dict[str, DataFrame], **item_options) -> dict[str, DataFrame]:
     """Core tables → conformed ``dm_orders`` and ``dm_items`` (lazy).
 
-    ``item_options`` go to ``items_mart.dm_items`` (``iso_year``,
-    ``shared_exchange``).
+    ``item_options`` go to ``items_mart.with_ranks`` (``iso_year``, ``method``).
     """
     dm_orders = orders_mart.build_dm_orders(core["orders"], core["order_items"],
                                             core["order_drivers"], core["stores"])
@@ -200,7 +201,8 @@ JDBC_SPLIT = {"users": "user_id", "stores": "store_id", "drivers": "driver_id",
               "order_drivers": "order_driver_sk"}
 
 
-def read_core(spark: SparkSession, source: Target, jdbc_partitions: int = 16) -> dict:
+def read_core(spark: SparkSession, source: Target,
+              jdbc_partitions: int = JDBC_PARTITIONS) -> dict:
     """The seven core tables; JDBC sources are read as parallel key ranges."""
     if source.kind == "jdbc":
         return {name: read_table(spark, source, name, partition_column=JDBC_SPLIT[name],
@@ -210,7 +212,7 @@ def read_core(spark: SparkSession, source: Target, jdbc_partitions: int = 16) ->
 
 def run_marts(spark: SparkSession, core_source: Target, mart_target: Target,
               partition_by: list[str] | None = None, workers: int = 2,
-              jdbc_partitions: int = 16) -> RunResult:
+              jdbc_partitions: int = JDBC_PARTITIONS) -> RunResult:
     """Core tables → both marts, written concurrently with the audit column."""
     core = read_core(spark, core_source, jdbc_partitions)
     result = RunResult()

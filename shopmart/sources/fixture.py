@@ -1,16 +1,16 @@
 """The wide raw order-line table, derived from the driver's TPC-H-style tables.
 
-Customer nation plays the store, supplier the courier, ``part`` (key modulo
-200) the item, lineitem the order line.  Every order and every line is kept;
-the ``% n`` conditions below only inject the defects the cleaning rules
-exist for (missing users, stores, dates, titles, couriers; out-of-range
-discounts; cancelled > ordered; Cyrillic reasons), deterministically.
+Customer nation plays the store, supplier the courier, ``part`` the item,
+lineitem the order line.  Every order, line and part is kept; the ``% n``
+conditions below only inject the defects the cleaning rules exist for
+(missing users, stores, dates, titles, couriers; out-of-range discounts;
+cancelled > ordered; Cyrillic reasons; copies that disagree), deterministically.
+Second lines buy one of the popular items, every twentieth part, so items
+differ in popularity at every scale.
 
-Join plan at scale: orders ⋈ customer and orders ⟕ lineitem ⟕ supplier are
-shuffle joins on well-spread keys (AQE splits a hot key); nation and region
-are fixed-size and broadcast by size; ``part`` is cut to keys 0..199 of its
-primary key, so at most 200 rows, and is broadcast explicitly — a shuffle on
-``l_partkey % 200`` would put all lines into 200 tasks.
+Join plan at scale: orders ⋈ customer and orders ⟕ lineitem ⟕ supplier ⟕ part
+are shuffle joins on well-spread keys (AQE splits a hot key); nation and region
+are fixed-size.  Spark broadcasts what it measures small.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shopmart.contracts import RAW, conform
 
-ITEM_KEYS = 200  # part keys fold onto this many items
+POPULAR_EVERY = 20  # every so many parts, one is popular
 
 
 def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,8 +38,10 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                               "l_quantity", "l_discount", "l_returnflag")
     s = t("supplier").select("s_suppkey", "s_name")
-    p = (t("part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-         .filter(F.col("p_partkey").between(0, ITEM_KEYS - 1)))
+    p = t("part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    part = F.col("l_partkey")
+    li = li.withColumn("item", F.when(F.col("l_linenumber") == 2, part - part % POPULAR_EVERY)
+                       .otherwise(part))
 
     joined = (
         o.join(c, o.o_custkey == c.c_custkey)
@@ -47,7 +49,7 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(r, n.n_regionkey == r.r_regionkey)
         .join(li, li.l_orderkey == o.o_orderkey, "left")
         .join(s, s.s_suppkey == li.l_suppkey, "left")
-        .join(F.broadcast(p), p.p_partkey == li.l_partkey % ITEM_KEYS, "left")
+        .join(p, p.p_partkey == li.item, "left")
     )
 
     k = F.col("o_orderkey")
@@ -56,6 +58,7 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.col("l_returnflag")
     qty = F.col("l_quantity").cast("int")
     day = F.col("o_orderdate")
+    item = F.col("item")
     cancelled = (status != "F") & (k % 2 == 0)
 
     def plus(interval: str):
@@ -94,8 +97,8 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(99.5)).alias("delivery_cost"),
         F.when(~F.coalesce(line == 6, F.lit(False)), F.col("l_suppkey")).alias("driver_id"),
         F.when(~F.coalesce(line == 6, F.lit(False)), F.col("s_name")).alias("driver_phone"),
-        (F.col("l_partkey") % ITEM_KEYS).alias("item_id"),
-        F.when(~F.coalesce(F.col("l_partkey") % 50 == 49, F.lit(False)), F.col("p_name"))
+        item.alias("item_id"),
+        F.when(~F.coalesce(item % 50 == 49, F.lit(False)), F.col("p_name"))
         .alias("item_title"),
         F.col("p_type").alias("item_category"),
         qty.alias("item_quantity"),
@@ -104,9 +107,9 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(flag == "R", qty)
         .when(flag == "A", F.lit(1)).alias("item_canceled_quantity"),
         F.when(line == 7, F.lit(None))
-        .when((line == 4) & (F.col("l_partkey") % 40 == 7), F.lit(120.0))
+        .when((line == 4) & (item % 40 == 7), F.lit(120.0))
         .otherwise(F.round(F.col("l_discount") * 100, 0)).alias("item_discount"),
-        F.when((flag == "R") & (line == 1), (F.col("l_partkey") + 1) % ITEM_KEYS)
+        F.when((flag == "R") & (line == 1), item + 1)
         .alias("item_replaced_id"),
     )
     return conform(raw, RAW)

@@ -4,9 +4,12 @@ A ``Target`` says where a set of tables lives.  Every read and write is a
 distributed Spark read or write — executors scan and write their own
 partitions; nothing is collected to the driver.
 
-Refresh is "write a new version, then switch": parquet tables are written
-into a fresh ``version=`` folder and a one-line pointer is replaced only
-after the data is complete, so readers never see a half-written table.
+Refresh is "write a new version, then list it": parquet tables are written
+into a fresh ``version=`` folder, and the version is appended to the table's
+list of finished versions only after its data is complete.  Nothing is
+overwritten or deleted; readers take the newest listed version, and a
+versioned table without the list is an error, never a read of all folders.
+Catalog tables are overwritten in place by Spark, without a switch.
 JDBC targets use Spark's truncate-and-append overwrite (the table, its
 constraints and grants stay) with parallel connections per partition.
 """
@@ -22,7 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINTER = "_current"
+FINISHED = "_finished"
+FETCH_ROWS = 10_000   # rows a JDBC connection fetches at a time
+JDBC_PARTITIONS = 16  # parallel JDBC range reads unless said otherwise
 
 
 @dataclass(frozen=True)
@@ -31,6 +36,7 @@ class Target:
     location: str                   # base folder, database name, or JDBC url
     options: dict = field(default_factory=dict)   # JDBC user/password/driver, batchsize …
     versioned: bool = True          # parquet only
+    schema: str | None = None       # database schema of a JDBC target's tables
 
     @staticmethod
     def parquet(base: str, versioned: bool = True) -> "Target":
@@ -41,11 +47,20 @@ class Target:
         return Target("table", database)
 
     @staticmethod
-    def jdbc(url: str, **options) -> "Target":
-        return Target("jdbc", url, options=options)
+    def jdbc(url: str, schema: str | None = None, **options) -> "Target":
+        """``options`` go to Spark's JDBC source; ``fetchsize`` has a default, and on
+        PostgreSQL ``cascadeTruncate``, which it needs to empty a referenced table."""
+        defaults = {"fetchsize": str(FETCH_ROWS)}
+        if url.startswith("jdbc:postgresql:"):
+            defaults["cascadeTruncate"] = "true"
+        return Target("jdbc", url, options={**defaults, **options}, schema=schema)
 
+    def dbtable(self, name: str) -> str:
+        return f"{self.schema}.{name}" if self.schema else name
 
-def jdbc_target_from_env(env=None, prefix: str = "POSTGRES_") -> Target:
+
+def jdbc_target_from_env(env=None, prefix: str = "POSTGRES_",
+                         schema: str | None = None) -> Target:
     """A PostgreSQL JDBC target from ``{prefix}USER/PASSWORD/HOST/INTERNAL_PORT/DB``.
 
     Defaults: user and password ``postgres``, host ``postgres``, port 5432,
@@ -55,12 +70,31 @@ def jdbc_target_from_env(env=None, prefix: str = "POSTGRES_") -> Target:
     get = lambda k, d: env.get(prefix + k, d)
     url = "jdbc:postgresql://%s:%s/%s" % (get("HOST", "postgres"), get("INTERNAL_PORT", "5432"),
                                            quote(get("DB", "postgres")))
-    return Target.jdbc(url, user=get("USER", "postgres"), password=get("PASSWORD", "postgres"),
-                       driver="org.postgresql.Driver")
+    return Target.jdbc(url, schema=schema, user=get("USER", "postgres"),
+                       password=get("PASSWORD", "postgres"), driver="org.postgresql.Driver")
+
+
+class SchemaDrift(ValueError):
+    """Columns of a file that are missing or of another type than declared."""
+
+
+def check_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Raise ``SchemaDrift`` unless the files' footer has every declared column and type.
+
+    Spark reads a missing column as NULL when a schema is given; this looks at
+    the file's own schema first.  Further columns are allowed (and not read).
+    """
+    found = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    wrong = [f"{f.name} is missing" if f.name not in found else
+             f"{f.name} is {found[f.name].simpleString()}, not {f.dataType.simpleString()}"
+             for f in schema.fields if found.get(f.name) != f.dataType]
+    if wrong:
+        raise SchemaDrift(f"{path}: " + "; ".join(wrong))
 
 
 def read_files(spark: SparkSession, path_or_glob: str, schema: T.StructType) -> DataFrame:
     """Scan parquet files by path or glob (``…/raw/*.parquet``) with a declared schema."""
+    check_schema(spark, path_or_glob, schema)
     return spark.read.schema(schema).parquet(path_or_glob)
 
 
@@ -68,38 +102,44 @@ def _path(target: Target, name: str) -> str:
     return f"{target.location}/{name}"
 
 
-def current_version(spark: SparkSession, target: Target, name: str) -> str | None:
-    """The version folder a versioned parquet table points at (one short line)."""
-    try:
-        row = spark.read.text(f"{_path(target, name)}/{POINTER}").first()
-    except Exception:  # no pointer yet: unversioned or never written
-        return None
-    return row.value.strip() if row else None
+def current_version(spark: SparkSession, target: Target, name: str) -> str:
+    """The newest finished version folder of a versioned parquet table.
+
+    The list has one short line per refresh; a missing list is an error.
+    """
+    newest = spark.read.text(f"{_path(target, name)}/{FINISHED}").agg(F.max("value")).first()[0]
+    if newest is None:
+        raise FileNotFoundError(f"no finished version of {_path(target, name)}")
+    return newest
+
+
+def _jdbc_reader(spark: SparkSession, target: Target, dbtable: str):
+    reader = (spark.read.format("jdbc").option("url", target.location)
+              .option("dbtable", dbtable))
+    for k, v in target.options.items():
+        reader = reader.option(k, v)
+    return reader
 
 
 def read_table(spark: SparkSession, target: Target, name: str,
                schema: T.StructType | None = None, partition_column: str | None = None,
                lower_bound: int | None = None, upper_bound: int | None = None,
                num_partitions: int | None = None) -> DataFrame:
-    """Read table ``name``; ``schema`` makes a parquet read fail early on drift.
+    """Read table ``name``; with ``schema`` a drifted parquet file raises ``SchemaDrift``.
 
     For JDBC, ``partition_column`` and ``num_partitions`` split the scan into
     parallel range queries instead of one connection; bounds not given are
-    fetched with one pushed-down ``MIN``/``MAX`` query (a single row).
+    asked of the database as a ``MIN``/``MAX`` subquery (a single row).
     """
     if target.kind == "parquet":
         path = _path(target, name)
-        version = current_version(spark, target, name) if target.versioned else None
-        if version:
-            path = f"{path}/{version}"
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(path)
+        if target.versioned:
+            path = f"{path}/{current_version(spark, target, name)}"
+        return read_files(spark, path, schema) if schema is not None else spark.read.parquet(path)
     if target.kind == "table":
         return spark.table(f"{target.location}.{name}")
     if target.kind == "jdbc":
-        reader = spark.read.format("jdbc").option("url", target.location).option("dbtable", name)
-        for k, v in target.options.items():
-            reader = reader.option(k, v)
+        reader = _jdbc_reader(spark, target, target.dbtable(name))
         if partition_column:
             if lower_bound is None or upper_bound is None:
                 lower_bound, upper_bound = _jdbc_bounds(spark, target, name, partition_column)
@@ -107,18 +147,21 @@ def read_table(spark: SparkSession, target: Target, name: str,
                     return reader.load()
             reader = (reader.option("partitionColumn", partition_column)
                       .option("lowerBound", lower_bound).option("upperBound", upper_bound)
-                      .option("numPartitions", num_partitions or 8))
+                      .option("numPartitions", num_partitions or JDBC_PARTITIONS))
         return reader.load()
     raise ValueError(f"unknown target kind {target.kind!r}")
 
 
+def bounds_query(target: Target, name: str, column: str) -> str:
+    """The MIN/MAX subquery that stands for a table in a JDBC read (``column`` as SQL)."""
+    return f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {target.dbtable(name)}) b"
+
+
 def _jdbc_bounds(spark: SparkSession, target: Target, name: str, column: str):
-    """MIN/MAX of ``column``, pushed to the database as one aggregate query."""
-    reader = (spark.read.format("jdbc").option("url", target.location).option("dbtable", name)
-              .option("pushDownAggregate", "true"))
-    for k, v in target.options.items():
-        reader = reader.option(k, v)
-    row = reader.load().agg(F.min(column), F.max(column)).first()
+    """MIN/MAX of ``column``, computed by the database."""
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(target.location)
+    query = bounds_query(target, name, dialect.quoteIdentifier(column))
+    row = _jdbc_reader(spark, target, query).load().first()
     return (row[0], row[1]) if row is not None else (None, None)
 
 
@@ -129,8 +172,12 @@ def write_table(df: DataFrame, target: Target, name: str, mode: str = "overwrite
 
     ``max_records_per_file`` splits each task's output into files of at
     most that many rows (no shuffle), so a small table written by few tasks
-    can still be scanned by many.
+    can still be scanned by many.  With ``partition_by`` the rows are rebalanced
+    by those columns first, so a folder gets a few files of the advised size
+    instead of one per task; AQE splits large folders over several tasks.
     """
+    if partition_by and target.kind != "jdbc":
+        df = df.hint("rebalance", *partition_by)
     if target.kind == "parquet":
         path = _path(target, name)
         if max_records_per_file:
@@ -149,10 +196,10 @@ def write_table(df: DataFrame, target: Target, name: str, mode: str = "overwrite
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{path}/{version}")
-        # Switch only after the data is complete.
+        # List the version only after its data is complete.
         spark = df.sparkSession
         (spark.createDataFrame([(version,)], "value string").coalesce(1)
-         .write.mode("overwrite").text(f"{path}/{POINTER}"))
+         .write.mode("append").text(f"{path}/{FINISHED}"))
         return f"{path}/{version}"
     if target.kind == "table":
         w = df.write.mode(mode).format("parquet")
@@ -162,7 +209,7 @@ def write_table(df: DataFrame, target: Target, name: str, mode: str = "overwrite
         return f"{target.location}.{name}"
     if target.kind == "jdbc":
         w = (df.write.format("jdbc").mode(mode).option("url", target.location)
-             .option("dbtable", name))
+             .option("dbtable", target.dbtable(name)))
         if mode == "overwrite":
             w = w.option("truncate", "true")
         for k, v in target.options.items():

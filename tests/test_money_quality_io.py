@@ -71,7 +71,10 @@ def test_conform_defaults_and_audit(spark):
     out = conform(df, DM_ORDERS, audit=True)
     assert out.columns == DM_ORDERS.names + ["created_at"]
     r = out.first()
-    assert r.gross_amount == 0 and r.orders_created_cnt == 0 and r.store_id is None
+    # a default fills an absent column; an explicit NULL stays and is reported
+    assert r.gross_amount is None and r.orders_created_cnt == 0 and r.store_id is None
+    nulls = {n.column_name: n.null_rows for n in quality.check_not_null(out, DM_ORDERS).collect()}
+    assert nulls["gross_amount"] == 1 and nulls["orders_created_cnt"] == 0
 
 
 def test_versioned_parquet_roundtrip(spark, tmp_path):
@@ -103,12 +106,12 @@ def test_run_etl_and_marts_end_to_end(spark, tmp_path):
     assert etl.rows == {"users": 150, "stores": 25, "drivers": 10, "items": 196,
                         "orders": 1484, "order_items": 6000, "order_drivers": 4356}
     counts = {k: v.count() for k, v in etl.violations.items()}
-    assert counts["fk_order_items_order"] == 67 and counts["fk_order_items_item"] == 124
+    assert counts["fk_order_items_order"] == 67 and counts["fk_order_items_item"] == 105
     assert counts["fk_order_items_replaced_item"] == 9 and counts["fk_order_drivers_order"] == 50
     assert counts["checks_order_items"] == 288 + 26 and counts["checks_orders"] == 14 + 16
     assert counts["unique_order_items"] == 0 and counts["unique_order_drivers_order_id_driver_id"] == 0
     marts = pipeline.run_marts(spark, core, dm)
-    assert marts.rows == {"dm_orders": 1437, "dm_items": 5726}
+    assert marts.rows == {"dm_orders": 1437, "dm_items": 5706}
     sk = read_table(spark, core, "order_items").agg(F.min("order_item_sk"), F.max("order_item_sk"),
                                                      F.countDistinct("order_item_sk")).first()
     assert tuple(sk) == (1, 6000, 6000)
@@ -136,7 +139,7 @@ def test_run_etl_into_jdbc_parents_first(spark, tmp_path):
     assert core["order_items"].rdd.getNumPartitions() == 4
     dm = Target.parquet(str(tmp_path / "dm"))
     assert pipeline.run_marts(spark, db, dm, jdbc_partitions=4).rows == \
-        {"dm_orders": 1437, "dm_items": 5726}
+        {"dm_orders": 1437, "dm_items": 5706}
 
 
 def test_jdbc_target_from_env():
@@ -168,25 +171,105 @@ def test_check_predicate_single_rule(spark):
     assert [(r.check_name, r.order_id) for r in bad.collect()] == [("lte", 2)]   # NULL passes
 
 
-def test_surrogate_key_splits_a_group_of_copies(spark):
-    copies = spark.range(0, 30000).select(F.lit(7).alias("a"), F.lit("x").alias("b"))
-    other = spark.range(0, 10000).select((F.col("id") + 100).alias("a"), F.lit("y").alias("b"))
-    df = copies.unionByName(other).repartition(6)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny data
-    try:
-        out = with_surrogate_key(df, "sk", ["a", "b"])
-        rows = out.select("sk", "a").collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sorted(r.sk for r in rows) == list(range(1, 40001))
-    assert {r.a for r in rows if r.sk <= 30000} == {7}          # copies first, in key order
-    import glob
+def test_surrogate_key_splits_hot_values(spark):
+    """Copies are numbered as one row; a hot first value is spread over cells of the second."""
+    copies = spark.range(0, 30000).select(F.lit(7).alias("a"), F.lit(1).alias("b"))
+    hot = spark.range(0, 20000).select(F.lit(9).alias("a"), F.col("id").cast("int").alias("b"))
+    df = copies.unionByName(hot).repartition(6)
+    out = with_surrogate_key(df, "sk", ["a", "b"])
+    rows = [(r.sk, r.a, r.b) for r in out.collect()]
+    assert sorted(r[0] for r in rows) == list(range(1, 50001))
+    assert [r[1:] for r in sorted(rows)] == sorted(r[1:] for r in rows)
+    from shopmart.operators.cleaning import CELL_WIDTH
+    assert 20000 > 2 * CELL_WIDTH      # the hot value has several cells
+
+
+def test_surrogate_key_nulls_first_and_text(spark):
+    df = spark.createDataFrame([("b", 1), (None, 5), ("a", None), ("a", 2), (None, None), ("a", 2)],
+                               "a string, b int")
+    rows = sorted((r.sk, r.a, r.b) for r in with_surrogate_key(df, "sk", ["a", "b"]).collect())
+    assert rows == [(1, None, None), (2, None, 5), (3, "a", None), (4, "a", 2), (5, "a", 2),
+                    (6, "b", 1)]
+
+
+def test_building_and_loading_leave_no_copies(spark, tmp_path):
     import os
-    from shopmart.session import ensure_checkpoint_dir
-    folder = ensure_checkpoint_dir(spark).replace("file:", "")
-    staged = max(glob.glob(f"{folder}/shopmart-seq-sk-*"), key=os.path.getmtime)
-    parts = spark.read.parquet(staged).filter("a = 7").select("_pid").distinct().count()
-    assert parts > 1                                             # the copies are split
+
+    from shopmart.plans import catalog
+    folder = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    before = set(os.listdir(folder))
+    catalog.run(spark, SF_SMALL, "check_not_null_core")
+    pipeline.run_etl(spark, raw_order_lines(spark, SF_SMALL), Target.parquet(str(tmp_path / "core")))
+    assert set(os.listdir(folder)) == before
+
+
+def test_a_table_without_a_finished_version_is_an_error(spark, tmp_path):
+    import shutil
+
+    import pytest as _pytest
+    t = Target.parquet(str(tmp_path / "core"))
+    df = spark.range(10).withColumnRenamed("id", "user_id").withColumn("user_phone", F.lit("p"))
+    write_table(df, t, "users")
+    write_table(df.limit(3), t, "users")
+    # a version whose writer died before it was listed
+    df.unionByName(df).write.parquet(f"{tmp_path}/core/users/version=9{'0' * 18}")
+    assert read_table(spark, t, "users").count() == 3
+    shutil.rmtree(tmp_path / "core" / "users" / "_finished")
+    with _pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_table(spark, t, "users")
+    (tmp_path / "core" / "users" / "_finished").mkdir()
+    with _pytest.raises(FileNotFoundError):
+        read_table(spark, t, "users")
+
+
+def test_schema_drift_raises_before_anything_is_written(spark, tmp_path):
+    import pytest as _pytest
+
+    from shopmart.sources.io import SchemaDrift
+    raw = raw_order_lines(spark, SF_SMALL).limit(20)
+    drifted = {"missing": raw.drop("item_price"),
+               "renamed": raw.withColumnRenamed("item_id", "itemid"),
+               "retyped": raw.withColumn("item_quantity", F.col("item_quantity").cast("string"))}
+    for name, df in drifted.items():
+        stage = Target.parquet(str(tmp_path / name))
+        write_table(df, stage, "raw")
+        core = tmp_path / f"{name}_core"
+        with _pytest.raises(SchemaDrift, match="item_"):
+            pipeline.run_etl(spark, stage, Target.parquet(str(core)))
+        files = read_table(spark, stage, "raw").inputFiles()[0].rsplit("/", 1)[0]
+        with _pytest.raises(SchemaDrift):
+            pipeline.run_extract(spark, f"{files}/*.parquet", Target.parquet(str(core)))
+        assert not core.exists()
+
+
+def test_partitioned_write_has_few_files(spark, tmp_path):
+    import glob
+    df = spark.range(20000).select((F.col("id") % 12).alias("m"), F.col("id")).repartition(16)
+    path = write_table(df, Target.parquet(str(tmp_path / "t")), "x", partition_by=["m"])
+    files = glob.glob(f"{path}/m=*/part-*.parquet")
+    assert 12 <= len(files) <= 24
+
+
+def test_jdbc_options_and_sql():
+    from shopmart.sources.io import bounds_query, jdbc_target_from_env
+    t = jdbc_target_from_env({}, schema="core")
+    assert t.options["cascadeTruncate"] == "true" and int(t.options["fetchsize"]) > 0
+    assert t.dbtable("orders") == "core.orders"
+    assert bounds_query(t, "orders", "order_id") == \
+        "(SELECT MIN(order_id) AS lo, MAX(order_id) AS hi FROM core.orders) b"
+    own = Target.jdbc("jdbc:derby:memory:x", fetchsize="5")
+    assert own.options["fetchsize"] == "5" and own.dbtable("T") == "T"
+    assert "cascadeTruncate" not in own.options
+    from shopmart.cli import target
+    assert target("jdbc:postgresql://db/shop", "dm").dbtable("dm_orders") == "dm.dm_orders"
+
+
+def test_jdbc_schema_and_bounds_in_memory_derby(spark):
+    url = "jdbc:derby:memory:shopschema;create=true"
+    t = Target.jdbc(url, schema="CORE", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    write_table(spark.range(5, 105).withColumnRenamed("id", "USER_ID"), t, "USERS")
+    back = read_table(spark, t, "USERS", partition_column="USER_ID", num_partitions=4)
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 100
 
 
 def test_present_maps_to_engine_neutral_types(spark):

@@ -44,33 +44,50 @@ def test_dm_orders_plan(spark, core):
     assert re.search(r"HashAggregate.*\n(?:.*\n)*?.*Keys \[1\]: \[order_id", p)
 
 
-def test_dm_items_plan_one_rank_exchange(spark, core):
-    p = plan(pipeline.marts(core)["dm_items"])
+def test_dm_items_windows_plan_one_rank_exchange(spark, core):
+    p = plan(pipeline.marts(core, method="windows")["dm_items"])
     assert p.count("REPARTITION_BY_COL") == 1
     assert len(re.findall(r"\n\(\d+\) Window\n", p)) == 6
     assert "Expand" not in p
 
 
-def test_fixture_broadcasts_only_the_bounded_part_slice(spark):
-    p = plan(raw_order_lines(spark, SF_SMALL))
-    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(p_partkey,0\)", p)
-    assert "BroadcastExchange" in p
+def test_fixture_reads_the_whole_part_table(spark):
+    parts = spark.read.parquet(f"{SF_SMALL}/part.parquet").count()
+    raw = raw_order_lines(spark, SF_SMALL)
+    assert raw.select("item_id").distinct().count() > 0.9 * parts
+    assert "Filter : p_partkey" not in plan(raw)
 
 
-def test_sql_reports_equal_dataframe_reports(spark, core):
-    from shopmart.operators import reports
-    from shopmart.plans.report_sql import run_report_sql
-    m = pipeline.marts(core)
-    dm = {k: v.cache() for k, v in m.items()}
+def test_required_columns_reach_the_scan(spark, core, tmp_path):
+    from shopmart.operators.normalize import orders
+    raw_order_lines(spark, SF_SMALL).write.parquet(str(tmp_path / "raw"))
+    p = plan(orders(spark.read.parquet(str(tmp_path / "raw"))))
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", p)[1]
+    assert "IsNotNull(order_id)" in pushed and "IsNotNull(user_id)" in pushed
+
+
+def test_foreign_key_check_splits_a_hot_reference(spark):
+    from pyspark.sql import functions as F
+
+    from shopmart.operators.quality import check_foreign_key
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        for name, (source, fn) in reports.REPORTS.items():
-            a = fn(dm[source])
-            b = run_report_sql(spark, name, dm["dm_orders"], dm["dm_items"])
-            assert a.columns == b.columns, name
-            assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()], name
+        child = spark.range(0, 400000, numPartitions=8).select(
+            F.when(F.col("id") % 5 < 4, F.lit(1)).otherwise(F.col("id")).alias("ref"))
+        parents = spark.range(0, 1000).withColumnRenamed("id", "pk")
+        bad = check_foreign_key(child, "ref", parents, "pk")
+        assert bad.count() == bad.collect().__len__() == 80000 - 200
+        assert "skew=true" in bad._jdf.queryExecution().executedPlan().toString()
     finally:
-        for v in dm.values():
-            v.unpersist()
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_cli_jobs(spark, tmp_path):
@@ -89,21 +106,59 @@ def test_cli_jobs(spark, tmp_path):
         buf = io.StringIO()
         with redirect_stdout(buf):
             assert main(argv) == 0
-        outs.append(json.loads(buf.getvalue().strip().splitlines()[-1]))
-    assert outs[0]["rows"] == {"raw": 6027}
-    assert outs[2]["rows"] == {"dm_orders": 1437, "dm_items": 5726}
-    assert len(outs[3]["rows"]) == 7
+        outs.append([json.loads(line) for line in buf.getvalue().strip().splitlines()])
+    assert outs[0][0]["rows"] == {"raw": 6027}
+    assert outs[2][0]["rows"]["dm_orders"] == 1437
+    assert len(outs[3]) == 7
     orphans = read_table(spark, Target.parquet(str(tmp_path / "violations")),
                          "fk_order_items_order")
     assert orphans.count() == 67
 
 
-def test_rank_exchange_options_agree(spark, core):
-    shared = pipeline.marts(core)["dm_items"]
-    per_period = pipeline.marts(core, shared_exchange=False)["dm_items"]
-    p, q = plan(per_period), plan(shared)
-    exchanges = lambda text: len(re.findall(r"\n\(\d+\) Exchange\n", text))
-    assert "REPARTITION_BY_COL" not in p
-    assert exchanges(p) == exchanges(q) + 2      # three window exchanges instead of one
-    assert shared.exceptAll(per_period).count() == 0
-    assert per_period.exceptAll(shared).count() == 0
+def test_cli_report_prints_every_row(spark, tmp_path):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from shopmart.cli import main
+    from shopmart.contracts import DM_ITEMS, conform
+    from shopmart.sources.io import write_table
+    many = spark.range(0, 1500).select(F.format_string("category %s", "id").alias("item_category"),
+                                       F.lit(1).alias("item_gross_amount"))
+    write_table(conform(many, DM_ITEMS), Target.parquet(str(tmp_path / "dm")), "dm_items")
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        assert main(["report", "q5_category_turnover", "--dm", str(tmp_path / "dm")]) == 0
+    rows = [json.loads(line) for line in buf.getvalue().strip().splitlines()]
+    assert len({r["item_category"] for r in rows}) == 1500
+
+
+@pytest.mark.parametrize("iso_year", [False, True])
+def test_rank_methods_agree(spark, core, iso_year):
+    cells = pipeline.marts(core, iso_year=iso_year)["dm_items"]
+    windows = pipeline.marts(core, iso_year=iso_year, method="windows")["dm_items"]
+    assert cells.exceptAll(windows).count() == 0
+    assert windows.exceptAll(cells).count() == 0
+
+
+def test_ranks_of_one_big_store_are_spread(spark):
+    """Nine tenths of all rows in one store: its rows are ranked in many tasks."""
+    from pyspark.sql import functions as F
+
+    from shopmart.operators.items_mart import with_ranks
+    rows = spark.range(0, 60000).select(
+        F.lit("2024-03-05").cast("date").alias("report_date"), F.lit(2024).alias("report_year"),
+        F.lit(3).alias("report_month"), F.lit(10).alias("report_week"), F.lit("c").alias("city"),
+        F.when(F.col("id") % 10 == 0, F.lit(2)).otherwise(F.lit(1)).alias("store_id"),
+        F.col("id").alias("item_id"), (F.col("id") % 4 + 1).alias("ordered_quantity"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny data
+    try:
+        ranked = with_ranks(rows)
+        tasks = (ranked.filter("store_id = 1").groupBy(F.spark_partition_id().alias("p")).count()
+                 .collect())
+        assert len(tasks) >= 4 and max(t["count"] for t in tasks) < 0.5 * 54000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    top = ranked.filter("store_id = 1 and monthly_popularity_rank <= 2").orderBy("monthly_popularity_rank")
+    assert [r.item_id for r in top.collect()] == [3, 7]
+    assert ranked.filter("store_id = 1").select("daily_reverse_popularity_rank").distinct().count() == 54000
