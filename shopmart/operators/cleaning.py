@@ -41,19 +41,16 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def dedupe_by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per ``key``: the row whose remaining columns are greatest.
 
-    First ``distinct()`` — a hash aggregate on all columns, combined
-    map-side, so repeated rows (one per order line for an order, one per
-    line for a user) collapse before the shuffle and a hot key costs one row
-    per map task.  Then ``max(struct(...))`` per key over what is left; its
-    buffer is not fixed-width, so Spark sorts, but only the distinct rows.
-    The survivor does not depend on partitioning or arrival order.
+    ``max(struct(...))`` is combined on the map side, so a hot key costs one
+    row per map task; its buffer is not fixed-width, so Spark sorts the rows of
+    a map task by key first.  The survivor does not depend on partitioning or
+    arrival order.
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
-    distinct = df.distinct()
     if not rest:
-        return distinct
-    return (distinct.groupBy(*key)
+        return df.distinct()
+    return (df.groupBy(*key)
             .agg(F.max(F.struct(*rest)).alias("_row"))
             .select(*key, *[F.col("_row")[c].alias(c) for c in rest]))
 
