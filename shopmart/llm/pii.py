@@ -4,7 +4,8 @@ A text with signs of disguise goes through transducers: look-alike characters
 and invisible ones, at/dot disguises, spelled digits.  Each rewrites pieces
 of the text and carries, for every character it puts out, the source span the character
 stands for; identifiers are detected in the result and their spans mapped back.
-A span found this way is added when it touches no base span, so base spans stay.
+A span found this way is added when it touches no base span, or holds a base span of its
+kind and more (a look-alike cuts an address short); base spans stay.
 
 Base patterns are matched leftmost and non-overlapping per kind; a match that
 fails its check (range, Luhn, digit count) is dropped without another try.
@@ -113,18 +114,22 @@ _DOT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*", re.I)
 _TOP = ("com|net|org|edu|gov|mil|info|biz|dev|io|ai|eu|uk|de|fr|es|ch|nl|se|pl|cz|pt|dk|fi|ie|ru|jp|"
         "cn|kr|au|nz|br|mx|ca|za")
 _BARE = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>\s+(?:{AT_WORDS})\s+|@)"
-    rf"(?:[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS})\s+|\.))+(?:{_TOP})(?![A-Za-z0-9-])", re.I)
-_BARE_DOT = re.compile(rf"\s+(?:{DOT_WORDS})\s+", re.I)
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>\s+(?:{AT_WORDS}|@)\s+|@)"
+    rf"(?:[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS}|\.)\s+|\.))+(?:{_TOP})(?![A-Za-z0-9-])", re.I)
+_BARE_DOT = re.compile(rf"\s+(?:{DOT_WORDS}|\.)\s+", re.I)
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])\s+(?:{DOT_WORDS})\s+(?=[0-9])", re.I)
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus\s+)?(?:{_WORD})(?:[\s,-]+(?:{_WORD}|[0-9]+))"
                       rf"{{3,}}|plus\s+[0-9]+(?:[\s,-]+(?:{_WORD}|[0-9]+)){{2,}})(?![^\W_])", re.I)
 _SPELLED_UNIT = re.compile(rf"(plus|{_WORD}|[0-9]+)([\s,-]*)", re.I)
+# Letters that stand for digits, in numbers whose every group has a digit.
+DIGIT_LETTERS = str.maketrans("OoIlSB", "001158")
+_CONFUSED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIlSB](?:[ .()-]{0,2}[0-9OoIlSB]){6,}(?![A-Za-z0-9])")
 # What any disguise needs; texts without it are not rewritten.
 _CUE = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|{DOT_WORDS}|[@.])\s*[\])}}>]"
-                  rf"|\s(?:{DOT_WORDS})\s"
+                  rf"|\s(?:{DOT_WORDS}|@)\s"
                   rf"|(?<![^\W_])(?:plus|{_WORD})[\s,-]+(?:{_WORD}|[0-9]+)(?![^\W_])", re.I)
+_CUE_DIGIT = re.compile("[0-9][OoIlSB]|[OoIlSB][0-9]")
 
 
 def _spelled(m: re.Match) -> list[tuple[int, int, str]]:
@@ -143,6 +148,16 @@ def _spelled(m: re.Match) -> list[tuple[int, int, str]]:
     return out
 
 
+def _confused(m: re.Match) -> list[tuple[int, int, str]]:
+    """Letters of a number as the digits they stand for."""
+    groups = re.findall(r"[0-9A-Za-z]+", m[0])
+    digits = sum(c.isdigit() for c in m[0])
+    if digits < 0.5 * sum(map(len, groups)) or not all(any(c.isdigit() for c in g) for g in groups):
+        return []
+    return [(m.start() + i, m.start() + i + 1, c.translate(DIGIT_LETTERS))
+            for i, c in enumerate(m[0]) if c.isalpha()]
+
+
 def rewrite(text: str) -> Rewritten:
     out = Rewritten(text)
     if not text.isascii():
@@ -159,6 +174,7 @@ def rewrite(text: str) -> Rewritten:
     out.replace(pieces)
     out.replace([p for m in _SPELLED.finditer(out.text) for p in _spelled(m)])
     out.replace([(*m.span(), ".") for m in _NUMBER_DOT.finditer(out.text)])
+    out.replace([p for m in _CONFUSED.finditer(out.text) for p in _confused(m)])
     return out
 
 
@@ -166,7 +182,7 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and base spans with those of disguised identifiers."""
     base = base_spans(text)
     odd = not text.isascii() and any(fold_char(m[0]) != m[0] for m in _ODD.finditer(text))
-    if not odd and not _CUE.search(text):
+    if not odd and not _CUE.search(text) and not _CUE_DIGIT.search(text):
         return base, base
     new = rewrite(text)
     if new.text == text:
@@ -174,7 +190,8 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     added = []
     for kind, a, b in base_spans(new.text):
         start, stop = new.start[a], new.stop[b - 1]
-        if all(stop <= s or e <= start for _, s, e in base):
+        if all(stop <= s or e <= start or (k == kind and start <= s and e <= stop
+                                           and (start, stop) != (s, e)) for k, s, e in base):
             added.append((kind, start, stop))
     return base, ordered(base + added, KINDS)
 

@@ -47,6 +47,9 @@ from shopmart.llm.common import cut, splittable
 
 TOKEN = 32
 PLACE = np.uint64((1 << 22) - 1)  # a block has fewer bytes
+SMALL_BATCH = 256     # texts handled at a time
+RUN_NAMES = ["token", "witness", "key", "start", "n", "bytes"]
+RUN_TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 RUN_BYTES = 1 << 20   # run bytes whose suffixes are sorted at a time
 
 
@@ -207,18 +210,23 @@ def _cut_runs(span: int):
     nothing wrong: what it holds is repeated.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for pdf in batches:
-            out = []
-            for key, _, text, *runs in zip(*(pdf[c] for c in pdf.columns)):
-                if key in seen:
-                    continue
-                seen.add(key)
-                data = text.encode()
-                out += [(*rest, key, start, n, data[start: start + n + span - 1])
-                        for *rest, start, n in zip(*runs)]
-            yield pd.DataFrame(out, columns=["token", "witness", "key", "start", "n", "bytes"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, SMALL_BATCH):
+                out = []
+                for row in zip(*(batch.column(c).slice(at, SMALL_BATCH) for c in
+                                 ("key", "text", "token", "witness", "start", "n"))):
+                    key, text, *runs = (v.as_py() for v in row)
+                    if key in seen:
+                        continue
+                    seen.add(key)
+                    data = text.encode()
+                    out += [(token, witness, key, start, n, data[start: start + n + span - 1])
+                            for token, witness, start, n in zip(*runs)]
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out), RUN_TYPES)], names=RUN_NAMES)
 
     return run
 
@@ -240,14 +248,21 @@ RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 
 def _apply_map(span: int, with_bytes: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            got = [_kept(t, a, b, span) for t, a, b in zip(pdf["text"], pdf["start"], pdf["stop"])]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"),
-                                "n_bytes": [g[0] for g in got],
-                                "n_removed": [g[1] for g in got], "n_spans": [g[2] for g in got],
-                                "kept_sha256": [hashlib.sha256(g[3]).hexdigest() for g in got],
-                                "kept": [g[3] if with_bytes else None for g in got]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SMALL_BATCH):
+                part = batch.slice(at, SMALL_BATCH)
+                rows = []
+                for text, start, stop in zip(*(part.column(c) for c in ("text", "start", "stop"))):
+                    n, gone, spans, kept = _kept(text.as_py(), start.as_py(), stop.as_py(), span)
+                    rows.append((n, gone, spans, hashlib.sha256(kept).hexdigest(),
+                                 kept if with_bytes else None))
+                n, gone, spans, digest, kept = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
+                     pa.array(spans, pa.int64()), pa.array(digest, pa.string()),
+                     pa.array(kept, pa.binary())],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return run
 
@@ -261,7 +276,7 @@ def _run_bytes(texts: DataFrame, runs: DataFrame, span: int) -> DataFrame:
     by_text = runs.groupBy("key").agg(
         F.collect_list(F.struct("token", "witness", "start", "n")).alias("runs"))
     return texts.join(splittable(by_text), "key").select(
-        *texts.columns, *(f"runs.{c}" for c in ("token", "witness", "start", "n"))).mapInPandas(
+        *texts.columns, *(f"runs.{c}" for c in ("token", "witness", "start", "n"))).mapInArrow(
         _cut_runs(span), "token long, witness boolean, key long, start long, n int, bytes binary")
 
 
@@ -272,7 +287,7 @@ def remove_repeats(docs: DataFrame, span: int = 200, token: int = TOKEN, id_col:
     token = min(token, span)
     text = F.coalesce(F.col(text_col), F.lit(""))
     # A text is known by its hash: equal texts have equal repeats.
-    texts = docs.select(F.xxhash64(text).alias("key"), F.col(id_col).alias("doc_id"),
+    texts = docs.select(F.xxhash64(text).alias("key"), F.col(id_col).cast("long").alias("doc_id"),
                         text.alias("text"))
     runs = texts.select("key", "text").where(F.octet_length("text") >= span).mapInArrow(
         _runs_map(span, token), "token long, run long, key long, start long, n int")
@@ -302,6 +317,6 @@ def remove_repeats(docs: DataFrame, span: int = 200, token: int = TOKEN, id_col:
               .groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("starts")))
     out = (texts.join(splittable(starts), "key", "left")
            .select("doc_id", "text", "starts.start", "starts.stop")
-           .mapInPandas(_apply_map(span, with_bytes), RESULT))
+           .mapInArrow(_apply_map(span, with_bytes), RESULT))
     out = out if with_bytes else out.drop("kept")
     return out.withColumnRenamed("doc_id", id_col)

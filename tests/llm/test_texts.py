@@ -175,6 +175,10 @@ def test_long_runs_are_linear():
     ("call plus one five five five zero one two three four five now", "phone",
      "plus one five five five zero one two three four five"),
     ("host 192 dot 168 dot 0 dot 1 up", "ip", "192 dot 168 dot 0 dot 1"),
+    ("write jane @ example . com ok", "email", "jane @ example . com"),
+    ("host 1O.0.O2.l7 up", "ip", "1O.0.O2.l7"),
+    ("pay 4l11 1111 lIll 1111 now", None, None),                  # a group without digits
+    ("pay 4lll 1111 1l11 1I11 now", "card", "4lll 1111 1l11 1I11"),
     ("four one one one, one one one one, one one one one, one one one one.", "card",
      "four one one one, one one one one, one one one one, one one one one"),
 ])
@@ -199,6 +203,11 @@ def test_base_spans_stay_beside_disguises():
     assert base == [("email", 0, 8)] and found == [("email", 0, 8), ("email", 13, 26)]
 
 
+def test_a_cut_off_address_is_completed():
+    text = "mail jаne@example.com"  # Cyrillic a: the base pattern starts after it
+    assert pii.find(text) == ([("email", 7, 21)], [("email", 5, 21), ("email", 7, 21)])
+
+
 def test_lookalikes():
     assert "".join(map(lookalikes.fold_char, "аеоＡ９﹫٣­é")) == "aeoA9@3é"
 
