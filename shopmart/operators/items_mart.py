@@ -11,7 +11,7 @@ of items) and places within cells, so no task holds a whole store.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopmart.contracts import DM_ITEMS, conform
@@ -116,6 +116,7 @@ RANK_PERIODS = {"daily": ("report_date",), "weekly": ("report_week",),
                 "monthly": ("report_month",)}
 RANK_GROUP = ("report_year", "city", "store_id")
 ITEM_RANGE = 4096   # item ids of one rank cell
+RANK_SALTS = 64     # parts that rows are spread over while only one row per cell counts
 
 
 def _period_group(period: str, iso_year: bool) -> list[str]:
@@ -137,72 +138,46 @@ def _ranks_by_window(df: DataFrame, iso_year: bool) -> DataFrame:
         for name, order in (("popularity_rank", q.desc()), ("reverse_popularity_rank", q.asc()))})
 
 
-def _period_key(number: int, period: str, group: list[str]) -> Column:
-    """One number for a period: its kind, year, and day, week or month."""
-    value = F.unix_date(group[0]) if period == "daily" else F.col(group[0])
-    return F.lit(number * 10**12).cast("long") + F.col(group[1]) * 10**6 + value
-
-
 def _ranks_by_cell(df: DataFrame, iso_year: bool) -> DataFrame:
     """The six ranks as the rows in earlier cells plus the place within the cell.
 
-    A cell is one quantity and a range of item ids of a store-year, so a
-    store's rows are spread over as many tasks as it has cells, and a rank
-    group is never in one task.  Rows are ordered (item, day) within a cell the
-    same way for rising and falling quantity: one window per period.
-    Cells are counted per day, summed to weeks and months, and their running sums
-    in either direction are looked up by cell.
+    A cell is one quantity and a range of item ids of a rank group; its rows are ordered
+    (item, day) in rising and falling order of quantity alike.  First every row gets
+    its place in its cell and the cell's size; then the first row of each cell sums
+    the sizes of the cells before (the other rows are salted away meanwhile);
+    then the cell takes that sum over.  So a task holds a cell, or one row per cell of a
+    group, never a group or a store-year, and the mart below is computed once.
     """
     rows = df.withColumn("_range", F.floor(F.col("item_id") / ITEM_RANGE))
     cell = [*RANK_GROUP, "ordered_quantity", "_range"]
-    # The mart key and a sum are never NULL.  Saying so before the exchange leaves nothing for
-    # the join below to filter, which would make its side of the exchange another one.
-    for c in cell:
-        rows = rows.filter(F.col(c).isNotNull())
+    periods = {p: _period_group(p, iso_year) for p in RANK_PERIODS}
+    cells = {p: Window.partitionBy(*dict.fromkeys([*g, "ordered_quantity", "_range"]))
+             for p, g in periods.items()}
+    q, tie = F.col("ordered_quantity"), F.col("_range").asc()
     rows = rows.repartition(*cell)
-    # 1 per row.  It reads every column, so that this side and the ranked side read the same
-    # rows of the same exchange and the mart below is computed once.
-    one = F.greatest(F.lit(1), F.least(F.lit(1), F.xxhash64(*df.columns)))
-    iso = ["_iso_year"] if iso_year else []
-    days = rows.groupBy("report_date", "report_week", "report_month", *iso, *cell).agg(
-        F.sum(one).alias("_n"))
-    starts = None
-    for i, period in enumerate(RANK_PERIODS):
-        group = _period_group(period, iso_year)
-        sums = (days.groupBy(*dict.fromkeys([*group, *cell])).agg(F.sum("_n").alias("_n")))
-        q, rest = F.col("ordered_quantity"), F.col("_range").asc()
-        if iso_year and period == "weekly":  # an ISO year's cell lies in two calendar years
-            q_cells = sums.groupBy(*group, "ordered_quantity", "_range").agg(
-                F.sum("_n").alias("_n"))
-        else:
-            q_cells = sums
+    for p in periods:
+        rows = rows.withColumns({
+            f"_{p}_place": F.row_number().over(cells[p].orderBy("item_id", "report_date")),
+            f"_{p}_size": F.count(F.lit(1)).over(cells[p])})
+    for p, group in periods.items():
+        first = F.col(f"_{p}_place") == 1
+        rows = rows.withColumn("_salt", F.when(first, F.lit(0)).otherwise(
+            F.lit(1) + F.pmod(F.xxhash64("item_id", "report_date"), F.lit(RANK_SALTS))))
+        size = F.when(first, F.col(f"_{p}_size"))
         before = (Window.unboundedPreceding, -1)
-        window = Window.partitionBy(*group)
-        q_cells = q_cells.select(
-            *group, "ordered_quantity", "_range",
-            *(F.coalesce(F.sum("_n").over(window.orderBy(order, rest).rowsBetween(*before)),
-                         F.lit(0)).alias(name)
-              for name, order in (("_falling", q.desc()), ("_rising", q.asc()))))
-        if q_cells is not sums and iso_year and period == "weekly":
-            q_cells = sums.select(*group, *cell[:1], "ordered_quantity", "_range").join(
-                q_cells, [*group, "ordered_quantity", "_range"])
-        found = q_cells.select(*cell, _period_key(i, period, group).alias("key"),
-                               F.struct("_falling", "_rising").alias("at"))
-        starts = found if starts is None else starts.unionByName(found)
-    # One row per cell: at most 366 days, 53 weeks and 12 months in its maps.
-    starts = starts.groupBy(*cell).agg(
-        F.map_from_entries(F.collect_list(F.struct("key", "at"))).alias("_starts"))
-    ranked = rows.join(starts, cell)
-    for i, period in enumerate(RANK_PERIODS):
-        group = _period_group(period, iso_year)
-        at = F.element_at("_starts", _period_key(i, period, group))
-        place = F.row_number().over(
-            Window.partitionBy(*dict.fromkeys([*group, "ordered_quantity", "_range"]))
-            .orderBy("item_id", "report_date"))
-        ranked = ranked.withColumns({
-            f"{period}_popularity_rank": at["_falling"] + place,
-            f"{period}_reverse_popularity_rank": at["_rising"] + place})
-    return ranked.drop("_range", "_starts")
+        rows = rows.withColumns({
+            f"_{p}_{name}": F.when(first, F.coalesce(F.sum(size).over(
+                Window.partitionBy(*group, "_salt").orderBy(order, tie).rowsBetween(*before)),
+                F.lit(0)))
+            for name, order in (("falling", q.desc()), ("rising", q.asc()))})
+    rows = rows.repartition(*cell)
+    for p in periods:
+        rows = rows.withColumns({
+            rank: F.max(f"_{p}_{name}").over(cells[p]) + F.col(f"_{p}_place")
+            for name, rank in (("falling", f"{p}_popularity_rank"),
+                               ("rising", f"{p}_reverse_popularity_rank"))})
+    ranks = [f"{p}_{r}" for p in periods for r in ("popularity_rank", "reverse_popularity_rank")]
+    return rows.select(*df.columns, *ranks)
 
 
 RANK_METHODS = {"cells": _ranks_by_cell, "windows": _ranks_by_window}
