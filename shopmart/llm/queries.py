@@ -81,4 +81,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_toxicity, op5_best_fit_packing, op6_suffix_array_dedup, op7_pii, op8_secret_scans,
         op9_quality_classifier, op10_token_counts)
 }
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+# DuckDB SQL, where SQL can express an operator at all.
+ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS size,
+  array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+ FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (SELECT rid, size, i, array_to_string(w[i:i + size - 1], ' ') AS win
+ FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS t(i)),
+hits AS (SELECT rid, i, dw.size AS size, item_id FROM dw JOIN bw ON dw.size = bw.size AND dw.win = bw.win),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + size)) AS u(p)
+ GROUP BY rid),
+items AS (SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR),
+  ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY rid)
+SELECT d.doc_id AS doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+ CAST(coalesce(words.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n_items, 0) AS BIGINT) AS n_items,
+ sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON d.rid = words.rid LEFT JOIN items ON d.rid = items.rid""",
+}
