@@ -14,7 +14,7 @@ import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
-BLOCK_BYTES = 1 << 19  # bytes hashed at a time; a dozen work arrays take 8 bytes a byte each
+BLOCK_BYTES = 1 << 18  # bytes hashed at a time; a dozen work arrays take 8 bytes a byte each
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -47,10 +47,10 @@ from shopmart.llm.common import cut, splittable
 
 TOKEN = 32
 PLACE = np.uint64((1 << 22) - 1)  # a block has fewer bytes
-SMALL_BATCH = 256     # texts handled at a time
+SMALL_BATCH = 256     # rows handled at a time
 RUN_NAMES = ["token", "witness", "key", "start", "n", "bytes"]
 RUN_TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-RUN_BYTES = 1 << 20   # run bytes whose suffixes are sorted at a time
+RUN_BYTES = 1 << 19   # run bytes whose suffixes are sorted at a time
 
 
 def _slide_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -109,13 +109,15 @@ def _long_text_runs(buf: np.ndarray, span: int, token: int):
 def _runs_map(span: int, token: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copies: Counter[int] = Counter()
-        for batch in batches:
+        small = (b.slice(at, SMALL_BATCH) for b in batches
+                 for at in range(0, b.num_rows, SMALL_BATCH))
+        for batch in small:
             # Two copies of a text in a task count as many: the rest add nothing.
             wanted = []
             for key in batch.column("key").to_pylist():
                 copies[key] += 1
                 wanted.append(copies[key] <= 2)
-            batch = batch.filter(pa.array(wanted))
+            batch = batch.filter(pa.array(wanted, pa.bool_()))
             buf, offsets = bytehash.text_bytes(batch.column("text"))
             keys = batch.column("key").to_numpy()
             for lo, hi in bytehash.blocks(np.diff(offsets)):
@@ -159,7 +161,9 @@ def _suffix_map(span: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
-        for pdf in batches:
+        small = (b.iloc[at: at + SMALL_BATCH] for b in batches
+                 for at in range(0, len(b), SMALL_BATCH))
+        for pdf in small:
             held.append(pdf)
             size += int(pdf["n"].sum()) + len(pdf) * (span - 1)
             if size < RUN_BYTES:
