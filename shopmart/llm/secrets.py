@@ -1,17 +1,17 @@
 """Secret scans: base patterns, and random-looking strings by Markov log-likelihood ratio.
 
-Two character models of order two are trained from labelled samples: strings
-known to be random (values that the base patterns found, and strings drawn
-uniformly from the usual alphabets) and ordinary identifiers and words of the
-corpus.  A candidate token is a secret when its log-likelihood ratio says so both in
-total and per character, and it mixes letters and digits.
+Two character models of order two are fitted on trigram counts of the whole
+corpus: of strings known to be random (values that the base patterns found, and
+as a prior strings drawn uniformly from the usual alphabets) and of all ordinary
+identifiers and words.  Every occurrence counts.  A candidate token is a secret
+when its log-likelihood ratio says so both in total and per character, and it
+mixes letters and digits.
 
 Base patterns are matched leftmost and non-overlapping per kind; matches that
 are too short are dropped.  Added spans touch no base span.
 
-Defined results: null text is empty; an untrained side (no samples) leaves
-only the drawn strings on the random side and uniform ones on the other, so
-nothing is added; repeated rows, null ids and extra columns pass; empty tables
+Defined results: null text is empty; without ordinary strings nothing is
+added; repeated rows, null ids and extra columns pass; empty tables
 give empty results.
 """
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 import random
 import re
 import string
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,8 +42,11 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
 
 ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
-SAMPLE_DOCS = 2000      # documents that the samples are taken from
-SAMPLE_STRINGS = 20000  # strings of either class that the models are fitted on
+SIDE = len(ALPHABET) + 1  # character codes; 0: outside of a string
+CELLS = SIDE ** 3         # trigrams: (before two, before one, character)
+BLOCK_BYTES = 1 << 20     # text counted at once
+DRAWN = 5000              # drawn strings that the random side has at least ...
+DRAWN_SHARE = 0.25        # ... and their share of what the base patterns found
 MIN_TOTAL = 20.0        # nats that a secret's ratio reaches in total ...
 MIN_MEAN = 0.8          # ... and per character
 
@@ -58,16 +62,33 @@ def base_spans(text: str) -> list[Span]:
     return ordered(out, KINDS)
 
 
+DRAWN_ALPHABETS = [
+    string.digits + "abcdef", string.ascii_letters + string.digits,
+    string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits,
+    string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "_-"]
+DRAWN_LENGTHS = (16, 64)
+
+
 def drawn_strings(n: int, seed: int = 7) -> list[str]:
     """Uniform strings over the alphabets that secrets use."""
     rng = random.Random(seed)
-    alphabets = [string.digits + "abcdef", string.ascii_letters + string.digits,
-                 string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits,
-                 string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "_-"]
-    return ["".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(16, 64)))
+    return ["".join(rng.choices(DRAWN_ALPHABETS[i % len(DRAWN_ALPHABETS)], k=rng.randint(*DRAWN_LENGTHS)))
             for i in range(n)]
 
 
+def drawn_counts() -> np.ndarray:
+    """Trigrams that one drawn string has on average."""
+    out = np.zeros((SIDE, SIDE, SIDE))
+    inner = sum(DRAWN_LENGTHS) / 2 - 2
+    for alphabet in DRAWN_ALPHABETS:
+        k = len(alphabet)
+        codes = np.array([MarkovRatio.CODE[c] for c in alphabet])
+        out[0, 0, codes] += 1 / k
+        out[0][np.ix_(codes, codes)] += 1 / k ** 2
+        out[np.ix_(codes, codes, codes)] += inner / k ** 3
+    return out / len(DRAWN_ALPHABETS)
+
+
 @dataclass
 class MarkovRatio:
     """Log-likelihood ratio of a string's characters, each given the two before."""
@@ -78,22 +99,28 @@ class MarkovRatio:
 
     @classmethod
     def fit(cls, secret: list[str], plain: list[str], prior: float = 0.5) -> MarkovRatio:
-        n = len(ALPHABET) + 1
-
-        def log_probabilities(strings: list[str]) -> np.ndarray:
-            three = np.zeros((n, n, n))
+        def counts(strings: list[str]) -> np.ndarray:
+            three = np.zeros((SIDE, SIDE, SIDE))
             for s in strings:
                 codes = [0, 0, *(cls.CODE[c] for c in s if c in cls.CODE)]
                 if len(codes) > 2:
                     np.add.at(three, (codes[:-2], codes[1:-1], codes[2:]), 1)
+            return three
+
+        return cls.of_counts(counts(secret), counts(plain), prior)
+
+    @classmethod
+    def of_counts(cls, secret: np.ndarray, plain: np.ndarray, prior: float = 0.5) -> MarkovRatio:
+        """Models of trigram counts of either class."""
+        def log_probabilities(three: np.ndarray) -> np.ndarray:
             two, one = three.sum(axis=0), three.sum(axis=(0, 1))
             p1 = (one + prior) / (one + prior).sum()
             p2 = (two + 10 * p1) / (two + 10 * p1).sum(axis=1, keepdims=True)
             p3 = (three + 10 * p2) / (three + 10 * p2).sum(axis=2, keepdims=True)
             return np.log(p3)
 
-        if not plain:  # nothing to tell secrets from
-            return cls(np.full((n, n, n), -1.0))
+        if not plain.any():  # nothing to tell secrets from
+            return cls(np.full((SIDE, SIDE, SIDE), -1.0))
         return cls(log_probabilities(secret) - log_probabilities(plain))
 
     def of(self, token: str) -> float:
@@ -122,43 +149,94 @@ def finder(model: MarkovRatio):
     return find
 
 
-def _samples_udf():
-    @arrow_udf("array<struct<secret:boolean,token:string>>")
-    def _samples(texts: pa.Array) -> pa.Array:
-        """Labelled strings of each text: base values are secret, other words plain."""
-        out = []
-        for text in texts:
-            source = text.as_py() or ""
-            base = base_spans(source)
-            rows = []
-            for m in re.finditer(r"[A-Za-z0-9+/_.=-]{4,}", source):
-                inside = [s for s in base if s[1] < m.end() and m.start() < s[2]]
-                if any(k in ("access", "hex") for k, _, _ in inside):
-                    rows.append({"secret": True, "token": m[0]})
-                elif not inside:
-                    rows.append({"secret": False, "token": m[0]})
-            out.append(rows)
-        return pa.array(out, pa.list_(pa.struct([("secret", pa.bool_()), ("token", pa.string())])))
-
-    return _samples
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          sample_docs: int = SAMPLE_DOCS, sample_strings: int = SAMPLE_STRINGS) -> MarkovRatio:
-    """Models fitted on strings of at most ``sample_docs`` documents, chosen by a hash of the id."""
-    ids = (docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id")).distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    strings = (texts.join(F.broadcast(ids), "doc_id")
-               .select(F.explode(_samples_udf()("text")).alias("s")).select("s.*").distinct())
-    both = None
-    for secret in (True, False):
-        part = (strings.where(F.col("secret") == secret)
-                .orderBy(F.xxhash64("token"), "token").limit(sample_strings))
-        both = part if both is None else both.unionByName(part)
-    rows = both.collect()  # at most 2 * sample_strings short strings
-    secret = [r["token"] for r in rows if r["secret"]] + drawn_strings(sample_strings // 4)
-    return MarkovRatio.fit(secret, sorted(r["token"] for r in rows if not r["secret"]))
+_CODES = np.zeros(256, np.uint8)  # of UTF-8 bytes
+for _c, _code in MarkovRatio.CODE.items():
+    _CODES[ord(_c)] = _code
+
+
+def _byte_spans(text: str, spans: list[Span]) -> list[Span]:
+    """Spans in bytes of the UTF-8 text."""
+    if not spans or text.isascii():
+        return spans
+    at, done, size = {}, 0, 0
+    for place in sorted({p for _, a, b in spans for p in (a, b)}):
+        size += len(text[done:place].encode())
+        at[place], done = size, place
+    return [(k, at[a], at[b]) for k, a, b in spans]
+
+
+def _blocks(texts: Iterable[str | None]) -> Iterator[tuple[bytes, list[Span]]]:
+    """Texts joined to blocks, a separator behind each, with their base spans."""
+    parts, spans, size = [], [], 0
+    for text in texts:
+        if not text:
+            continue
+        spans += [(k, size + a, size + b) for k, a, b in _byte_spans(text, base_spans(text))]
+        parts += [text.encode(), b"\n"]
+        size += len(parts[-2]) + 1
+        if size >= BLOCK_BYTES:
+            yield b"".join(parts), spans
+            parts, spans, size = [], [], 0
+    if parts:
+        yield b"".join(parts), spans
+
+
+def trigram_counts(texts: Iterable[str | None]) -> np.ndarray:
+    """(2, CELLS): trigrams of the plain strings of four characters or more, and of the secret ones.
+
+    A string that an access or hex span touches is secret; one that only an
+    assign span touches is neither.
+    """
+    out = np.zeros((2, CELLS), np.int64)
+    for data, spans in _blocks(texts):
+        codes = _CODES[np.frombuffer(data, np.uint8)]
+        mark = np.zeros(len(codes), np.uint8)
+        for kind, a, b in spans:
+            np.maximum(mark[a:b], 1 if kind == "assign" else 2, out=mark[a:b])
+        inside = codes > 0
+        edges = np.flatnonzero(np.diff(inside, prepend=False))  # starts and stops in turn
+        if not len(edges):
+            continue
+        sizes = edges[1::2] - edges[::2]
+        side = np.array([1, 0, 2], np.uint8)[np.maximum.reduceat(mark, edges)[::2]]
+        side[sizes < 4] = 0
+        mark[inside] = np.repeat(side, sizes)
+        mark[~inside] = 0
+        codes = np.concatenate([np.zeros(2, np.uint8), codes])
+        for lo in range(0, len(mark), BLOCK_BYTES):
+            hi = min(lo + BLOCK_BYTES, len(mark))
+            one = codes[lo + 1:hi + 1].astype(np.int32)
+            two = codes[lo:hi].astype(np.int32) * (one > 0)
+            cell = (two * SIDE + one) * SIDE + codes[lo + 2:hi + 2]
+            for i in (0, 1):
+                if len(of_side := cell[mark[lo:hi] == i + 1]):
+                    out[i] += np.bincount(of_side, minlength=CELLS)
+    return out
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of a partition's texts that are not empty."""
+    n = trigram_counts(t.as_py() for batch in batches for t in batch.column(0)).ravel()
+    cell = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(n[cell], pa.int64())],
+                                     ["cell", "n"])
+
+
+def train(docs: DataFrame, text_col: str = "text") -> MarkovRatio:
+    """Models fitted on the trigram counts of all strings of all documents.
+
+    Each task sends at most 2 * CELLS sums, and as many reach the driver; only
+    the counts grow with the input.
+    """
+    sums = (docs.select(F.col(text_col).alias("text")).mapInArrow(_count_batches, "cell int, n long")
+            .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+    n = np.zeros(2 * CELLS)
+    n[sums["cell"].to_numpy()] = sums["n"].to_numpy()
+    plain, secret = n.reshape(2, SIDE, SIDE, SIDE)
+    # The prior keeps its share, so that other alphabets than those found stay likely.
+    one = drawn_counts()
+    drawn = one * max(DRAWN, DRAWN_SHARE * secret.sum() / one.sum())
+    return MarkovRatio.of_counts(secret + drawn, plain)
 
 
 def secrets_column(text: Column, model: MarkovRatio) -> Column:

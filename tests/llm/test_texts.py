@@ -248,6 +248,53 @@ def test_secret_model_tells_random_strings(spark, docs):
     assert secrets.masked_udf and find(text)[0] == brute_spans(SECRETS, text)
 
 
+def test_secret_models_count_every_document(spark):
+    """A kind of identifier that only documents late in the order of id hashes hold is ordinary."""
+    ids = [r.id for r in spark.range(3000).orderBy(F.xxhash64("id"), "id").collect()]
+    kind = "Zq7Xv0Kj9-Wq4Jx8Zk2Vq"
+    rng = random.Random(6)
+    syllables = "ba den ti lor ga mes un ri po stan ver ke la sho ni".split()
+    rows = [(d, " ".join(noise(rng, syllables, rng.randint(2, 5)) for _ in range(30))
+             + f" part {kind}" * (i >= 2000)) for i, d in enumerate(ids)]
+    find = secrets.finder(secrets.train(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert find(f"see {kind} there")[1] == []
+    drawn = [s for s in secrets.drawn_strings(30, seed=99) if not re.fullmatch("[0-9a-f]+", s)]
+    hit = sum([k for k, _, _ in find(f"see {s} there")[1]] == ["random"] for s in drawn)
+    assert hit > 0.8 * len(drawn)
+
+
+@pytest.mark.parametrize("block", [64, 1 << 20])
+def test_trigram_counts_equal_brute_force(monkeypatch, block):
+    monkeypatch.setattr(secrets, "BLOCK_BYTES", block)
+    rng = random.Random(4)
+    pieces = ["password", "Token", "=", ":", " ", '"', "abcd1234", "AKIA", "ABCDEFGH1234", "é", "😀",
+              "deadbeef" * 4, "0f", "-", "x", "word", "\n", "ab", "."]
+    texts = [None, ""] + [noise(rng, pieces, rng.randint(1, 60)) for _ in range(400)]
+    strings = {0: [], 1: []}
+    for text in filter(None, texts):
+        base = secrets.base_spans(text)
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]{4,}", text):
+            kinds = {k for k, a, b in base if a < m.end() and m.start() < b}
+            if kinds != {"assign"}:
+                strings[int(bool(kinds))].append(m[0])
+    want = Counter()
+    for side, found in strings.items():
+        for s in found:
+            codes = [0, 0, *(secrets.MarkovRatio.CODE[c] for c in s)]
+            want.update((side, *codes[i:i + 3]) for i in range(len(s)))
+    got = secrets.trigram_counts(texts).reshape(2, *[secrets.SIDE] * 3)
+    assert got.sum() == sum(want.values()) and all(got[c] == n for c, n in want.items())
+
+
+def test_drawn_counts_are_the_mean_of_drawn_strings():
+    n, side = 6000, secrets.SIDE
+    one = np.zeros(side)
+    for s in secrets.drawn_strings(n):
+        np.add.at(one, [secrets.MarkovRatio.CODE[c] for c in s], 1)
+    got = secrets.drawn_counts().sum(axis=(0, 1)) * n
+    assert np.abs(got - one).max() < 0.05 * one.max()
+
+
 def test_masking(spark):
     model = secrets.MarkovRatio.fit([], [])
     df = spark.createDataFrame([("x password: hunter2hunter2 y",), (None,), ("plain",)], "text string")
