@@ -18,6 +18,7 @@ Long texts are scanned in one pass in linear time.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 from pyspark.sql import Column
 
@@ -109,14 +110,48 @@ class Rewritten:
 _ODD = re.compile("[^\x00-\u00ac\u00ae-\u024f]")
 _AT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{AT_WORDS}|@)\s*[\])}}>]\s*", re.I)
 _DOT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*", re.I)
-# Bare words count only as a whole address: name at host dot top-level domain.  Fixed values:
-# the usual top-level domains that are no common words.
-_TOP = ("com|net|org|edu|gov|mil|info|biz|dev|io|ai|eu|uk|de|fr|es|ch|nl|se|pl|cz|pt|dk|fi|ie|ru|jp|"
-        "cn|kr|au|nz|br|mx|ca|za")
+# Bare words count only as a whole address: name at host dot top-level domain, of any letters.
+# The usual top-level domains that are no common words hold without other evidence.
+_TOP = frozenset("com net org edu gov mil info biz dev io ai eu uk de fr es ch nl se pl cz pt dk fi ie "
+                 "ru jp cn kr au nz br mx ca za".split())
 _BARE = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>\s+(?:{AT_WORDS}|@)\s+|@)"
-    rf"(?:[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS}|\.)\s+|\.))+(?:{_TOP})(?![A-Za-z0-9-])", re.I)
-_BARE_DOT = re.compile(rf"\s+(?:{DOT_WORDS}|\.)\s+", re.I)
+    rf"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9._%+-]++)(?P<at>\s+(?:{AT_WORDS}|@)\s+|@)"
+    rf"(?:[A-Za-z0-9-]+(?:\s+(?:{DOT_WORDS}|\.)\s+|\.))+[A-Za-z]{{2,63}}(?![A-Za-z0-9-])", re.I)
+_LABEL = re.compile(rf"([A-Za-z0-9-]+)(\s+(?:{DOT_WORDS}|\.)\s+|\.)?", re.I)
+# Words of ordinary text around "at ... dot ...", where more evidence is needed
+# (as a top-level domain) or the words are no address (as a name or host).
+_COMMON = frozenset(
+    "a about after all also am an and are as at be because been before but by can de do el en for from "
+    "go had has have he her here his how i if in into is it its la le me more my no not now of on one "
+    "or our out she so than that the their them then there these they this those to un up us was we "
+    "were what when where which who will with would y you your".split()) | frozenset(
+    "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty "
+    "forty fifty sixty seventy eighty ninety hundred".split()) | frozenset(DIGIT_WORDS)
+_NO_HOST = _COMMON | frozenset(
+    "another any big black blue bright brown center centre dark each every first green grey last little "
+    "micro orange pink polka purple quantum red same second single small some third tiny white "
+    "yellow".split())
+_NO_NAME = _COMMON | frozenset(
+    "account accounts address aim aimed arrive arrived arrives available book call come contact docs "
+    "download email emails find form found glance glanced inbox information join laugh laughed learn "
+    "list live login look looked looking looks mail meet met online order orders page point pointed "
+    "pointing points read register see shop shout site smile smiled stare stared stares staring start "
+    "started starts stop stopped stops store visit website went work working works".split())
+_MARKED = re.compile(r"[A-Za-z0-9][._%+-][A-Za-z0-9]|[A-Za-z][0-9]|[0-9][A-Za-z]")
+_MARKED_HOST = re.compile(r"[A-Za-z0-9]-[A-Za-z0-9]|[A-Za-z][0-9]|[0-9][A-Za-z]")
+# A name of words and marks, but no version, file or domain.
+_PLAIN_NAME = re.compile(r"(?=.*[._]|.*[0-9])[a-z]{2,}[a-z0-9]*(?:[._][a-z0-9]+)*|[a-z](?:[._][a-z]{2,}[0-9]*)+",
+                         re.I)
+_NO_PLAIN_NAME = re.compile(r".*\.(?:[0-9].*|c|cpp|css|csv|doc|docx|exe|gz|h|htm|html|java|jar|jpg|js|json|md|pdf|"
+                            r"php|png|py|sh|sql|tar|ts|txt|xls|xml|yml|yaml|zip|" + "|".join(_TOP) + ")", re.I)
+MAX_LABELS = 127  # of a domain name, as DNS has it
+_NEAR = 40  # characters beside an address where a cue counts
+_ADDRESS_CUE = re.compile(
+    r"@|(?<![^\W_])(?:e-?mail\w*|mail(?:s|ed|ing|to)?|writ(?:e|es|ing)|contact\w*|reach|address(?:es)?|"
+    r"inbox|correos?|escrib\w+|courriels?|adresse|écri\w+|schreib\w*|kontakt\w*)(?![^\W_])", re.I)
+_ARTICLE = re.compile(r"(?<![^\W_])(?:an?|the|our|my|your|his|her|their|this|that|any|each|every)\s+$", re.I)
+_ALONE_BEFORE = re.compile(r"(?:^|[\n:;,(\[<\"'–—-])[^\S\n]*$")
+_ALONE_AFTER = re.compile(r"[^\S\n]*(?:$|[\n.,;:!?)\]>\"'])")
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])\s+(?:{DOT_WORDS})\s+(?=[0-9])", re.I)
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus\s+)?(?:{_WORD})(?:[\s,-]+(?:{_WORD}|[0-9]+))"
@@ -127,6 +162,7 @@ DIGIT_LETTERS = str.maketrans("OoIlSB", "001158")
 _CONFUSED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIlSB](?:[ .()-]{0,2}[0-9OoIlSB]){6,}(?![A-Za-z0-9])")
 # What any disguise needs; texts without it are not rewritten.
 _CUE = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|{DOT_WORDS}|[@.])\s*[\])}}>]"
+                  rf"|\s(?:{AT_WORDS})\s+[A-Za-z0-9-]++\.[A-Za-z0-9]"
                   rf"|\s(?:{DOT_WORDS}|@)\s"
                   rf"|(?<![^\W_])(?:plus|{_WORD})[\s,-]+(?:{_WORD}|[0-9]+)(?![^\W_])", re.I)
 _CUE_DIGIT = re.compile("[0-9][OoIlSB]|[OoIlSB][0-9]")
@@ -158,6 +194,56 @@ def _confused(m: re.Match) -> list[tuple[int, int, str]]:
             for i, c in enumerate(m[0]) if c.isalpha()]
 
 
+def _is_address(text: str, m: re.Match, labels: list[re.Match], usual: bool) -> bool:
+    """Whether a name, an at and these labels of a host are an address; ``usual``: fewer labels are one."""
+    top, seps = labels[-1][1].lower(), [x[2] for x in labels[:-1]]
+    spelled = any(x.strip(" \t\r\n.") for x in seps)
+    spaced = any(x != "." and x.strip() == "." for x in seps)
+    if not (spelled or spaced) and m["at"] == "@":
+        return False  # a plain address
+    if top in _TOP and (spelled or spaced):
+        return True
+    if len(top) < 2 or not (top.isascii() and top.isalpha()) or usual and (spaced or top in _COMMON):
+        return False
+    at, local, host = m["at"].strip().lower(), m["local"], labels[0][1].lower()
+    start, stop = m.start(), labels[-1].end(1)
+    before, after = text[max(start - _NEAR, 0):start], text[stop:stop + _NEAR]
+    named = local.lower() not in _NO_NAME and any(c.isalpha() for c in local) and not _ARTICLE.search(before)
+    cue = bool(_ADDRESS_CUE.search(before) or _ADDRESS_CUE.search(after))
+    marked = any(c.isalpha() for c in local) and bool(_MARKED.search(local))
+    if spaced:
+        return at == "@" and named and (marked or cue)
+    if not spelled:
+        if _PLAIN_NAME.fullmatch(local) and not _NO_PLAIN_NAME.fullmatch(local):
+            return True
+        return named and local.isalpha() and (cue or at == "@" and top in _TOP
+                                              or any("mail" in x[1].lower() for x in labels[:-1]))
+    if at != "at" or marked:
+        return True
+    if not named or host in _NO_HOST:
+        return False
+    only_dots = all(x == "." or x.strip().lower() == "dot" for x in seps)
+    return (only_dots and top not in _COMMON or len(labels) > 2 or cue
+            or any(_MARKED_HOST.search(x[1]) for x in labels)
+            or bool(_ALONE_BEFORE.search(before) and _ALONE_AFTER.match(after)))
+
+
+def _bare(text: str) -> list[tuple[int, int, str]]:
+    """The at and dots of bare addresses; of the labels as many as hold as an address."""
+    out, pos = [], 0
+    while m := _BARE.search(text, pos):
+        pos = m.end("at")
+        labels = list(islice(_LABEL.finditer(text, pos, m.end()), MAX_LABELS))
+        tops = [i for i, x in enumerate(labels) if x[1].lower() in _TOP]
+        for k in range(len(labels), 1, -1):
+            if _is_address(text, m, labels[:k], bool(tops) and 1 <= tops[-1] < k - 1):
+                out += [(*m.span("at"), "@")] if m["at"] != "@" else []
+                out += [(*x.span(2), ".") for x in labels[:k - 1] if x[2] != "."]
+                pos = labels[k - 1].end(1)
+                break
+    return out
+
+
 def rewrite(text: str) -> Rewritten:
     out = Rewritten(text)
     if not text.isascii():
@@ -165,13 +251,7 @@ def rewrite(text: str) -> Rewritten:
                      if (new := fold_char(m[0])) != m[0]])
     out.replace([(*m.span(), "@") for m in _AT_MARK.finditer(out.text)])
     out.replace([(*m.span(), ".") for m in _DOT_MARK.finditer(out.text)])
-    pieces = []
-    for m in _BARE.finditer(out.text):
-        dots = list(_BARE_DOT.finditer(out.text, m.end("at"), m.end()))
-        if m["at"] == "@" or dots:
-            pieces += [(*m.span("at"), "@")] if m["at"] != "@" else []
-            pieces += [(*d.span(), ".") for d in dots]
-    out.replace(pieces)
+    out.replace(_bare(out.text))
     out.replace([p for m in _SPELLED.finditer(out.text) for p in _spelled(m)])
     out.replace([(*m.span(), ".") for m in _NUMBER_DOT.finditer(out.text)])
     out.replace([p for m in _CONFUSED.finditer(out.text) for p in _confused(m)])

@@ -197,6 +197,45 @@ def test_plain_text_is_left_alone(text):
     assert pii.find(text)[1] == brute_spans(PII, text)
 
 
+@pytest.mark.parametrize("top", "it co us at be in app xyz tech museum".split())
+def test_disguised_addresses_of_any_top_level_domain(top):
+    for text, piece in ((f"jane at studio dot {top}", f"jane at studio dot {top}"),
+                        (f"write to jane at studio dot {top} today", f"jane at studio dot {top}"),
+                        (f"so jane_d at studio dot {top} said", f"jane_d at studio dot {top}"),
+                        (f"so jane@studio dot {top} said", f"jane@studio dot {top}"),
+                        (f"ana arroba studio punto {top} dijo", f"ana arroba studio punto {top}"),
+                        (f"so jane at mail dot studio dot {top} said", f"jane at mail dot studio dot {top}"),
+                        (f"so jane.doe at studio.{top} said", f"jane.doe at studio.{top}"),
+                        (f"email jane at studio.{top} today", f"jane at studio.{top}")):
+        at = text.index(piece)
+        assert pii.find(text) == ([], [("email", at, at + len(piece))]), text
+
+
+def test_bare_addresses_end_where_they_hold():
+    for text, piece in (("jane.doe at gmail.com", "jane.doe at gmail.com"),
+                        ("so jane at gmail.com said", "jane at gmail.com"),
+                        ("write jane @ example . com . Thanks", "jane @ example . com"),
+                        ("write jane at example dot com dot Then go", "jane at example dot com"),
+                        ("meet at red dot jane at example dot com", "jane at example dot com")):
+        at = text.index(piece)
+        assert pii.find(text) == ([], [("email", at, at + len(piece))]), text
+
+
+def test_long_chains_of_labels_are_linear():
+    for text in ("x at" + " b dot" * 50_000 + " is", "look at" + " the dot" * 50_000, "x at b" + ".b" * 100_000,
+                 "x at b dot c dot is " * 20_000, "a at b.c " * 30_000, "x @" + " b ." * 50_000 + " is"):
+        pii.find(text)
+
+
+@pytest.mark.parametrize("text", [
+    "She looked at the dot on the wall.", "Stare at polka dot dresses.", "email us at example.com",
+    "write to the editor at times.com", "see setup.py at github.com and v1.2 at python.org",
+    "they met at noon . then they left", "water at boiling point is hot", "it closes at nine dot thirty",
+    "we were there at noon.then it rained", "read more at my-site.com"])
+def test_text_around_at_is_left_alone(text):
+    assert pii.find(text) == ([], [])
+
+
 def test_base_spans_stay_beside_disguises():
     text = "a.b@c.de and x at y dot de"
     base, found = pii.find(text)
