@@ -32,8 +32,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
 
     The bound is on labels, chosen by a hash of the id, so the sample is the
     same in any layout.  At most 2 * per_class ids of 8 bytes are broadcast;
-    the documents are scanned once and not shuffled.  An id labelled twice
-    takes its larger label; rows with a null id or label are not used.
+    the documents are scanned once, and of those in the sample one row an id
+    (the text of least hash) leaves each task.  An id labelled twice takes its
+    larger label; rows with a null id or label are not used.
     """
     one = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & keep)
            .groupBy("doc_id").agg(F.max(label).alias("label")))
@@ -43,8 +44,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
                 .limit(per_class))
         ids = part if ids is None else ids.unionByName(part)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return (texts.join(F.broadcast(ids), "doc_id")
-            .select("text", F.col("label").cast("int").alias("label")))
+    return (texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"),
+                 F.max("label").cast("int").alias("label"))
+            .select("least.text", "label"))
 
 
 def splittable(aggregated: DataFrame) -> DataFrame:

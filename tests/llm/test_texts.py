@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shopmart.llm import (bytehash, decontaminate, lookalikes, packing, pii, quality, queries,
                           secrets, simhash, spans, token_counts, toxicity)
-from shopmart.llm.common import fold_of, read
+from shopmart.llm.common import fold_of, labelled_sample, read
 from shopmart.llm.linear import fit_sigmoid, sigmoid
 from tests.llm.conftest import ODD_ROWS, SF_SMALL
 
@@ -362,6 +362,16 @@ def test_classifiers_on_held_out_rows(spark, query, label, folds, held):
     assert min(share.values()) >= 0.8, counts
 
 
+def test_sample_has_one_row_an_id(spark):
+    docs = spark.createDataFrame([(0, f"copy {i % 7} of many") for i in range(600)]
+                                 + [(i, f"text {i}") for i in range(1, 20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    got = [sorted(map(tuple, labelled_sample(docs.repartition(n), labels, "quality", F.lit(True), 50)
+                      .collect())) for n in (1, 5)]
+    assert len(got[0]) == 20 and got[0] == got[1]
+    assert sum(text.startswith("copy") for text, _ in got[0]) == 1
+
+
 @pytest.mark.parametrize("module", [toxicity, quality])
 def test_classifier_odd_rows(spark, odd, empty, module):
     labels = spark.createDataFrame([(1, 1), (1, 0), (6, 0), (7, 0), (8, 1), (None, 1), (99, None)],
