@@ -15,10 +15,12 @@ occurs twice, in three steps:
    by count, and one of each stays as witness for the others.
 3. Suffix order.  For the other runs and the witnesses, Spark's sampled
    splitters range-partition the runs by their leading token, so all
-   suffixes that can be equal are in one bucket; there, every start's suffix
-   is sorted by multikey comparison (leading 8 bytes, ties by a 64-bit hash of
-   the ``span`` bytes) and equal neighbours are repeated.  Splitters lie between distinct
-   tokens, so no equal suffixes lie on two sides of a boundary.
+   suffixes that can be equal are in one bucket; there, the suffixes of all starts
+   are ordered by their leading 8 bytes, ties by a 64-bit hash of the ``span``
+   bytes, and equal neighbours are repeated.  That is a hash order, not
+   multikey quicksort: only equality is needed, and beyond 8 bytes the order is
+   not that of the bytes.  Splitters lie between distinct tokens, so no equal
+   suffixes lie on two sides of a boundary and no boundary is compared.
    A token with more than ``hot_token`` different runs does not go to one bucket:
    its suffixes are counted as rows, with map-side sums.
 
