@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.llm import (decontaminate, multiset_hash, packing, pii, quality, secrets, simhash,
-                          spans, suffix_dedup, token_counts, toxicity)
+from shopmart.llm import (conversation_repair, decontaminate, multiset_hash, packing, perplexity,
+                          phrases, pii, quality, secrets, simhash, spans, suffix_dedup, token_counts,
+                          toxicity)
 from shopmart.llm.common import fold_of, read
 
 
@@ -75,11 +76,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         token_counts.length_histogram(read(spark, sf_dir, "documents")))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = perplexity.judge(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(F.col(f"measures.{m}").alias(m) for m in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), "base_failed", "kept")
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(read(spark, sf_dir, "documents"), min_count=100, longest=5, top=2000)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(read(spark, sf_dir, "conversations"))
+    return conversation_repair.report(damaged, F.col("dropped"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_document_fingerprints, op3_benchmark_decontamination,
         op4_toxicity, op5_best_fit_packing, op6_suffix_array_dedup, op7_pii, op8_secret_scans,
-        op9_quality_classifier, op10_token_counts)
+        op9_quality_classifier, op10_token_counts, op11_quality_rules, op12_phrase_mining,
+        op13_conversation_repair)
 }
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
@@ -104,4 +121,6 @@ SELECT d.doc_id AS doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
  CAST(coalesce(words.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n_items, 0) AS BIGINT) AS n_items,
  sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words ON d.rid = words.rid LEFT JOIN items ON d.rid = items.rid""",
+    "op12_phrase_mining": phrases.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
