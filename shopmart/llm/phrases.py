@@ -176,7 +176,7 @@ def _counted(docs: DataFrame, phrases: DataFrame) -> DataFrame | None:
             for block, langs in _blocks(batches):
                 for state in trie.walk(block, langs):
                     total += np.bincount(state[state >= 0], minlength=len(total))
-            nodes = np.flatnonzero(total)
+            nodes = np.sort(trie.nodes[total[trie.nodes] > 0])  # accepting: not mere beginnings
             for lo in range(0, len(nodes), 1 << 16):
                 part = nodes[lo: lo + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["node", "n"])
