@@ -31,6 +31,7 @@ from shopmart.llm.common import cut
 from shopmart.llm.double_array import DoubleArray, build
 
 TRIE_PHRASES = 1 << 19
+WIDE = 64  # counts in a row of partial sums
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = runs.byte_class(BREAKS)
 _WORD = ~runs.byte_class(BREAKS + b" \t")
@@ -120,7 +121,7 @@ class _Trie:
 
 
 def _tries(phrases: DataFrame) -> Iterator[tuple[_Trie, bool, DataFrame]]:
-    """(trie, is it the only one, its node → phrase table), one at a time."""
+    """(trie, is it the only one, its phrases with node and place among the nodes), one at a time."""
     total = phrases.count()
     shards = -(-total // TRIE_PHRASES)
     for shard in range(shards):
@@ -129,8 +130,9 @@ def _tries(phrases: DataFrame) -> Iterator[tuple[_Trie, bool, DataFrame]]:
         table = own.select("lang", "words").toArrow()
         if table.num_rows:
             trie = _Trie(table)
+            slots = np.argsort(np.argsort(trie.nodes))
             yield trie, shards == 1, phrases.sparkSession.createDataFrame(
-                table.append_column("node", pa.array(trie.nodes)))
+                table.append_column("node", pa.array(trie.nodes)).append_column("slot", pa.array(slots)))
 
 
 def _extend(docs: DataFrame, phrases: DataFrame, words: DataFrame, least: int) -> DataFrame | None:
@@ -168,22 +170,32 @@ def _extend(docs: DataFrame, phrases: DataFrame, words: DataFrame, least: int) -
 
 
 def _counted(docs: DataFrame, phrases: DataFrame) -> DataFrame | None:
-    """(lang, words, a): the exact count of each candidate phrase."""
+    """(lang, words, a): the exact count of each candidate phrase.
+
+    A task's sums leave it as rows of ``WIDE`` neighbouring counts each, which Spark
+    adds column by column.
+    """
     found = None
+    columns = [f"c{i}" for i in range(WIDE)]
     for trie, _, names in _tries(phrases):
         def states(batches, trie=trie):
             total = np.zeros(len(trie.array.check), np.int64)
             for block, langs in _blocks(batches):
                 for state in trie.walk(block, langs):
                     total += np.bincount(state[state >= 0], minlength=len(total))
-            nodes = np.sort(trie.nodes[total[trie.nodes] > 0])  # accepting: not mere beginnings
-            for lo in range(0, len(nodes), 1 << 16):
-                part = nodes[lo: lo + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["node", "n"])
-
-        sums = (_texts(docs).mapInArrow(states, "node bigint, n bigint")
-                .groupBy("node").agg(F.sum("n").alias("a")))
-        part = cut(sums.join(names, "node").select("lang", "words", "a"))
+            sums = total[np.sort(trie.nodes)]  # of accepting states, not of mere beginnings
+            sums = np.append(sums, np.zeros(-len(sums) % WIDE, np.int64)).reshape(-1, WIDE)
+            chunks = np.flatnonzero(sums.any(axis=1))
+            for lo in range(0, len(chunks), 4096):
+                part = chunks[lo: lo + 4096]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part), *(pa.array(c) for c in sums[part].T)], ["chunk", *columns])
+
+        sums = (_texts(docs).mapInArrow(states, ", ".join(f"{c} bigint" for c in ["chunk", *columns]))
+                .groupBy("chunk").agg(*(F.sum(c).alias(c) for c in columns))
+                .select("chunk", F.posexplode(F.array(*columns)).alias("place", "a"))
+                .select((F.col("chunk") * WIDE + F.col("place")).alias("slot"), "a"))
+        part = cut(sums.join(names, "slot").select("lang", "words", "a"))
         found = part if found is None else found.unionByName(part)
     return found
 
