@@ -5,9 +5,14 @@
     python -m shopmart load    --core s3a://…/core --to jdbc:postgresql://db:5432/shop
     python -m shopmart marts   --core s3a://…/core --dm s3a://…/dm [--partition-by-month]
     python -m shopmart report  q1_weekday_totals --dm s3a://…/dm [--out s3a://…/reports]
+    python -m shopmart sql     "SELECT … FROM dm_items …" --dm s3a://…/dm [--core …]
+    python -m shopmart clean   s3a://…/core --keep 2 --grace-hours 24
 
 Every command prints one JSON line with the tables written and their row
-counts; ``report`` without ``--out`` prints every row as a JSON line.
+counts; ``report`` without ``--out`` and ``sql`` print every row as a JSON line.
+``etl --fail-on-violation`` ends with exit code 1 and the counts of broken constraints when
+there are any, and leaves the tables as they were.  ``sql`` runs any Spark SQL over the newest
+marts and core tables; ``marts --views DB`` also keeps catalog views of the marts.
 Targets are parquet folders, ``table:<database>`` for catalog
 tables, or ``jdbc:…`` URLs (credentials from ``POSTGRES_*`` for PostgreSQL),
 whose tables are in the schemas ``--core-schema`` and ``--dm-schema``
@@ -20,14 +25,15 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from shopmart.contracts import DM_ITEMS, DM_ORDERS
-from shopmart.operators import reports
+from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, MARTS
+from shopmart.operators import items_mart, reports
 from shopmart.plans import pipeline
 from shopmart.session import REQUIRED_CONF
 from shopmart.sources.io import (JDBC_PARTITIONS, Target, jdbc_target_from_env, read_table,
                                  write_table)
+from shopmart.sources.load import clean, refresh_views
 
 
 def target(spec: str, schema: str | None = None) -> Target:
@@ -50,6 +56,21 @@ def session(app: str) -> SparkSession:
     return spark
 
 
+def show_tables(spark: SparkSession, source: Target, schemas: dict) -> None:
+    """Session views of a target's tables, so that SQL text finds them by name."""
+    if source.kind == "parquet":
+        refresh_views(spark, source, schemas)
+    else:
+        for name in schemas:
+            read_table(spark, source, name).createOrReplaceTempView(name)
+
+
+def print_rows(df: DataFrame) -> int:
+    for row in df.toLocalIterator():
+        print(json.dumps(row.asDict(), default=str))
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="shopmart")
     sub = ap.add_subparsers(dest="command", required=True)
@@ -60,6 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--stage", required=True)
     p.add_argument("--core", required=True)
     p.add_argument("--violations")
+    p.add_argument("--fail-on-violation", action="store_true")
     p = sub.add_parser("load")
     p.add_argument("--core", required=True)
     p.add_argument("--to", required=True)
@@ -67,10 +89,21 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--core", required=True)
     p.add_argument("--dm", required=True)
     p.add_argument("--partition-by-month", action="store_true")
+    p.add_argument("--iso-year", action="store_true", help="weekly ranks by the ISO year")
+    p.add_argument("--method", choices=sorted(items_mart.RANK_METHODS), default="cells")
+    p.add_argument("--views", metavar="DATABASE")
     p = sub.add_parser("report")
     p.add_argument("name", choices=sorted(reports.REPORTS))
     p.add_argument("--dm", required=True)
     p.add_argument("--out")
+    p = sub.add_parser("sql")
+    p.add_argument("statement")
+    p.add_argument("--dm")
+    p.add_argument("--core")
+    p = sub.add_parser("clean")
+    p.add_argument("target")
+    p.add_argument("--keep", type=int, default=1)
+    p.add_argument("--grace-hours", type=float, default=24)
     for command in sub.choices.values():
         command.add_argument("--core-schema", default="core")
         command.add_argument("--dm-schema", default="dm")
@@ -83,8 +116,13 @@ def main(argv: list[str] | None = None) -> int:
         out = {"rows": res.rows}
     elif args.command == "etl":
         vt = target(args.violations) if args.violations else None
-        res = pipeline.run_etl(spark, target(args.stage), target(args.core, args.core_schema),
-                               violations_target=vt, jdbc_partitions=args.jdbc_partitions)
+        try:
+            res = pipeline.run_etl(spark, target(args.stage), target(args.core, args.core_schema),
+                                   violations_target=vt, jdbc_partitions=args.jdbc_partitions,
+                                   fail_on_violation=args.fail_on_violation)
+        except pipeline.ConstraintViolation as broken:
+            print(json.dumps({"violations": broken.counts}))
+            return 1
         out = {"rows": res.rows, "written": res.written}
     elif args.command == "load":
         res = pipeline.run_load(spark, target(args.core, args.core_schema),
@@ -94,8 +132,16 @@ def main(argv: list[str] | None = None) -> int:
         part = ["report_year", "report_month"] if args.partition_by_month else None
         res = pipeline.run_marts(spark, target(args.core, args.core_schema),
                                  target(args.dm, args.dm_schema), partition_by=part,
-                                 jdbc_partitions=args.jdbc_partitions)
+                                 jdbc_partitions=args.jdbc_partitions, views=args.views,
+                                 iso_year=args.iso_year, method=args.method)
         out = {"rows": res.rows, "written": res.written}
+    elif args.command == "clean":
+        out = {"removed": clean(spark, target(args.target), args.keep, args.grace_hours)}
+    elif args.command == "sql":
+        for spec, contracts in ((args.core, CORE), (args.dm, MARTS)):
+            if spec:
+                show_tables(spark, target(spec), {n: c.schema for n, c in contracts.items()})
+        return print_rows(spark.sql(args.statement))
     else:
         dm = target(args.dm, args.dm_schema)
         source, fn = reports.REPORTS[args.name]
@@ -106,9 +152,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.out:
             out = {"written": write_table(result, target(args.out), args.name)}
         else:
-            for row in result.toLocalIterator():
-                print(json.dumps(row.asDict(), default=str))
-            return 0
+            return print_rows(result)
     print(json.dumps(out, default=str))
     return 0
 

@@ -1,10 +1,10 @@
 """The two jobs: raw → seven checked core tables, and core → two marts.
 
-Each job is one Spark application.  Tables are written by the executors;
-row counts come from ``Observation`` on the writes themselves, so no table
-is evaluated twice.  Violations of the core contracts are returned as
-DataFrames (and written aside when a target is given) instead of failing
-row by row on insert.
+Each job is one Spark application.  Tables are written by the executors, staged where no
+reader looks, checked there, and published together (``shopmart.sources.load``).  Row counts come
+from the committed files' footers (or the staging table), so a repeated task cannot count twice.
+Violations of the core contracts are returned as DataFrames (and written aside when a target is
+given), or make the load fail before it is visible.
 """
 
 from __future__ import annotations
@@ -13,13 +13,15 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, FOREIGN_KEYS, LOAD_ORDER, RAW, conform
 from shopmart.operators import items_mart, normalize, orders_mart, quality
 from shopmart.operators.cleaning import fill_defaults, with_surrogate_key
-from shopmart.sources.io import JDBC_PARTITIONS, Target, read_files, read_table, write_table
+from shopmart.sources.io import (JDBC_PARTITIONS, Target, read_files, read_table, snapshot,
+                                 write_table)
+from shopmart.sources.load import Load, refresh_views
 
 SEQUENCE_KEYS = {
     "order_items": ("order_item_sk", normalize.ORDER_ITEM_COLUMNS),
@@ -34,11 +36,9 @@ class RunResult:
     violations: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def _write_counted(df: DataFrame, target: Target, name: str, result: RunResult, **kw) -> None:
-    obs = Observation(name)
-    result.written[name] = write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")),
-                                       target, name, **kw)
-    result.rows[name] = obs.get["rows"]
+def _stage(load: Load, df: DataFrame, name: str, result: RunResult, **options) -> None:
+    result.written[name] = load.write(df, name, **options)
+    result.rows[name] = load.rows(name)
 
 
 def run_concurrently(tasks: dict[str, Callable[[], object]], workers: int = 8) -> dict:
@@ -89,22 +89,12 @@ def core_violations(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def run_extract(spark: SparkSession, raw_glob: str, staging: Target,
                 raw_name: str = "raw") -> RunResult:
     """Copy the raw parquet files (path or glob) into staging, schema-checked."""
-    result = RunResult()
-    _write_counted(read_files(spark, raw_glob, RAW.schema), staging, raw_name, result)
+    result, load = RunResult(), Load(spark, staging)
+    _stage(load, read_files(spark, raw_glob, RAW.schema), raw_name, result)
+    load.publish()
     return result
 
 
-def truncate_children_first(spark: SparkSession, target: Target) -> None:
-    """Empty the core tables of a JDBC target, children before parents.
-
-    An overwrite of an empty frame with ``truncate`` issues TRUNCATE and
-    keeps the table; PostgreSQL targets truncate with CASCADE (see ``Target.jdbc``).
-    """
-    for name in reversed(LOAD_ORDER):
-        empty = spark.createDataFrame([], CORE[name].schema)
-        write_table(empty, target, name, mode="overwrite")
-
-
 class ConstraintViolation(ValueError):
     """Raised by ``run_etl(..., fail_on_violation=True)``; carries the counts."""
 
@@ -129,56 +119,59 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
             jdbc_partitions: int = JDBC_PARTITIONS) -> RunResult:
     """Raw order lines → seven core tables; constraint report.
 
-    ``raw_source`` is a target holding ``raw_name`` (a file whose columns
-    differ from the RAW contract raises before anything is written) or a
+    ``raw_source`` is a target holding ``raw_name`` (files whose columns
+    differ from the RAW contract raise before anything is written) or a
     ready DataFrame.
-    The seven tables are independent jobs and are written concurrently,
-    except into JDBC, where parents are loaded before children so that
-    database foreign keys hold.  Checks run over the tables just written,
-    so they re-read compact parquet instead of recomputing the split.
+    The seven tables are staged by independent, concurrent jobs; checks run over the staged
+    tables, so they re-read compact parquet instead of recomputing the split.  Then all seven are
+    published at once, parents before children in a database.
     With ``fail_on_violation`` the job raises ``ConstraintViolation`` when
     any check finds a row, as a database with enforced constraints would
-    reject the load; by default violations are only reported.
+    reject the load, and readers keep the tables they had; by default violations are
+    only reported.
     """
     raw = raw_source if isinstance(raw_source, DataFrame) else \
         read_table(spark, raw_source, raw_name, schema=RAW.schema)
     filled = fill_defaults(raw)
-    result = RunResult()
-
-    jdbc = core_target.kind == "jdbc"
-    if jdbc:
-        truncate_children_first(spark, core_target)
-
-    def load(name):
-        return lambda: _write_counted(core_table(filled, name), core_target, name, result,
-                                      mode="append" if jdbc else "overwrite")
-    run_concurrently({name: load(name) for name in LOAD_ORDER}, 1 if jdbc else workers)
-    result.violations = core_violations(read_core(spark, core_target, jdbc_partitions))
+    result, load = RunResult(), Load(spark, core_target)
+    _stage_all(load, {n: core_table(filled, n) for n in LOAD_ORDER}, result, workers)
+    staged = core_violations({n: load.read(n, **_split(core_target, n, jdbc_partitions))
+                              for n in LOAD_ORDER})
     if violations_target is not None:
         run_concurrently({name: (lambda n=name, df=df: write_table(df, violations_target, n))
-                          for name, df in result.violations.items()}, workers)
+                          for name, df in staged.items()}, workers)
     if fail_on_violation:
-        bad = {k: v for k, v in violation_counts(result.violations, workers).items() if v}
+        bad = {k: v for k, v in violation_counts(staged, workers).items() if v}
         if bad:
+            load.discard()
             raise ConstraintViolation(bad)
+    load.publish(LOAD_ORDER, sequence_marks(result.rows))
+    result.violations = staged if core_target.kind == "parquet" else \
+        core_violations(read_core(spark, core_target, jdbc_partitions))
     return result
 
 
+def sequence_marks(rows: dict[str, int]) -> dict[str, int]:
+    """The last value of each table's sequence key after a full load: keys run from 1."""
+    return {name: rows[name] for name in SEQUENCE_KEYS}
+
+
+def _stage_all(load: Load, tables: dict[str, DataFrame], result: RunResult, workers: int,
+               **options) -> None:
+    run_concurrently({n: (lambda n=n, df=df: _stage(load, df, n, result, **options))
+                      for n, df in tables.items()}, workers)
+
+
 def run_load(spark: SparkSession, core_source: Target, target: Target,
-             jdbc_partitions: int = JDBC_PARTITIONS) -> RunResult:
-    """Copy built core tables into another target (typically JDBC).
+             jdbc_partitions: int = JDBC_PARTITIONS, workers: int = 4) -> RunResult:
+    """Copy built core tables into another target (typically JDBC), visible all at once.
 
-    Into JDBC the tables are emptied children-first and appended
-    parents-first, so database foreign keys hold throughout; each table is
-    written by the executors over parallel connections.
+    Each table is written by the executors over parallel connections; a database then
+    moves the staged rows in one transaction, parents before children.
     """
-    core = read_core(spark, core_source, jdbc_partitions)
-    result = RunResult()
-    jdbc = target.kind == "jdbc"
-    if jdbc:
-        truncate_children_first(spark, target)
-    for name in LOAD_ORDER:
-        _write_counted(core[name], target, name, result, mode="append" if jdbc else "overwrite")
+    result, load = RunResult(), Load(spark, target)
+    _stage_all(load, read_core(spark, core_source, jdbc_partitions), result, workers)
+    load.publish(LOAD_ORDER, sequence_marks(result.rows))
     return result
 
 
@@ -201,25 +194,36 @@ JDBC_SPLIT = {"users": "user_id", "stores": "store_id", "drivers": "driver_id",
               "order_drivers": "order_driver_sk"}
 
 
+def _split(source: Target, name: str, partitions: int) -> dict:
+    """How a core table of a target is read: its schema, or parallel key ranges."""
+    if source.kind == "jdbc":
+        return {"partition_column": JDBC_SPLIT[name], "num_partitions": partitions}
+    return {"schema": CORE[name].schema}
+
+
 def read_core(spark: SparkSession, source: Target,
               jdbc_partitions: int = JDBC_PARTITIONS) -> dict:
-    """The seven core tables; JDBC sources are read as parallel key ranges."""
-    if source.kind == "jdbc":
-        return {name: read_table(spark, source, name, partition_column=JDBC_SPLIT[name],
-                                 num_partitions=jdbc_partitions) for name in CORE}
-    return {name: read_table(spark, source, name, schema=CORE[name].schema) for name in CORE}
+    """The seven core tables as of one snapshot; JDBC sources are read as parallel key ranges."""
+    known = snapshot(spark, source) if source.kind == "parquet" and source.versioned else None
+    return {name: read_table(spark, source, name, known=known, **_split(source, name, jdbc_partitions))
+            for name in CORE}
 
 
 def run_marts(spark: SparkSession, core_source: Target, mart_target: Target,
               partition_by: list[str] | None = None, workers: int = 2,
-              jdbc_partitions: int = JDBC_PARTITIONS) -> RunResult:
-    """Core tables → both marts, written concurrently with the audit column."""
-    core = read_core(spark, core_source, jdbc_partitions)
-    result = RunResult()
-    contracts = {"dm_orders": DM_ORDERS, "dm_items": DM_ITEMS}
+              jdbc_partitions: int = JDBC_PARTITIONS, views: str | None = None,
+              **item_options) -> RunResult:
+    """Core tables → both marts with the audit column, written concurrently, visible together.
 
-    def load(name, df):
-        return lambda: _write_counted(conform(df, contracts[name], audit=True), mart_target,
-                                      name, result, partition_by=partition_by)
-    run_concurrently({name: load(name, df) for name, df in marts(core).items()}, workers)
+    ``views`` names a catalog database whose views ``dm_orders`` and ``dm_items`` then show the new
+    marts (parquet targets); ``item_options`` are those of ``marts``.
+    """
+    contracts = {"dm_orders": DM_ORDERS, "dm_items": DM_ITEMS}
+    built = marts(read_core(spark, core_source, jdbc_partitions), **item_options)
+    result, load = RunResult(), Load(spark, mart_target)
+    _stage_all(load, {n: conform(df, contracts[n], audit=True) for n, df in built.items()}, result, workers,
+               partition_by=partition_by)
+    load.publish()
+    if views is not None:
+        refresh_views(spark, mart_target, {n: c.schema for n, c in contracts.items()}, views)
     return result
