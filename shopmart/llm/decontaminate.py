@@ -8,9 +8,11 @@ sorted only as deep as the searches go, one word at a time.  Neighbouring
 windows on one diagonal are joined to the longest verbatim matches, with their
 places in document and item.  Documents do not move: there is no shuffle.
 
-Words are compared by 64-bit hashes.  The benchmark is the fixed query set:
+Words are compared by their bytes.  The benchmark is the fixed query set:
 it is read in blocks of ``block_words`` words, and each block goes to the
-executors as an index of bounded size; several blocks are applied in turn.
+executors as an index of bounded size.  Of several blocks each is applied, its result written
+to the checkpoint folder and its index released before the next is made, so driver and
+executors hold one block at a time; a benchmark of one block moves no document.
 
 Defined results: null or wordless texts have no words and no hits; items
 without words match nothing; an item of fewer than ``window`` words is one
@@ -22,15 +24,18 @@ pass; empty tables give empty or clean results.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shopmart.llm import bytehash
+from shopmart.llm import bytehash, runs
+from shopmart.llm.common import cut
 
 IS_WORD = np.zeros(256, bool)
 IS_WORD[0x30:0x3A] = IS_WORD[0x41:0x5B] = IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
@@ -38,15 +43,26 @@ BLOCK_WORDS = 1 << 22
 SHARD_BYTES = 1 << 21
 
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def word_ids(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(starts, a number per word, the distinct words by number) of a block of texts."""
+    buf = LOWER[buf]
+    mask = IS_WORD[buf]
+    starts, ends = runs.runs(mask, offsets)
+    return starts, *runs.numbered(buf, mask, ends - starts)
+
+
 class TestSuffixes:
     """The windows of a block of items, by length, as sorted rows of word numbers."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], window: int):
         texts = pa.array([t for _, t in items], pa.string())
         buf, offsets = bytehash.text_bytes(texts)
-        starts, _, hashes = bytehash.words(buf, offsets, IS_WORD)
-        self.vocabulary = np.unique(hashes)
-        numbers = np.searchsorted(self.vocabulary, hashes) + 1
+        starts, numbers, self.vocabulary = word_ids(buf, offsets)
+        numbers = numbers + 1
         self.ids = [i for i, _ in items]
         edges = np.searchsorted(starts, offsets)
         rows = defaultdict(list)  # window length -> (words, item, place)
@@ -131,16 +147,15 @@ _ARROW = pa.struct([
 
 
 def _shard(index: TestSuffixes, buf: np.ndarray, offsets: np.ndarray) -> list[dict]:
-    starts, _, hashes = bytehash.words(buf, offsets, IS_WORD)
+    starts, ids, words = word_ids(buf, offsets)
     text = np.searchsorted(offsets, starts, "right") - 1
     edges = np.searchsorted(starts, offsets)
     out = [{"n_words": int(b - a), "hits": [], "items": [], "matches": []}
            for a, b in zip(edges[:-1], edges[1:])]
-    if not len(index.vocabulary) or not len(hashes):
+    if not len(index.vocabulary) or not len(ids):
         return out
-    number = np.searchsorted(index.vocabulary, hashes)
-    number[number == len(index.vocabulary)] = 0
-    number = np.where(index.vocabulary[number] == hashes, number + 1, 0)
+    known = pc.fill_null(pc.index_in(words, index.vocabulary), -1).to_numpy()
+    number = known.astype(np.int64)[ids] + 1
     mark = np.zeros(len(number) + 1, np.int64)
     items = defaultdict(set)
     for size, at, which, first, places in index.search(number, text):
@@ -199,48 +214,56 @@ def _union_length_udf():
 
 
 def benchmark_blocks(bench: DataFrame, window: int, block_words: int = BLOCK_WORDS,
-                     id_col: str = "item_id", text_col: str = "text") -> list[Broadcast]:
-    """The benchmark's windows in blocks of about ``block_words`` words, each broadcast."""
+                     id_col: str = "item_id", text_col: str = "text"
+                     ) -> Iterator[tuple[Broadcast, bool]]:
+    """(the index of about ``block_words`` words, is it the last), one block after the other."""
     sc = bench.sparkSession.sparkContext
-    blocks, held, size = [], [], 0
+    held, size = [], 0
     for row in bench.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).toLocalIterator():
-        held.append((row["i"], row["t"]))
-        size += len(row["t"] or "") // 4 + 1
         if size >= block_words:
-            blocks.append(sc.broadcast(TestSuffixes(held, window)))
+            yield sc.broadcast(TestSuffixes(held, window)), False
             held, size = [], 0
-    if held or not blocks:
-        blocks.append(sc.broadcast(TestSuffixes(held, window)))
-    return blocks
-
-
-def match_columns(text: Column, blocks: list[Broadcast]) -> dict[str, Column]:
-    """n_words, n_hit, items (sorted ids) and matches of a text column."""
-    found = [match_udf(b)(text) for b in blocks]
-    if len(found) == 1:
-        hits, items, matches = found[0]["hits"], found[0]["items"], found[0]["matches"]
-    else:
-        hits = F.flatten(F.array(*[f["hits"] for f in found]))
-        items = F.array_sort(F.array_distinct(F.flatten(F.array(*[f["items"] for f in found]))))
-        matches = F.flatten(F.array(*[f["matches"] for f in found]))
-    n_hit = (_union_length_udf()(hits) if len(found) > 1 else
-             F.aggregate(hits, F.lit(0).cast("long"), lambda n, h: n + h["stop"] - h["start"]))
-    return {"n_words": found[0]["n_words"], "n_hit": n_hit, "items": items, "matches": matches}
+        held.append((row["i"], row["t"]))
+        size += len(row["t"] or "") // 4 + 1
+    yield sc.broadcast(TestSuffixes(held, window)), True
 
 
 def find_contamination(docs: DataFrame, bench: DataFrame, window: int = 10,
                        id_col: str = "doc_id", text_col: str = "text",
                        block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document: id, n_words, n_hit, items (ids with windows in it), matches."""
-    columns = match_columns(F.col(text_col), benchmark_blocks(bench, window, block_words))
-    return docs.select(F.col(id_col), *(c.alias(n) for n, c in columns.items()))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    several = False
+    for index, last in benchmark_blocks(bench, window, block_words):
+        found = match_udf(index)(F.col("text")).alias("found")
+        if not several:
+            rows = rows.select("id", "text", found)
+        else:
+            both = rows.select("id", "text", F.col("found").alias("before"), found)
+            rows = both.select("id", "text", F.struct(
+                F.col("found.n_words").alias("n_words"),
+                *(F.concat(f"before.{c}", f"found.{c}").alias(c) for c in ("hits", "items", "matches")))
+                .alias("found"))
+        if not last:
+            several, rows = True, cut(rows)
+            index.unpersist()
+    hits, items = F.col("found.hits"), F.col("found.items")
+    n_hit = _union_length_udf()(hits) if several else F.aggregate(
+        hits, F.lit(0).cast("long"), lambda n, h: n + h["stop"] - h["start"])
+    return rows.select(F.col("id").alias(id_col), F.col("found.n_words").alias("n_words"),
+                       n_hit.alias("n_hit"), (F.array_sort(F.array_distinct(items)) if several else items)
+                       .alias("items"), F.col("found.matches").alias("matches"))
 
 
 def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = 10,
-                        text_col: str = "text") -> DataFrame:
+                        text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window, all columns."""
-    blocks = benchmark_blocks(bench, window)
-    return docs.where(match_columns(F.col(text_col), blocks)["n_hit"] == 0)
+    for index, last in benchmark_blocks(bench, window, block_words):
+        docs = docs.where(F.size(match_udf(index)(F.col(text_col))["hits"]) == 0)
+        if not last:
+            docs = cut(docs)
+            index.unpersist()
+    return docs
 
 
 def items_digest(items: Column) -> Column:

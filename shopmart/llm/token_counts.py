@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from shopmart.llm.common import cut
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK = 1024
 
@@ -59,9 +61,10 @@ def with_running_sums(histogram: DataFrame, block: int = BLOCK) -> DataFrame:
     """Per length L: documents and tokens up to L, documents and tokens above L, and
     ``truncated_tokens``, the total when every document is cut at L tokens.
 
-    Only blocks of lengths (longest length / ``block`` rows) meet in one task.
+    Only blocks of lengths (longest length / ``block`` rows) meet in one task.  The histogram (one
+    row per distinct length) is written once, as the sums read it twice.
     """
-    rows = histogram.withColumn("block", F.floor(F.col("length") / block))
+    rows = cut(histogram).withColumn("block", F.floor(F.col("length") / block))
     inside = Window.partitionBy("block").orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

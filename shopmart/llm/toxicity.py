@@ -12,8 +12,8 @@ The lexicon is learned from labelled rows: entries whose share among toxic
 sample documents exceeds that among the others significantly (G² test),
 weighted by the log of the ratio; exception phrases are word pairs around a match
 that the clean documents of the sample use.  At most ``per_class`` labelled documents of
-each class are used, chosen by a hash of the id; counts are aggregated
-on the executors, and at most ``max_entries`` entries come to the driver.
+each class are used, chosen by a hash of the id, and written once; counts are aggregated
+on the executors, and what is significant there comes to the driver, without another cap.
 
 Defined results: null and empty texts have no matches and score like any
 text without matches; without labels of both classes the lexicon is empty and
@@ -34,12 +34,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shopmart.llm.common import labelled_sample
+from shopmart.llm.common import cut, labelled_sample
 from shopmart.llm.linear import fit_sigmoid, sigmoid
 from shopmart.llm.lookalikes import fold_char
 
 PER_CLASS = 3000
-MAX_ENTRIES = 5000
 STEMS = range(4, 9)      # lengths of word beginnings that may be entries
 MIN_G2 = 30.0            # significance of an entry
 MIN_RATIO = 5.0          # times more usual among toxic documents
@@ -63,9 +62,8 @@ def fold(text: str) -> str:
 def _features(folded: str) -> set[str]:
     out = set()
     for w in set(folded.split()):
-        if len(w) <= 64:
-            out.add(f" {w} ")
-            out.update(f" {w[:n]}" for n in STEMS if n <= len(w))
+        out.add(f" {w} ")
+        out.update(f" {w[:n]}" for n in STEMS if n <= len(w))
     return out
 
 
@@ -123,24 +121,30 @@ class Lexicon:
         return sigmoid(self.slope * weights + self.intercept)
 
 
-def _prune(rows: list[tuple[str, int, int]], n1: int, n0: int) -> dict[str, float]:
-    """Significant entries, without those that a shorter kept entry covers about as well."""
+def _prune(rows: list[tuple[str, float]]) -> dict[str, float]:
+    """Entries and weights without those that a shorter kept entry covers about as well."""
     kept: dict[str, float] = {}
-    for entry, t, c in sorted(rows, key=lambda r: (len(r[0].rstrip()), r[0])):
-        p1, p0 = (t + 0.5) / (n1 + 1), (c + 0.5) / (n0 + 1)
-        both = (t + c + 1) / (n1 + n0 + 2)
-        g2 = 2 * ((t + 0.5) * np.log(p1 / both) + (c + 0.5) * np.log(p0 / both)
-                  + (n1 - t + 0.5) * np.log((1 - p1) / (1 - both))
-                  + (n0 - c + 0.5) * np.log((1 - p0) / (1 - both)))
-        weight = float(np.log(p1 / p0))
-        if g2 < MIN_G2 or weight < np.log(MIN_RATIO):
-            continue
+    for entry, weight in sorted(rows, key=lambda r: (len(r[0].rstrip()), r[0])):
         shorter = [kept[entry[:n]] for n in range(2, len(entry.rstrip()) + 1) if entry[:n] in kept]
         if not shorter or weight > max(shorter) + 0.7:
             kept[entry] = weight
     return kept
 
 
+def _significant(counts: DataFrame, n1: int, n0: int) -> DataFrame:
+    """(entry, weight) of entries that are surely more usual in toxic documents: G² and ratio test.
+
+    ``t`` of n1 toxic and ``c`` of n0 other documents have the entry.
+    """
+    t, c = F.col("t"), F.col("c")
+    p1, p0, both = (t + 0.5) / (n1 + 1), (c + 0.5) / (n0 + 1), (t + c + 1) / (n1 + n0 + 2)
+    g2 = 2 * ((t + 0.5) * F.log(p1 / both) + (c + 0.5) * F.log(p0 / both)
+              + (n1 - t + 0.5) * F.log((1 - p1) / (1 - both)) + (n0 - c + 0.5) * F.log((1 - p0) / (1 - both)))
+    return (counts.select("entry", "t", g2.alias("g2"), F.log(p1 / p0).alias("weight"))
+            .where((F.col("t") >= 5) & (F.col("g2") >= MIN_G2) & (F.col("weight") >= float(np.log(MIN_RATIO))))
+            .select("entry", "weight"))
+
+
 def _phrases_udf(lexicon: Lexicon):
     @arrow_udf("array<string>")
     def phrases(texts: pa.Array) -> pa.Array:
@@ -169,9 +173,9 @@ def _weights_udf(lexicon: Lexicon):
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
-          per_class: int = PER_CLASS, max_entries: int = MAX_ENTRIES) -> Lexicon:
+          per_class: int = PER_CLASS) -> Lexicon:
     """The lexicon of ``label``, learned from rows of labels that ``keep`` allows."""
-    sample = labelled_sample(docs, labels, label, keep, per_class)
+    sample = cut(labelled_sample(docs, labels, label, keep, per_class))
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -182,14 +186,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
                 .groupBy("entry").agg(F.sum("label").alias("t"),
                                       F.sum(1 - F.col("label")).alias("c")))
 
-    usual = (F.col("t") + 0.5) / (n1 + 1) >= MIN_RATIO * (F.col("c") + 0.5) / (n0 + 1)
-    rows = (counted(_sample_features_udf()("text")).where((F.col("t") >= 5) & usual)
-            .orderBy(F.desc("t"), "entry").limit(max_entries).collect())
-    lexicon = Lexicon(_prune([tuple(r) for r in rows], n1, n0))
+    entries = _significant(counted(_sample_features_udf()("text")), n1, n0).collect()
+    lexicon = Lexicon(_prune([tuple(r) for r in entries]))
     clean = (F.col("c") >= 3) & (F.col("c") * n1 > F.col("t") * n0)
-    rows = (counted(_phrases_udf(lexicon)("text")).where(clean)
-            .orderBy(F.desc("c"), "entry").limit(max_entries).collect())
-    lexicon = Lexicon(lexicon.weights, sorted(r["entry"] for r in rows))
+    phrases = counted(_phrases_udf(lexicon)("text")).where(clean).select("entry").collect()
+    lexicon = Lexicon(lexicon.weights, sorted(r["entry"] for r in phrases))
     pairs = sample.select("label", _weights_udf(lexicon)("text").alias("w")).toArrow()
     x, y = np.array(pairs["w"].to_pylist(), float), np.array(pairs["label"].to_pylist(), int)
     order = np.lexsort((x, y))

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -105,6 +106,33 @@ def test_components_of_a_long_chain(spark):
     assert {r.root for r in found.collect()} == {0}
 
 
+def sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def signed_hash(text):
+    found = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return found - (1 << 64) if found >= 1 << 63 else found
+
+
+def brute_multiset(text, lanes=128):
+    """(hex, sign sums) by plain integers."""
+    words, signs = [0] * 8, [0] * lanes
+    for part in re.split(r"[\n\r]+|(?<=[.!?])\s+", text):
+        if part.strip():
+            digest = hashlib.blake2b(part.strip().encode(), digest_size=64).digest()
+            for i in range(8):
+                words[i] += int.from_bytes(digest[8 * i: 8 * i + 8], "big")
+            for i in range(lanes):
+                signs[i] += 1 if digest[i // 8] >> (7 - i % 8) & 1 else -1
+    return ("".join(f"{w % 2**64:016x}" for w in words) + "".join(f"{s % 2**32:08x}" for s in signs)), signs
+
+
+def brute_cosine(a, b):
+    size = (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5
+    return 1.0 if a == b else max(0.0, sum(x * y for x, y in zip(a, b)) / size) if size else 0.0
+
+
 def test_op2_equals_its_definition(spark, texts):
     got = {r.doc_id: r for r in queries.op2_document_fingerprints(spark, SF_SMALL).collect()}
     ids = sorted(texts)
@@ -115,8 +143,10 @@ def test_op2_equals_its_definition(spark, texts):
         edited = text[: len(text) - half] + other[:half]
         assert r.n_chars == len(text)
         assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert r.fingerprint == multiset_hash.hex_of(multiset_hash.fingerprint(text))
-        assert r.edited_fingerprint == multiset_hash.hex_of(multiset_hash.fingerprint(edited))
+        (mine, vector), (theirs, other_vector) = brute_multiset(text), brute_multiset(edited)
+        assert r.fingerprint == mine and r.edited_fingerprint == theirs
+        assert r.near_edited == pytest.approx(brute_cosine(vector, other_vector))
+        assert r.near_next == pytest.approx(brute_cosine(vector, brute_multiset(other)[1]))
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
     assert len({r.fingerprint for r in got.values()}) >= len(set(texts.values())) - 2
     long = [d for d in ids if len(texts[d]) > 2000]
@@ -127,23 +157,49 @@ def test_multiset_hash_is_a_homomorphism():
     parts = [f"paragraph {i}" for i in range(50)] + ["again"] * 3
     total = multiset_hash.fingerprint("\n".join(parts))
     random.Random(3).shuffle(parts)
-    assert (multiset_hash.fingerprint("\n\n".join(parts)) == total).all()
-    more = multiset_hash.insert(total, "new one")
-    assert (more == multiset_hash.fingerprint("\n".join([*parts, "new one"]))).all()
-    assert (multiset_hash.delete(more, "new one") == total).all()
-    assert (multiset_hash.of_hex(multiset_hash.hex_of(total)) == total).all()
+    assert multiset_hash.fingerprint("\n\n".join(parts)) == total
+    more = total.insert("new one")
+    assert more == multiset_hash.fingerprint("\n".join([*parts, "new one"]))
+    assert more.delete("new one") == total
+    assert multiset_hash.Fingerprint.of_hex(total.hex()) == total
     assert multiset_hash.likeness(total, total) == 1.0
     assert multiset_hash.likeness(total, multiset_hash.fingerprint("")) == 0.0
-    fewer = multiset_hash.delete(total, "again")
-    assert (fewer != total).any() and multiset_hash.likeness(fewer, total) > 0.9
+    fewer = total.delete("again")
+    assert fewer != total and 1 > multiset_hash.likeness(fewer, total) > 0.9
+
+
+def test_often_repeated_paragraphs_have_their_own_fingerprints(spark):
+    """Sums of signs alone would wrap: 2**16 copies of anything to zero, 2**15 of any two to the same."""
+    texts = ["x\n" * 65536, "", "aaa\n" * 32768, "bbb\n" * 32768, "x\n" * 131072, "x\n" * 65535]
+    found = multiset_hash.compare_with_next(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert len({r.fingerprint for r in found}) == len(texts)
+    assert all(r.near_next < 1 for r in found) and found[2].near_next < 0.5 and found[0].near_next == 0
+
+
+def test_op2_hot_ids_are_spread_over_ranges(spark):
+    """A third of the rows without id and a third under one id: no range holds much of them."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, F.lit(77)).alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    dealt = multiset_hash.with_next(rows, buckets=30)
+    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("guest").alias("guests")).collect()
+    assert max(r.n for r in sizes) < 9000 / 30 * 2.5 and {r.guests for r in sizes} == {1}
+    got = multiset_hash.compare_with_next(rows, buckets=30).collect()
+    order = sorted(((r.doc_id is None, r.doc_id or 0, signed_hash(r.text), r.text) for r in rows.collect()))
+    want = Counter()
+    for a, b in zip(order, order[1:] + order[:1]):
+        half = len(a[3]) // 2
+        want[None if a[0] else a[1], sha256(a[3][: len(a[3]) - half] + b[3][:half])] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in got) == want
 
 
 def test_op2_odd_rows(odd, empty):
     for buckets in (1, 3, 40):
         rows = multiset_hash.compare_with_next(odd, buckets=buckets).collect()
-        order = sorted(((d is None, d or 0, t or "") for d, t in ODD_ROWS))
+        order = sorted(((d is None, d or 0, signed_hash(t or ""), t or "") for d, t in ODD_ROWS))
         want = Counter()
-        for (no_id, d, t), (_, _, after) in zip(order, order[1:] + order[:1]):
+        for (no_id, d, _, t), (*_, after) in zip(order, order[1:] + order[:1]):
             half = len(t) // 2
             edited = t[: len(t) - half] + after[:half]
             want[(None if no_id else d, len(t), hashlib.sha256(edited.encode()).hexdigest())] += 1

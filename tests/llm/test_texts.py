@@ -73,6 +73,33 @@ def test_decontamination_random_words(spark, monkeypatch, block_words):
     assert [got[i] for i in range(len(texts))] == brute_hits(texts, items, 4)
 
 
+def test_different_words_never_match(spark):
+    """The halves of a Thue-Morse sequence: equal under any polynomial hash modulo 2**64."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    bench = spark.createDataFrame([(1, one)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, other), (2, f"so {one.upper()} it is"), (3, "b" * 1024)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, list(r["items"])) for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert got == {1: (0, []), 2: (1, [1]), 3: (0, [])}
+
+
+def test_one_block_of_the_benchmark_at_a_time(spark, monkeypatch):
+    """A block is made only when the one before it has been applied and released."""
+    made, released = [], []
+    whole = decontaminate.TestSuffixes.__init__
+    monkeypatch.setattr(decontaminate.TestSuffixes, "__init__",
+                        lambda self, *a: (made.append(len(released)), whole(self, *a))[1])
+    rows = [(i, f"item {i} has some words") for i in range(6)]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    docs = spark.createDataFrame(rows + [(9, "clean")], "doc_id long, text string")
+    from pyspark import Broadcast
+    drop = Broadcast.unpersist
+    monkeypatch.setattr(Broadcast, "unpersist", lambda self, *a: (released.append(1), drop(self, *a))[1])
+    assert [r.doc_id for r in decontaminate.remove_contaminated(docs, bench, 3, block_words=8).collect()] == [9]
+    assert len(made) > 2 and made == sorted(set(made))
+
+
 def test_longest_matches(spark):
     bench = spark.createDataFrame([(5, "x y one two three four five z")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "k one two three four five q one two three")],
@@ -415,6 +442,49 @@ def test_toxicity_learns_lexicon_and_exceptions(spark):
     assert score("the tree") < 0.5 and score("") < 0.5
 
 
+def test_long_words_and_many_entries_are_learned(spark):
+    """Neither the length of a word nor the number of significant entries is capped."""
+    words = [f"{a}{b}{c}{'longword' * 9}" for a in "bcdfghjk" for b in "aeiou" for c in "lmnprst"]
+    rows = [(i, " ".join(words) if i % 2 else "a clean text of ordinary things") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    counts = toxicity._significant(
+        spark.createDataFrame([(f" {w} ", 40, 0) for w in words * 20], "entry string, t long, c long"), 40, 40)
+    assert counts.count() == 20 * len(words)
+    lexicon = toxicity.train(docs, marks, "toxic", F.lit(True))
+    assert lexicon.weight(f"so {words[0]} it is") > 0 == lexicon.weight("so it is")
+
+
+def test_training_reads_the_documents_once(spark, monkeypatch):
+    seen = []
+    docs, labels = read(spark, SF_SMALL, "documents"), read(spark, SF_SMALL, "labels")
+    whole = toxicity.labelled_sample
+    monkeypatch.setattr(toxicity, "labelled_sample", lambda *a: (seen.append(1), whole(*a))[1])
+    toxicity.train(docs, labels, "toxic", F.lit(True))
+    assert seen == [1] and "cut(labelled_sample" in __import__("inspect").getsource(toxicity.train)
+
+
+def test_scores_equal_a_plain_search(spark, texts):
+    """The automaton against looking for every entry at every word."""
+    lexicon = toxicity.train(read(spark, SF_SMALL, "documents"), read(spark, SF_SMALL, "labels"), "toxic",
+                             F.lit(True))
+    for text in texts.values():
+        folded, best = toxicity.fold(text), {}
+        inside = {i for p in lexicon.exceptions for m in re.finditer(f"(?={re.escape(p)})", folded)
+                  for i in range(m.start(), m.start() + len(p) - 1)}
+        for entry, weight in lexicon.weights.items():
+            for m in re.finditer(f"(?={re.escape(entry)})", folded):
+                if m.start() not in inside:
+                    best[m.start()] = max(best.get(m.start(), 0), weight)
+        want = math.log1p(sum(best.values()) / math.sqrt(1 + folded.count(" ") / 100))
+        assert lexicon.weight(text) == pytest.approx(want)
+
+
+def test_op10_scans_documents_once(spark):
+    plan = token_counts.with_running_sums(token_counts.length_histogram(read(spark, SF_SMALL, "documents")))
+    assert "parquet" not in plan._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_sigmoid_fit():
     rng = np.random.default_rng(0)
     x = rng.normal(size=4000)
