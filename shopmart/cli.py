@@ -90,7 +90,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--dm", required=True)
     p.add_argument("--partition-by-month", action="store_true")
     p.add_argument("--iso-year", action="store_true", help="weekly ranks by the ISO year")
-    p.add_argument("--method", choices=sorted(items_mart.RANK_METHODS), default="cells")
+    p.add_argument("--method", choices=sorted(items_mart.RANK_METHODS), default="sized")
     p.add_argument("--views", metavar="DATABASE")
     p = sub.add_parser("report")
     p.add_argument("name", choices=sorted(reports.REPORTS))

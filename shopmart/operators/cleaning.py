@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopmart.operators.ranges import plan_cells
+
 # Columns the load step fills with 0 before splitting the raw table.
 RAW_ZERO_DEFAULTS = ("item_discount", "order_discount", "delivery_cost", "item_canceled_quantity")
 
@@ -55,58 +57,40 @@ def dedupe_by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
             .select(*key, *[F.col("_row")[c].alias(c) for c in rest]))
 
 
-BLOCK_WIDTH = 1 << 16  # values of the first order column whose cells are summed together
-CELL_WIDTH = 1 << 12   # values of the second order column that make a cell
-
-
-def _coarse(column: str, dtype: str, width: int) -> Column:
-    """An order-preserving bucket of a column."""
-    if dtype in ("tinyint", "smallint", "int", "bigint"):
-        return F.floor(F.col(column) / F.lit(width)) if width > 1 else F.col(column)
-    if dtype == "string":
-        return F.substring(column, 1, 2)
-    return F.col(column)
+CELL_ROWS = 1 << 16  # rows of a cell that one task numbers
 
 
-def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str]) -> DataFrame:
-    """Add a dense 1..N key in ``order_cols`` order (NULLs first), as a sequence would.
+def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
+                       after: int = 0, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Add a dense key in ``order_cols`` order (NULLs first) from ``after`` + 1, as a sequence would.
 
     Equal rows are counted first (map-side), so copies are one row until the
-    end.  The others are numbered within cells - one value of the first
-    order column and a range of the second - and cells start at the sum of
-    all cells before them: summed within blocks of the first column, then over
-    the blocks (one row per ``BLOCK_WIDTH`` values).  Cells follow from the
-    values alone, so the key does not depend on layout or retries, nothing is written, and a
-    hot value of the first column is spread over the cells of the second.
+    end.  The others are dealt to cells of about ``cell_rows`` rows that ascend with the first two order
+    columns, for ids of any spread (``ranges.plan_cells``).  Cells are numbered
+    inside, and start at the sum of all cells before them, added up level by level, so no window
+    holds more than a cell's rows or the at most 65,537 cells within a cell.  Cells follow from the values
+    and their counts, so the key does not depend on layout or retries, and nothing is written.
     ``order_cols`` must cover the columns that tell rows apart.
     """
-    order_cols, types = list(order_cols), dict(df.dtypes)
+    order_cols = list(order_cols)
     rest = [c for c in df.columns if c not in order_cols]
     rows = df.groupBy(*order_cols, *rest).agg(F.count(F.lit(1)).alias("_copies"))
-    first, second = order_cols[0], order_cols[1] if len(order_cols) > 1 else None
-    cells = [_coarse(first, types[first], 1).alias("_first"),
-             (_coarse(second, types[second], CELL_WIDTH) if second else F.lit(0)).alias("_cell")]
-    rows = rows.select("*", _coarse(first, types[first], BLOCK_WIDTH).alias("_block"), *cells)
-
-    def ordered(*columns):
-        return [F.col(c).asc_nulls_first() for c in columns]
-
+    planned = plan_cells(df, order_cols[0], order_cols[min(1, len(order_cols) - 1)], cell_rows)
+    rows, cells = planned.add(rows), planned.names
     before = (Window.unboundedPreceding, -1)
-    sums = rows.groupBy("_block", "_first", "_cell").agg(F.sum("_copies").alias("_n"))
-    inside = Window.partitionBy("_block").orderBy(*ordered("_first", "_cell")).rowsBetween(*before)
-    over = Window.orderBy(*ordered("_block")).rowsBetween(*before)
-    blocks = (sums.groupBy("_block").agg(F.sum("_n").alias("_n"))
-              .select(F.col("_block").alias("_b"), F.coalesce(F.sum("_n").over(over), F.lit(0))
-                      .alias("_block_offset")))
-    starts = (sums.withColumn("_cell_offset", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-              .join(blocks, F.col("_block").eqNullSafe(F.col("_b")))
-              .select(F.col("_first").alias("_f"), F.col("_cell").alias("_c"),
-                      (F.col("_block_offset") + F.col("_cell_offset")).alias("_start")))
-    within = (Window.partitionBy("_first", "_cell").orderBy(*ordered(*order_cols, *rest))
+    sums, starts = rows.groupBy(*cells).agg(F.sum("_copies").alias("_n")), None
+    for i in range(len(cells), 0, -1):
+        # The rows of a cell's earlier siblings, from the sums of the level.
+        level = sums if i == len(cells) else sums.groupBy(*cells[:i]).agg(F.sum("_n").alias("_n"))
+        siblings = Window.partitionBy(*cells[:i - 1]).orderBy(cells[i - 1]).rowsBetween(*before)
+        level = level.select(*cells[:i], F.coalesce(F.sum("_n").over(siblings), F.lit(0)).alias(f"_s{i}"))
+        starts = level if starts is None else starts.join(level, cells[:i])
+    starts = starts.select(*cells, sum((F.col(f"_s{i}") for i in range(1, len(cells) + 1)),
+                                       F.lit(0)).alias("_start"))
+    within = (Window.partitionBy(*cells).orderBy(*[F.col(c).asc_nulls_first() for c in [*order_cols, *rest]])
               .rowsBetween(*before))
     numbered = (rows.withColumn("_before", F.coalesce(F.sum("_copies").over(within), F.lit(0)))
-                .join(starts, F.col("_first").eqNullSafe(F.col("_f"))
-                      & F.col("_cell").eqNullSafe(F.col("_c"))))
-    lowest = F.col("_start") + F.col("_before") + 1
+                .join(starts, cells))
+    lowest = F.col("_start") + F.col("_before") + 1 + after
     return (numbered.withColumn(name, F.explode(
         F.sequence(lowest, lowest + F.col("_copies") - 1))).select(*df.columns, name))

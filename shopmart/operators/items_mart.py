@@ -5,8 +5,8 @@ order or item collapses before any shuffle — then meet their order (one
 row per order) on ``order_id`` and are summed per (report_date, city,
 store, item).  Those narrow rows are ranked, and only then pick up the
 item's title and category and the store address, so the rank sorts do not
-carry long strings.  Ranks come from counts of cells (one quantity, a range
-of items) and places within cells, so no task holds a whole store.
+carry long strings.  A store-year too large for a task is ranked from counts of cells (one quantity,
+a range of items) and places within cells.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from shopmart.functions import money
 from shopmart.functions.dates import iso_week
 from shopmart.functions.dates import iso_year as iso_year_of
 from shopmart.operators.orders_mart import fill_line_defaults
+from shopmart.operators.ranges import MOST_CELLS, with_cell
 
 ORDER_ATTRS = ("order_id", "store_id", "store_address", "city", "report_date", "report_year",
                "report_month", "report_day", "order_discount")
@@ -115,7 +116,8 @@ def dm_items_base(order_items: DataFrame, orders_enriched: DataFrame,
 RANK_PERIODS = {"daily": ("report_date",), "weekly": ("report_week",),
                 "monthly": ("report_month",)}
 RANK_GROUP = ("report_year", "city", "store_id")
-ITEM_RANGE = 4096   # item ids of one rank cell
+RANK_CELL_ROWS = 4096     # rows of a store-year that a range of items aims at
+WINDOW_ROWS = 1 << 20     # a store-year of more rows is ranked by cells
 RANK_SALTS = 64     # parts that rows are spread over while only one row per cell counts
 
 
@@ -141,14 +143,17 @@ def _ranks_by_window(df: DataFrame, iso_year: bool) -> DataFrame:
 def _ranks_by_cell(df: DataFrame, iso_year: bool) -> DataFrame:
     """The six ranks as the rows in earlier cells plus the place within the cell.
 
-    A cell is one quantity and a range of item ids of a rank group; its rows are ordered
+    A cell is one quantity and a range of item ids (``ranges.with_cell``) of a rank group; its rows are ordered
     (item, day) in rising and falling order of quantity alike.  First every row gets
     its place in its cell and the cell's size; then the first row of each cell sums
     the sizes of the cells before (the other rows are salted away meanwhile);
     then the cell takes that sum over.  So a task holds a cell, or one row per cell of a
     group, never a group or a store-year, and the mart below is computed once.
     """
-    rows = df.withColumn("_range", F.floor(F.col("item_id") / ITEM_RANGE))
+    # Ranges of items by each store-year's own bounds and size, twice where ids crowd.
+    rows = with_cell(df, "_r1", RANK_GROUP, "item_id", RANK_CELL_ROWS)
+    rows = with_cell(rows, "_r2", [*RANK_GROUP, "_r1"], "item_id", RANK_CELL_ROWS)
+    rows = rows.withColumn("_range", F.col("_r1") * (MOST_CELLS + 1) + F.col("_r2"))
     cell = [*RANK_GROUP, "ordered_quantity", "_range"]
     periods = {p: _period_group(p, iso_year) for p in RANK_PERIODS}
     cells = {p: Window.partitionBy(*dict.fromkeys([*g, "ordered_quantity", "_range"]))
@@ -180,10 +185,26 @@ def _ranks_by_cell(df: DataFrame, iso_year: bool) -> DataFrame:
     return rows.select(*df.columns, *ranks)
 
 
-RANK_METHODS = {"cells": _ranks_by_cell, "windows": _ranks_by_window}
+def _ranks_by_size(df: DataFrame, iso_year: bool, window_rows: int | None = None) -> DataFrame:
+    """Plain windows for store-years that a task can hold, cells for the others.
+
+    The large store-years are counted first (one per ``window_rows`` rows at most); when there are none, AQE
+    drops the second branch.
+    """
+    limit = WINDOW_ROWS if window_rows is None else window_rows
+    large = (df.groupBy(*RANK_GROUP).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
+             .select(*(F.col(c).alias(f"_large_{c}") for c in RANK_GROUP)))
+    same = F.lit(True)
+    for c in RANK_GROUP:
+        same = same & F.col(c).eqNullSafe(F.col(f"_large_{c}"))
+    return _ranks_by_window(df.join(large, same, "left_anti"), iso_year).unionByName(
+        _ranks_by_cell(df.join(large, same, "left_semi"), iso_year))
+
+
+RANK_METHODS = {"sized": _ranks_by_size, "cells": _ranks_by_cell, "windows": _ranks_by_window}
 
 
-def with_ranks(df: DataFrame, iso_year: bool = False, method: str = "cells") -> DataFrame:
+def with_ranks(df: DataFrame, iso_year: bool = False, method: str = "sized") -> DataFrame:
     """The six popularity ranks over item rows of dated, store-bound orders.
 
     Ranks are by ``ordered_quantity`` within (period, report_year, city,
@@ -191,9 +212,9 @@ def with_ranks(df: DataFrame, iso_year: bool = False, method: str = "cells") ->
     ``report_year`` and ISO ``report_week`` (so 2024-12-30, ISO week 1 of 2025,
     joins week 1 of 2024), with ``iso_year=True`` by the ISO week-numbering year.
 
-    ``method="cells"`` holds no rank group in one task; ``"windows"`` gives
-    the same ranks from six plain windows, with all rows of a store-year
-    (at most items × 366) in one task.
+    All methods give the same ranks: ``"windows"`` from six plain windows, with all rows of a
+    store-year in one task; ``"cells"`` holds no rank group in one task, whatever the spread of the item
+    ids; ``"sized"`` takes windows for store-years of up to ``WINDOW_ROWS`` rows, cells for larger ones.
     """
     ranked = df.filter(F.col("store_id").isNotNull())
     if iso_year:
@@ -201,7 +222,7 @@ def with_ranks(df: DataFrame, iso_year: bool = False, method: str = "cells") ->
     return RANK_METHODS[method](ranked, iso_year)
 
 
-def dm_items(base: DataFrame, iso_year: bool = False, method: str = "cells") -> DataFrame:
+def dm_items(base: DataFrame, iso_year: bool = False, method: str = "sized") -> DataFrame:
     """Add the six popularity ranks to ``dm_items_base`` and conform."""
     return conform(with_ranks(base, iso_year, method), DM_ITEMS)
 

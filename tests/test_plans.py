@@ -141,11 +141,13 @@ def test_rank_methods_agree(spark, core, iso_year):
     assert windows.exceptAll(cells).count() == 0
 
 
-def test_ranks_of_one_big_store_are_spread(spark):
+def test_ranks_of_one_big_store_are_spread(spark, monkeypatch):
     """Nine tenths of all rows in one store: its rows are ranked in many tasks."""
     from pyspark.sql import functions as F
 
+    from shopmart.operators import items_mart
     from shopmart.operators.items_mart import with_ranks
+    monkeypatch.setattr(items_mart, "WINDOW_ROWS", 10_000)  # what a task may hold
     rows = spark.range(0, 60000).select(
         F.lit("2024-03-05").cast("date").alias("report_date"), F.lit(2024).alias("report_year"),
         F.lit(3).alias("report_month"), F.lit(10).alias("report_week"), F.lit("c").alias("city"),
