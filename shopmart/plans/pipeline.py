@@ -104,13 +104,9 @@ class ConstraintViolation(ValueError):
         self.counts = counts
 
 
-def violation_counts(violations: dict[str, DataFrame], workers: int = 4) -> dict[str, int]:
-    """Rows per violations frame (NOT NULL frames: the summed null rows)."""
-    def count(name, df):
-        if name.startswith("not_null_"):
-            return lambda: int(df.agg(F.sum("null_rows")).first()[0] or 0)
-        return df.count
-    return run_concurrently({n: count(n, df) for n, df in violations.items()}, workers)
+def count_core_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(check_name, violations) of every core constraint, in one job over the seven tables."""
+    return quality.count_violations(tables, CORE, FOREIGN_KEYS, ("order_items", "orders"))
 
 
 def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Target,
@@ -135,13 +131,13 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
     filled = fill_defaults(raw)
     result, load = RunResult(), Load(spark, core_target)
     _stage_all(load, {n: core_table(filled, n) for n in LOAD_ORDER}, result, workers)
-    staged = core_violations({n: load.read(n, **_split(core_target, n, jdbc_partitions))
-                              for n in LOAD_ORDER})
+    tables = {n: load.read(n, **_split(core_target, n, jdbc_partitions)) for n in LOAD_ORDER}
+    staged = core_violations(tables)
     if violations_target is not None:
         run_concurrently({name: (lambda n=name, df=df: write_table(df, violations_target, n))
                           for name, df in staged.items()}, workers)
     if fail_on_violation:
-        bad = {k: v for k, v in violation_counts(staged, workers).items() if v}
+        bad = {r.check_name: r.violations for r in count_core_violations(tables).collect() if r.violations}
         if bad:
             load.discard()
             raise ConstraintViolation(bad)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopmart import cli
-from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, RAW
+from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, RAW, conform
 from shopmart.operators import reports
 from shopmart.plans import pipeline
 from shopmart.sources import io, load
@@ -351,3 +351,54 @@ def test_entry_point_without_an_optional_package(package):
     """
     done = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], capture_output=True, text=True)
     assert "fine" in done.stdout, done.stderr[-2000:]
+
+
+def broken_core(spark):
+    """Core tables with every kind of violation."""
+    tables = {n: spark.createDataFrame([], c.schema) for n, c in CORE.items()}
+    rows = {"users": [(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, None)],
+            "stores": [(5, None, None)], "drivers": [(7, "x")],
+            "items": [(10, "t", None), (11, None, None)],
+            "order_drivers": [(1, 100, 7), (2, 100, 7), (3, None, 7), (4, None, 7), (5, 101, 8), (5, 102, None)]}
+    for name, values in rows.items():
+        tables[name] = spark.createDataFrame(values, CORE[name].schema)
+    tables["orders"] = conform(spark.sql(
+        "SELECT * FROM VALUES (100L, 1L, 5L, NULL, NULL), (101L, 3L, 6L, 101, -1), (101L, NULL, NULL, -1, 1) "
+        "AS t(order_id, user_id, store_id, order_discount, delivery_cost)"), CORE["orders"])
+    tables["order_items"] = conform(spark.sql(
+        "SELECT * FROM VALUES (1L, 100L, 10L, 1, 1, 2, 0, 12L), (2L, 9L, 13L, -1, -1, -1, 101, NULL), "
+        "(2L, NULL, NULL, NULL, NULL, 0, 0, 10L) AS t(order_item_sk, order_id, item_id, item_quantity, item_price, "
+        "item_canceled_quantity, item_discount, item_replaced_id)"), CORE["order_items"])
+    return tables
+
+
+def single_checks(tables):
+    out = {}
+    for name, df in pipeline.core_violations(tables).items():
+        out[name] = int(df.agg(F.sum("null_rows")).first()[0] or 0) if name.startswith("not_null_") else df.count()
+    return out
+
+
+def test_one_pass_counts_equal_the_single_checks(spark, tmp_path, raw):
+    tables = broken_core(spark)
+    want = single_checks(tables)
+    got = {r.check_name: r.violations for r in pipeline.count_core_violations(tables).collect()}
+    assert got == want and all(want[k] for k in want if not k.startswith(("unique_stores", "unique_drivers",
+                               "unique_items", "not_null_stores", "not_null_drivers")))
+    core = Target.parquet(str(tmp_path / "core"))
+    pipeline.run_etl(spark, raw, core)
+    tables = pipeline.read_core(spark, core)
+    assert {r.check_name: r.violations for r in pipeline.count_core_violations(tables).collect()} == \
+        single_checks(tables)
+    empty = {n: df.limit(0) for n, df in tables.items()}
+    assert {r.violations for r in pipeline.count_core_violations(empty).collect()} == {0}
+
+
+def test_one_pass_scans_each_table_once_with_one_exchange(spark, tmp_path, raw):
+    core = Target.parquet(str(tmp_path / "core"))
+    pipeline.run_etl(spark, raw, core)
+    summary = pipeline.count_core_violations(pipeline.read_core(spark, core))
+    plan = summary._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == len(CORE)
+    executed = summary._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 1 and "Join" not in executed
