@@ -41,6 +41,7 @@ from shopmart.llm.common import cut, splittable
 HASH_SEED = 42
 PAIR_BLOCK = 1 << 20    # candidate pairs compared at a time
 ROW_BLOCK = 1 << 18     # bucket rows gathered before they are compared
+PROBES = 16  # probes of a bucket part for each stored row it may have
 COUNT_BLOCK = 1 << 17   # shingle hashes whose bits are counted at a time
 
 
@@ -172,11 +173,11 @@ def _bucket_forest(pdf: pd.DataFrame, max_bits: int) -> pd.DataFrame:
     of = bucket[store]
     lo = np.searchsorted(of, bucket, "left")
     hi = np.searchsorted(of, bucket, "right")
-    # A stored row meets the stored rows after it, a probe all of them.
+    # A stored row meets the stored rows after it (in one turn of its bucket), a probe all of them.
     rank = np.empty(len(fp), np.int64)
     rank[store] = np.arange(len(store))
     lo = np.where(home, np.maximum(lo, rank + 1), lo) if len(store) else lo
-    width = np.maximum(hi - lo, 0)
+    width = np.where(home & ~pdf["pairs"].to_numpy(), 0, np.maximum(hi - lo, 0))
     todo = np.flatnonzero(width)
     at = 0
     while at < len(todo):
@@ -224,20 +225,38 @@ def _forest_map(max_bits: int):
     return run
 
 
-def links(fps: DataFrame, max_bits: int, count: int, hot_bucket: int = 4096) -> DataFrame:
-    """(u, v): links between distinct fingerprints ``fps`` (fp), enough to connect every group."""
-    rows = _bucket_rows(fps, segment_plan(max_bits, count))
-    sizes = (rows.where("home").groupBy("seg", "key").count()
-             .where(F.col("count") > hot_bucket)
-             .select("seg", "key", F.ceil(F.col("count") / hot_bucket).cast("int").alias("parts")))
-    rows = rows.join(splittable(sizes), ["seg", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("parts"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    rows = rows.select("seg", "key", "fp", "home", "parts", own.cast("int").alias("own"), other)
+def deal(rows: DataFrame, hot_bucket: int = 4096) -> DataFrame:
+    """(seg, key, part, fp, home, pairs): bucket rows in parts of a bounded size.
+
+    A bucket of many stored rows is cut into store blocks that meet two by two, and a bucket of many probes into
+    probe blocks, each of which gets the stored rows; store blocks meet among themselves in the first of
+    those only (``pairs``).  Probes of a large bucket that stores nothing go before the exchange.  Only
+    buckets of over ``hot_bucket`` stored rows or ``PROBES`` times as many probes are listed.
+    """
+    home = F.col("home")
+    sizes = (rows.groupBy("seg", "key").agg(F.count_if(home).alias("stored"), F.count_if(~home).alias("probes"))
+             .where((F.col("stored") > hot_bucket) | (F.col("probes") > PROBES * hot_bucket))
+             .select("seg", "key", "stored",
+                     F.greatest(F.lit(1), F.ceil(F.col("stored") / hot_bucket)).cast("int").alias("parts"),
+                     F.greatest(F.lit(1), F.ceil(F.col("probes") / (PROBES * hot_bucket))).cast("int").alias("turns")))
+    rows = (rows.join(splittable(sizes), ["seg", "key"], "left")
+            .where(home | F.coalesce(F.col("stored") > 0, F.lit(True)))
+            .withColumns({c: F.coalesce(c, F.lit(1)) for c in ("parts", "turns")}))
+    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    turn = F.pmod(F.xxhash64(F.col("fp"), F.lit("turn")), F.col("turns")).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    rows = rows.select("seg", "key", "fp", "home", "parts", "turns", own.alias("own"),
+                       F.explode(F.when(home, every("turns")).otherwise(F.array(turn))).alias("turn"))
+    rows = rows.select("*", F.explode(every("parts")).alias("other"))
     # Store blocks meet once, in (lower, higher); a probe's block meets every store block.
     lower, higher = F.least("own", "other"), F.greatest("own", "other")
-    rows = rows.select("seg", "key", "fp", "home",
-                       (lower * F.col("parts") + higher).cast("long").alias("part"))
+    part = ((lower * F.col("parts") + higher).cast("long") * F.col("turns") + F.col("turn")).alias("part")
+    return rows.select("seg", "key", part, "fp", "home", (F.col("turn") == 0).alias("pairs"))
+
+
+def links(fps: DataFrame, max_bits: int, count: int, hot_bucket: int = 4096) -> DataFrame:
+    """(u, v): links between distinct fingerprints ``fps`` (fp), enough to connect every group."""
+    rows = deal(_bucket_rows(fps, segment_plan(max_bits, count)), hot_bucket)
     dealt = rows.repartition("seg", "key", "part").sortWithinPartitions("seg", "key", "part")
     return dealt.mapInPandas(_forest_map(max_bits), "u long, v long")
 

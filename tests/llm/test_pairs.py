@@ -282,3 +282,32 @@ def test_suffix_dedup_odd_rows(odd, empty):
         if r.doc_id == 9:
             assert (r.n_removed, bytes(r.kept)) == (len(LONG), b"x")
     assert suffix_dedup.remove_repeats(empty).count() == 0
+
+
+def test_op1_hot_probes_are_dropped_or_split(spark):
+    """Fingerprints that share a segment probe the same keys, most of which store nothing."""
+    rng = random.Random(8)
+    fps = [(rng.getrandbits(40) << 21 | 0x155555) & (1 << 61) - 1 for _ in range(3000)]
+    fps += [f ^ 1 << rng.randrange(40, 60) for f in fps[:40]]
+    near = 0x155555 ^ 1 << 7            # a neighbouring key that few store and all probe
+    fps += [(rng.getrandbits(40) << 21 | near) & (1 << 61) - 1 for _ in range(3)]
+    fps += [fps[0] ^ 1 << 7, fps[1] ^ 1 << 7 ^ 1 << 50]
+    df = spark.createDataFrame([(f,) for f in set(fps)], "fp long")
+    rows = simhash._bucket_rows(df, [(0, 21, 1), (21, 21, 1), (42, 22, 0)])
+    before = rows.groupBy("seg", "key").agg(F.max("home").alias("stores"), F.count("*").alias("n"))
+    assert before.where("not stores and n > 2900").count() > 5
+    dealt = simhash.deal(rows, hot_bucket=100)
+    after = dealt.groupBy("seg", "key", "part").agg(F.max("home").alias("stores"), F.count("*").alias("n"))
+    limit = simhash.PROBES * 100
+    assert after.agg(F.max("n")).first()[0] <= 1.3 * limit
+    assert after.where(f"not stores and n > {limit}").count() == 0
+    found = simhash.components(simhash.links(df, 3, df.count(), hot_bucket=100))
+    roots = {r.fp: r.root for r in found.collect()}
+    want = {}
+    values = np.array(sorted(set(fps)), np.uint64)
+    for i, f in enumerate(values):
+        for g in values[i + 1:][np.bitwise_count(values[i + 1:] ^ f) <= 3]:
+            want.setdefault(int(f), set()).add(int(g))
+    root = lambda f: roots.get(f, f)  # noqa: E731  (a root has no row of its own)
+    assert want and all(root(f) == root(g) for f, others in want.items() for g in others)
+    assert set(roots) | set(roots.values()) == set(want) | {g for others in want.values() for g in others}
