@@ -41,6 +41,7 @@ from shopmart.llm.common import cut, splittable
 HASH_SEED = 42
 PAIR_BLOCK = 1 << 20    # candidate pairs compared at a time
 ROW_BLOCK = 1 << 18     # bucket rows gathered before they are compared
+BROADCAST_ROWS = 100_000  # listed buckets (32 bytes each) that go to every task
 PROBES = 16  # probes of a bucket part for each stored row it may have
 COUNT_BLOCK = 1 << 17   # shingle hashes whose bits are counted at a time
 
@@ -231,7 +232,8 @@ def deal(rows: DataFrame, hot_bucket: int = 4096) -> DataFrame:
     A bucket of many stored rows is cut into store blocks that meet two by two, and a bucket of many probes into
     probe blocks, each of which gets the stored rows; store blocks meet among themselves in the first of
     those only (``pairs``).  Probes of a large bucket that stores nothing go before the exchange.  Only
-    buckets of over ``hot_bucket`` stored rows or ``PROBES`` times as many probes are listed.
+    buckets of over ``hot_bucket`` stored rows or ``PROBES`` times as many probes are listed; the list is
+    counted first, and broadcast when it is small, so the rows cross one exchange.
     """
     home = F.col("home")
     sizes = (rows.groupBy("seg", "key").agg(F.count_if(home).alias("stored"), F.count_if(~home).alias("probes"))
@@ -239,7 +241,9 @@ def deal(rows: DataFrame, hot_bucket: int = 4096) -> DataFrame:
              .select("seg", "key", "stored",
                      F.greatest(F.lit(1), F.ceil(F.col("stored") / hot_bucket)).cast("int").alias("parts"),
                      F.greatest(F.lit(1), F.ceil(F.col("probes") / (PROBES * hot_bucket))).cast("int").alias("turns")))
-    rows = (rows.join(splittable(sizes), ["seg", "key"], "left")
+    sizes = cut(sizes)
+    listed = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else splittable(sizes)
+    rows = (rows.join(listed, ["seg", "key"], "left")
             .where(home | F.coalesce(F.col("stored") > 0, F.lit(True)))
             .withColumns({c: F.coalesce(c, F.lit(1)) for c in ("parts", "turns")}))
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
