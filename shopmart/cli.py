@@ -31,8 +31,8 @@ from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, MARTS
 from shopmart.operators import items_mart, reports
 from shopmart.plans import pipeline
 from shopmart.session import REQUIRED_CONF
-from shopmart.sources.io import (JDBC_PARTITIONS, Target, jdbc_target_from_env, read_table,
-                                 write_table)
+from shopmart.sources.io import (JDBC_PARTITIONS, Target, jdbc_target_from_env, pushed_table,
+                                 read_table, write_table)
 from shopmart.sources.load import clean, refresh_views
 
 
@@ -146,9 +146,8 @@ def main(argv: list[str] | None = None) -> int:
         dm = target(args.dm, args.dm_schema)
         source, fn = reports.REPORTS[args.name]
         schema = DM_ORDERS.schema if source == "dm_orders" else DM_ITEMS.schema
-        split = "store_id" if dm.kind == "jdbc" else None
-        result = fn(read_table(spark, dm, source, schema=schema, partition_column=split,
-                               num_partitions=args.jdbc_partitions))
+        result = fn(pushed_table(spark, dm, source) if dm.kind == "jdbc" else
+                    read_table(spark, dm, source, schema=schema))
         if args.out:
             out = {"written": write_table(result, target(args.out), args.name)}
         else:

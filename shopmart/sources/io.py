@@ -256,6 +256,22 @@ def read_table(spark: SparkSession, target: Target, name: str,
     raise ValueError(f"unknown target kind {target.kind!r}")
 
 
+def pushed_table(spark: SparkSession, target: Target, name: str, catalog: str = "jdbc_mart") -> DataFrame:
+    """A JDBC table through Spark's JDBC catalog: filters and aggregates over it run in the database.
+
+    So a report reads one row per group instead of the table.  ORDER BY … LIMIT goes down as well on
+    PostgreSQL; other dialects may not know LIMIT, and Spark cuts their result itself.
+    """
+    known = target.location.startswith("jdbc:postgresql:")
+    options = {"": "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog",
+               ".url": target.location, ".pushDownLimit": str(known).lower(),
+               **{f".{k}": v for k, v in target.options.items() if k != "cascadeTruncate"}}
+    for key, value in options.items():
+        spark.conf.set(f"spark.sql.catalog.{catalog}{key}", value)
+    schema = target.schema or ("public" if known else "APP")
+    return spark.table(f"`{catalog}`.`{schema}`.`{name}`")
+
+
 def bounds_query(target: Target, name: str, column: str) -> str:
     """The MIN/MAX subquery that stands for a table in a JDBC read (``column`` as SQL)."""
     return f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {target.dbtable(name)}) b"

@@ -402,3 +402,25 @@ def test_one_pass_scans_each_table_once_with_one_exchange(spark, tmp_path, raw):
     assert plan.count("FileScan parquet") == len(CORE)
     executed = summary._jdf.queryExecution().executedPlan().toString()
     assert executed.count("Exchange hashpartitioning") == 1 and "Join" not in executed
+
+
+def test_reports_on_a_jdbc_mart_aggregate_in_the_database(spark, tmp_path, raw):
+    core, dm = Target.parquet(str(tmp_path / "core")), Target.parquet(str(tmp_path / "dm"))
+    pipeline.run_etl(spark, raw, core)
+    pipeline.run_marts(spark, core, dm)
+    db = derby("mart_v2")
+    marts = {}
+    for name, contract in (("dm_orders", DM_ORDERS), ("dm_items", DM_ITEMS)):
+        marts[name] = read_table(spark, dm, name, schema=contract.schema).na.fill("none")
+        texts = ", ".join(f"{c} VARCHAR(300)" for c, t in contract.columns if t.simpleString() == "string")
+        io.jdbc_writer(marts[name], db, name, "error").option("createTableColumnTypes", texts).save()
+    pushed = {"q2_monthly_buyers": "SUM(avg_check_amount)", "q3_best_check_stores": "SUM(avg_check_amount)",
+              "q4_driver_change_rate": "SUM(orders_created_cnt)", "q5_category_turnover": "SUM(item_gross_amount)",
+              "q6_most_canceled_items": "SUM(canceled_quantity)", "q7_item_cancel_rate": "SUM(ordered_quantity)",
+              "q8_item_order_cancel_rate": "SUM(orders_with_item_cnt)"}
+    for name, (mart, fn) in reports.REPORTS.items():
+        got = fn(io.pushed_table(spark, db, mart.upper()))
+        assert plain(got) == plain(fn(marts[mart])), name
+        if name in pushed:
+            scan = got._jdf.queryExecution().executedPlan().toString()
+            assert f"PushedAggregates: [{pushed[name]}" in scan and "PushedGroupByExpressions" in scan
