@@ -21,7 +21,7 @@ from shopmart.operators import items_mart, normalize, orders_mart, quality
 from shopmart.operators.cleaning import fill_defaults, with_surrogate_key
 from shopmart.sources.io import (JDBC_PARTITIONS, Target, read_files, read_table, snapshot,
                                  write_table)
-from shopmart.sources.load import Load, refresh_views
+from shopmart.sources.load import Load, refresh_views, sequence_mark
 
 SEQUENCE_KEYS = {
     "order_items": ("order_item_sk", normalize.ORDER_ITEM_COLUMNS),
@@ -147,6 +147,20 @@ def run_etl(spark: SparkSession, raw_source: Target | DataFrame, core_target: Ta
     return result
 
 
+def append_rows(spark: SparkSession, core_target: Target, name: str, rows: DataFrame) -> RunResult:
+    """Append rows to a core table; its sequence key goes on where it stood (a full load starts at 1).
+
+    ``rows`` have the table's columns without the key.  One appender at a time: the mark is read first and
+    written with the new rows.
+    """
+    key, order = SEQUENCE_KEYS[name]
+    mark = sequence_mark(spark, core_target, name, key)
+    result, load = RunResult(), Load(spark, core_target, append=True)
+    _stage(load, conform(with_surrogate_key(rows, key, order, after=mark), CORE[name]), name, result)
+    load.publish(sequences={name: mark + result.rows[name]})
+    return result
+
+
 def sequence_marks(rows: dict[str, int]) -> dict[str, int]:
     """The last value of each table's sequence key after a full load: keys run from 1."""
     return {name: rows[name] for name in SEQUENCE_KEYS}

@@ -105,10 +105,13 @@ class Load:
     """Tables staged in ``target``; ``publish`` shows them all, ``discard`` none.
 
     An unversioned parquet folder has no place to stage: it is overwritten at once.
+    With ``append`` the staged rows join those that the tables hold.
     """
 
-    def __init__(self, spark: SparkSession, target: Target):
-        self.spark, self.target = spark, target
+    def __init__(self, spark: SparkSession, target: Target, append: bool = False):
+        if append and (target.kind == "table" or not target.versioned):
+            raise ValueError("appending needs a versioned parquet or a JDBC target")
+        self.spark, self.target, self.append = spark, target, append
         self.run = time.time_ns()
         self.versions: dict[str, list[str]] = {}
         self.staged: dict[str, str] = {}
@@ -186,7 +189,9 @@ class Load:
         """
         if self.target.kind == "parquet":
             if self.target.versioned:
-                publish_manifest(self.spark, self.target, self.versions, sequences)
+                held = snapshot(self.spark, self.target) if self.append else {}
+                publish_manifest(self.spark, self.target,
+                                 {n: held.get(n, []) + v for n, v in self.versions.items()}, sequences)
             return
         order = [n for n in (order or self.staged) if n in self.staged]
         if self.target.kind == "table":
@@ -204,7 +209,9 @@ class Load:
             tables = {n: self.target.dbtable(n) for n in order}
             for name in order:
                 self._keep_one_attempt(db, name)
-            if self.target.location.startswith("jdbc:postgresql:"):
+            if self.append:
+                pass  # the old rows stay
+            elif self.target.location.startswith("jdbc:postgresql:"):
                 db.run(f"TRUNCATE TABLE {', '.join(tables.values())} RESTART IDENTITY CASCADE")
             else:
                 for name in reversed(order):
@@ -240,6 +247,20 @@ class Load:
         self.staged.clear()
 
 
+def sequence_mark(spark: SparkSession, target: Target, name: str, key: str) -> int:
+    """The last value that a table's sequence key has reached; 0 before the first.
+
+    Parquet: as the newest manifest of the table tells; JDBC: the largest key in the table.
+    """
+    if target.kind == "jdbc":
+        with Database(spark, target) as db:
+            found = db.rows(f"SELECT MAX({db.dialect.quoteIdentifier(key)}) FROM {target.dbtable(name)}")[0][0]
+    else:
+        told = manifests(spark, target).where(F.col("sequences")[name].isNotNull())
+        found = told.agg(F.max_by(F.col("sequences")[name], F.col("id"))).first()[0]
+    return int(found or 0)
+
+
 def refresh_views(spark: SparkSession, target: Target, schemas: dict[str, T.StructType],
                   database: str | None = None) -> None:
     """SQL views of a parquet target's tables at its newest snapshot.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shopmart import cli
 from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, RAW, conform
-from shopmart.operators import reports
+from shopmart.operators import normalize, reports
 from shopmart.plans import pipeline
 from shopmart.sources import io, load
 from shopmart.sources.fixture import raw_order_lines
@@ -424,3 +424,24 @@ def test_reports_on_a_jdbc_mart_aggregate_in_the_database(spark, tmp_path, raw):
         if name in pushed:
             scan = got._jdf.queryExecution().executedPlan().toString()
             assert f"PushedAggregates: [{pushed[name]}" in scan and "PushedGroupByExpressions" in scan
+
+
+@pytest.mark.parametrize("kind", ["parquet", "jdbc"])
+def test_sequences_go_on_after_an_append_and_restart_on_reload(spark, tmp_path, raw, kind):
+    core = Target.parquet(str(tmp_path / "core")) if kind == "parquet" else derby("appended")
+    lines = read_table(spark, raw, "raw").where("order_id < 800")
+    first = pipeline.run_etl(spark, lines, core).rows["order_items"]
+    more = normalize.CORE_BUILDERS["order_items"](pipeline.fill_defaults(
+        read_table(spark, raw, "raw").where("order_id >= 800 and order_id < 1200")))
+    for _ in range(2):
+        added = pipeline.append_rows(spark, core, "order_items", more).rows["order_items"]
+    assert added == more.count() > 0
+    keys = sorted(r[0] for r in read_table(spark, core, "order_items").select("order_item_sk").collect())
+    assert keys == list(range(1, first + 2 * added + 1))
+    late = read_table(spark, core, "order_items").where(f"order_item_sk > {first}")
+    assert late.agg(F.min("order_id")).first()[0] >= 800
+    pipeline.run_etl(spark, lines, core)
+    keys = sorted(r[0] for r in read_table(spark, core, "order_items").select("order_item_sk").collect())
+    assert keys == list(range(1, first + 1))
+    assert pipeline.append_rows(spark, core, "order_items", more).rows["order_items"] == added
+    assert read_table(spark, core, "order_items").agg(F.max("order_item_sk")).first()[0] == first + added
