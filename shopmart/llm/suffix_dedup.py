@@ -16,15 +16,15 @@ occurs twice, in three steps:
 3. Suffix order.  For the other runs and the witnesses, Spark's sampled
    splitters range-partition the runs by their leading token, so all
    suffixes that can be equal are in one bucket; there, the suffixes of all starts
-   are ordered by their leading 8 bytes, ties by a 64-bit hash of the ``span``
-   bytes, and equal neighbours are repeated.  That is a hash order, not
-   multikey quicksort: only equality is needed, and beyond 8 bytes the order is
-   not that of the bytes.  Splitters lie between distinct tokens, so no equal
-   suffixes lie on two sides of a boundary and no boundary is compared.
+   are sorted by their bytes with multikey quicksort, and strings that agree to
+   their last byte are repeated.  Splitters lie between distinct tokens, so no equal
+   suffixes lie on two sides of a boundary: comparing the last suffix of a bucket with the
+   first of the next could find nothing, and is left out.
    A token with more than ``hot_token`` different runs does not go to one bucket:
    its suffixes are counted as rows, with map-side sums.
 
-Equality of strings is judged by 64-bit hashes (the last step by 128 bits).
+Equality is judged by bytes in the buckets, else by 64-bit hashes (suffixes of hot
+tokens: by 128 bits, token and suffix).
 
 Defined results: null and empty texts have no bytes; strings never cross
 documents; copies of a text (repeated rows too) count as other occurrences;
@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from shopmart.llm import bytehash
 from shopmart.llm.common import cut, splittable
+from shopmart.llm.multikey import multikey_quicksort
 
 TOKEN = 32
 PLACE = np.uint64((1 << 22) - 1)  # a block has fewer bytes
@@ -146,19 +147,9 @@ def _suffix_map(span: int):
         buf = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
         n = rows["n"].to_numpy(np.int64)
         begin = np.concatenate(([0], np.cumsum(n + span - 1)[:-1]))
-        pre = bytehash.prefix(buf)
         owner = np.repeat(np.arange(len(n)), n)
         at = np.repeat(begin - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        tail = bytehash.fixed_hash(pre, span)[at]
-        lead = np.zeros(len(buf) - 7, np.uint64)
-        for i in range(8):
-            lead = (lead << np.uint64(8)) | buf[i: len(buf) - 7 + i]
-        lead = lead[at]
-        order = np.lexsort((tail, lead))
-        same = (lead[order][1:] == lead[order][:-1]) & (tail[order][1:] == tail[order][:-1])
-        hit = np.zeros(len(at), bool)
-        hit[order[1:][same]] = True
-        hit[order[:-1][same]] = True
+        _, hit = multikey_quicksort(buf, at, span)
         return _intervals(rows, owner, at - begin[owner], hit)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from shopmart.llm import multiset_hash, queries, simhash, suffix_dedup
+from shopmart.llm import multikey, multiset_hash, queries, simhash, suffix_dedup
 from tests.llm.conftest import LONG, ODD_ROWS, SF_SMALL
 
 
@@ -236,6 +236,26 @@ def test_op6_equals_brute_force(spark, texts):
     assert [got[d] for d in ids] == brute_removed([texts[d] for d in ids], 200)
 
 
+@pytest.mark.parametrize("size,letters", [(1, 3), (5, 2), (8, 2), (13, 2), (24, 3), (200, 1), (200, 2), (200, 256)])
+def test_multikey_quicksort_sorts_by_bytes(size, letters):
+    """Any string length, bytes above 127, overlaps, a copied passage, all strings equal."""
+    rng = np.random.default_rng(size)
+    buf = (256 - letters + rng.integers(0, letters, 2000 + size - 1)).astype(np.uint8)
+    buf[1200:1600] = buf[100:500]
+    at = rng.permutation(2000)
+    order, equal = multikey.multikey_quicksort(buf, at, size)
+    strings = [bytes(buf[p:p + size]) for p in at]
+    assert [strings[i] for i in order] == sorted(strings)
+    often = Counter(strings)
+    assert equal.tolist() == [often[s] > 1 for s in strings]
+
+
+@pytest.mark.parametrize("size", [1, 200])
+def test_multikey_quicksort_of_no_strings(size):
+    order, equal = multikey.multikey_quicksort(np.zeros(0, np.uint8), np.zeros(0, np.int64), size)
+    assert len(order) == len(equal) == 0
+
+
 @pytest.mark.parametrize("hot_token", [4096, 0])
 def test_suffix_dedup_small_alphabets(spark, hot_token):
     """Periodic texts, overlaps, repeats inside a text, prefixes and suffixes of others."""
