@@ -14,6 +14,9 @@ LETTERS = dict(zip(_CYRILLIC + _GREEK, _AS_LATIN + _AS_LATIN_TOO, strict=True))
 # Soft hyphen, zero-width space, non-joiner, joiner, word joiner, byte order mark.
 INVISIBLE = "­​‌‍⁠﻿"
 
+# Ways of writing a character that Unicode maps to the plain one; full-width, mathematical, circled ...
+STYLES = frozenset("<font> <circle> <square> <wide> <small> <narrow>".split())
+
 
 @lru_cache(maxsize=4096)
 def fold_char(c: str) -> str:
@@ -24,10 +27,11 @@ def fold_char(c: str) -> str:
         return LETTERS[c]
     if c in INVISIBLE:
         return ""
-    if "！" <= c <= "～":  # full-width forms
-        return chr(ord(c) - 0xFEE0)
-    if c == "﹫":
-        return "@"
+    if "🅐" <= c <= "🅩" or "🅰" <= c <= "🆉":  # white letters on black have no decomposition
+        return chr(ord("A") + ord(c) - ord("🅐" if c <= "🅩" else "🅰"))
+    if unicodedata.decomposition(c).partition(" ")[0] in STYLES:
+        plain = unicodedata.normalize("NFKC", c)
+        return plain if len(plain) == 1 and plain.isascii() else c
     if c in "。｡․":
         return "."
     if "‐" <= c <= "–" or c == "−":

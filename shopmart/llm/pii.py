@@ -1,7 +1,7 @@
 """Personal data: base patterns, and disguised identifiers found by offset-preserving rewriting.
 
 A text with signs of disguise goes through transducers: look-alike characters
-and invisible ones, at/dot disguises, spelled digits.  Each rewrites pieces
+and invisible ones, character references, spaced letters, at/dot disguises, numbers in words.  Each rewrites pieces
 of the text and carries, for every character it puts out, the source span the character
 stands for; identifiers are detected in the result and their spans mapped back.
 A span found this way is added when it touches no base span, or holds a base span of its
@@ -22,8 +22,11 @@ from itertools import islice
 
 from pyspark.sql import Column
 
+from shopmart.llm import disguises, spoken
+from shopmart.llm.disguises import AT_WORDS, DOT_WORDS
 from shopmart.llm.lookalikes import fold_char
 from shopmart.llm.spans import Span, finder_udf, ordered
+from shopmart.llm.spoken import DIGIT_WORDS
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -76,16 +79,6 @@ def base_spans(text: str) -> list[Span]:
     return ordered(out, KINDS)
 
 
-# Digits as words in the corpus languages.
-DIGIT_WORDS = {w: str(i) for words in (
-    "zero one two three four five six seven eight nine",
-    "cero uno dos tres cuatro cinco seis siete ocho nueve",
-    "zéro un deux trois quatre cinq six sept huit neuf",
-    "null eins zwei drei vier fünf sechs sieben acht neun")
-    for i, w in enumerate(words.split())} | {"oh": "0"}
-AT_WORDS, DOT_WORDS = "at|arroba|arobase", "dot|punto|point|punkt"
-
-
 class Rewritten:
     """A text with the source span of every character."""
 
@@ -108,8 +101,6 @@ class Rewritten:
 
 
 _ODD = re.compile("[^\x00-\u00ac\u00ae-\u024f]")
-_AT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{AT_WORDS}|@)\s*[\])}}>]\s*", re.I)
-_DOT_MARK = re.compile(rf"\s*[\[({{<]\s*(?:{DOT_WORDS}|\.)\s*[\])}}>]\s*", re.I)
 # Bare words count only as a whole address: name at host dot top-level domain, of any letters.
 # The usual top-level domains that are no common words hold without other evidence.
 _TOP = frozenset("com net org edu gov mil info biz dev io ai eu uk de fr es ch nl se pl cz pt dk fi ie "
@@ -137,6 +128,7 @@ _NO_NAME = _COMMON | frozenset(
     "list live login look looked looking looks mail meet met online order orders page point pointed "
     "pointing points read register see shop shout site smile smiled stare stared stares staring start "
     "started starts stop stopped stops store visit website went work working works".split())
+_PLACES = ("bei", "chez")  # also say where somebody is: more evidence is needed
 _MARKED = re.compile(r"[A-Za-z0-9][._%+-][A-Za-z0-9]|[A-Za-z][0-9]|[0-9][A-Za-z]")
 _MARKED_HOST = re.compile(r"[A-Za-z0-9]-[A-Za-z0-9]|[A-Za-z][0-9]|[0-9][A-Za-z]")
 # A name of words and marks, but no version, file or domain.
@@ -153,37 +145,45 @@ _ARTICLE = re.compile(r"(?<![^\W_])(?:an?|the|our|my|your|his|her|their|this|tha
 _ALONE_BEFORE = re.compile(r"(?:^|[\n:;,(\[<\"'–—-])[^\S\n]*$")
 _ALONE_AFTER = re.compile(r"[^\S\n]*(?:$|[\n.,;:!?)\]>\"'])")
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])\s+(?:{DOT_WORDS})\s+(?=[0-9])", re.I)
-_WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus\s+)?(?:{_WORD})(?:[\s,-]+(?:{_WORD}|[0-9]+))"
-                      rf"{{3,}}|plus\s+[0-9]+(?:[\s,-]+(?:{_WORD}|[0-9]+)){{2,}})(?![^\W_])", re.I)
-_SPELLED_UNIT = re.compile(rf"(plus|{_WORD}|[0-9]+)([\s,-]*)", re.I)
+_WORD = spoken.WORD
+_SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus\s+)?(?:{_WORD})(?:{spoken.GAP}(?:{_WORD}|[0-9]+))"
+                      rf"{{3,}}|plus\s+[0-9]+(?:{spoken.GAP}(?:{_WORD}|[0-9]+)){{2,}})(?![^\W_])", re.I)
+_OCTET = rf"(?:{_WORD}|[0-9]+)(?:[\s-]+(?:{_WORD}|[0-9]+)){{0,4}}"
+_SPELLED_IP = re.compile(rf"(?<![^\W_]){_OCTET}(?:\s+(?:{DOT_WORDS})\s+{_OCTET}){{3}}(?![^\W_])", re.I)
+_SAID_DOT = re.compile(rf"\s+(?:{DOT_WORDS})\s+", re.I)
 # Letters that stand for digits, in numbers whose every group has a digit.
 DIGIT_LETTERS = str.maketrans("OoIlSB", "001158")
 _CONFUSED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIlSB](?:[ .()-]{0,2}[0-9OoIlSB]){6,}(?![A-Za-z0-9])")
 # What any disguise needs; texts without it are not rewritten.
-_CUE = re.compile(rf"[\[({{<]\s*(?:{AT_WORDS}|{DOT_WORDS}|[@.])\s*[\])}}>]"
-                  rf"|\s(?:{AT_WORDS})\s+[A-Za-z0-9-]++\.[A-Za-z0-9]"
-                  rf"|\s(?:{DOT_WORDS}|@)\s"
-                  rf"|(?<![^\W_])(?:plus|{_WORD})[\s,-]+(?:{_WORD}|[0-9]+)(?![^\W_])", re.I)
+_CUE = re.compile(rf"\s(?:{AT_WORDS})\s+[A-Za-z0-9-]++\.[A-Za-z0-9]|\s(?:{DOT_WORDS}|@)\s", re.I)
+_CUE_NUMBER = re.compile(rf"(?<![^\W_])(?:plus|{_WORD}){spoken.GAP}(?:{_WORD}|[0-9]+)(?![^\W_])", re.I)
 _CUE_DIGIT = re.compile("[0-9][OoIlSB]|[OoIlSB][0-9]")
 
 
-def _spelled(m: re.Match) -> list[tuple[int, int, str]]:
-    """Spelled digits as digits; what stands between them goes."""
-    out, end = [], m.end()
-    for unit in _SPELLED_UNIT.finditer(m.string, m.start(), end):
-        word = unit[1].lower()
-        new = "+" if word == "plus" else DIGIT_WORDS.get(word, word)
-        if word.isdigit():
-            if unit.end(1) < unit.end():
-                out.append((unit.end(1), unit.end(), ""))
-        else:
-            out.append((unit.start(), unit.end(1), new))
-            if unit.end(1) < unit.end():
-                out.append((unit.end(1), unit.end(), ""))
+def _spelled(text: str, start: int, stop: int) -> list[tuple[int, int, str]]:
+    """Numbers in words as digits; what stands between them goes."""
+    out, done = [], start
+    for a, b, new in spoken.numbers(text, start, stop):
+        if done > start and done < a and not text[done:a].strip(" \t\r\n\f\v,-"):
+            out.append((done, a, ""))
+        if text[a:b] != new:
+            out.append((a, b, new))
+        done = b
     return out
 
 
+def _spelled_ip(m: re.Match) -> list[tuple[int, int, str]]:
+    """Four numbers in words with dots said between them."""
+    out, at = [], m.start()
+    for dot in _SAID_DOT.finditer(m.string, *m.span()):
+        out += _spelled(m.string, at, dot.start()) + [(*dot.span(), ".")]
+        at = dot.end()
+    return out + _spelled(m.string, at, m.end())
+
+
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
 def _confused(m: re.Match) -> list[tuple[int, int, str]]:
     """Letters of a number as the digits they stand for."""
     groups = re.findall(r"[0-9A-Za-z]+", m[0])
@@ -201,7 +201,8 @@ def _is_address(text: str, m: re.Match, labels: list[re.Match], usual: bool) ->
     spaced = any(x != "." and x.strip() == "." for x in seps)
     if not (spelled or spaced) and m["at"] == "@":
         return False  # a plain address
-    if top in _TOP and (spelled or spaced):
+    sure = m["at"].strip().lower() not in _PLACES
+    if top in _TOP and (spelled or spaced) and sure:
         return True
     if len(top) < 2 or not (top.isascii() and top.isalpha()) or usual and (spaced or top in _COMMON):
         return False
@@ -211,6 +212,8 @@ def _is_address(text: str, m: re.Match, labels: list[re.Match], usual: bool) ->
     named = local.lower() not in _NO_NAME and any(c.isalpha() for c in local) and not _ARTICLE.search(before)
     cue = bool(_ADDRESS_CUE.search(before) or _ADDRESS_CUE.search(after))
     marked = any(c.isalpha() for c in local) and bool(_MARKED.search(local))
+    if not (sure or marked or cue and named and spelled):
+        return False
     if spaced:
         return at == "@" and named and (marked or cue)
     if not spelled:
@@ -218,7 +221,7 @@ def _is_address(text: str, m: re.Match, labels: list[re.Match], usual: bool) ->
             return True
         return named and local.isalpha() and (cue or at == "@" and top in _TOP
                                               or any("mail" in x[1].lower() for x in labels[:-1]))
-    if at != "at" or marked:
+    if at not in ("at", *_PLACES) or marked or not sure:
         return True
     if not named or host in _NO_HOST:
         return False
@@ -249,20 +252,29 @@ def rewrite(text: str) -> Rewritten:
     if not text.isascii():
         out.replace([(m.start(), m.end(), new) for m in _ODD.finditer(out.text)
                      if (new := fold_char(m[0])) != m[0]])
-    out.replace([(*m.span(), "@") for m in _AT_MARK.finditer(out.text)])
-    out.replace([(*m.span(), ".") for m in _DOT_MARK.finditer(out.text)])
+    for worth, pieces in disguises.TRANSDUCERS:
+        if worth(out.text, out.text.lower()):
+            out.replace(list(pieces(out.text)))
     out.replace(_bare(out.text))
-    out.replace([p for m in _SPELLED.finditer(out.text) for p in _spelled(m)])
+    out.replace([p for m in _SPELLED_IP.finditer(out.text) for p in _spelled_ip(m)])
+    out.replace([p for m in _SPELLED.finditer(out.text) for p in _spelled(out.text, *m.span())])
     out.replace([(*m.span(), ".") for m in _NUMBER_DOT.finditer(out.text)])
     out.replace([p for m in _CONFUSED.finditer(out.text) for p in _confused(m)])
     return out
 
 
+def _has_cue(text: str) -> bool:
+    low = text.lower()
+    return bool(_CUE.search(text) or _CUE_DIGIT.search(text) or disguises.signs(text, low)
+                or not spoken.NUMBER_WORDS.isdisjoint(_LETTERS.findall(low)) and _CUE_NUMBER.search(text)
+                or "plus" in low and _CUE_NUMBER.search(text))
+
+
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and base spans with those of disguised identifiers."""
     base = base_spans(text)
     odd = not text.isascii() and any(fold_char(m[0]) != m[0] for m in _ODD.finditer(text))
-    if not odd and not _CUE.search(text) and not _CUE_DIGIT.search(text):
+    if not odd and not _has_cue(text):
         return base, base
     new = rewrite(text)
     if new.text == text:
