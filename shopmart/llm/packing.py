@@ -12,8 +12,8 @@ are at most ``largest length`` distinct lengths: Spark makes the exact histogram
 the driver packs counts instead of pieces (equal lengths that fare alike are
 placed together), and the placements - intervals of ranks within a length -
 go back to the executors, where every piece looks up its bin by its rank.
-Ranks are counted in salted groups, so a length that a third of all
-documents share is no bottleneck.  The histogram and the placements are bounded by
+Ranks are counted in salted groups, as many for a length as its pieces call
+for, so a length that a third of all documents share is no bottleneck at any size.  The histogram and the placements are bounded by
 the number of distinct lengths, not by the documents.
 
 Defined results: lengths are at least 1, and UTF-8 bytes plus ``overhead`` (an end mark) unless
@@ -38,6 +38,7 @@ from shopmart.llm.common import cut
 CAPACITIES = (1024, 2048, 4096, 8192)
 SEQUENCE_COST = 64   # cost of a sequence besides its positions, in positions
 SALTS = 64
+GROUP_ROWS = 1 << 20  # pieces of one length that one task numbers, about
 
 
 def bin_cost(capacity: int) -> int:
@@ -177,20 +178,28 @@ def _lookup_udf(fit: BestFit, spark):
 
 def pack_documents(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, cost=bin_cost,
                    length: Column | None = None, overhead: int = 1, id_col: str = "doc_id",
-                   text_col: str = "text", salts: int = SALTS) -> DataFrame:
+                   text_col: str = "text", salts: int = SALTS,
+                   group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row per piece: id, piece, length, bin, start (its place in the bin), and the bin's
-    capacity and used positions."""
+    capacity and used positions.
+
+    A length's pieces are numbered in ``salts`` groups, or in more of about ``group_rows``."""
     spark = docs.sparkSession
     if length is None:
         length = F.octet_length(F.coalesce(F.col(text_col), F.lit(""))) + overhead
     pieces = pieces_of(docs, max(capacities), length, id_col)
     # Row numbers are given once, before the checkpoint, so ranks are the same in every attempt.
     pieces = cut(pieces.withColumn("row", F.monotonically_increasing_id()))
-    salt = F.pmod(F.xxhash64("row"), F.lit(salts))
-    pieces = pieces.withColumn("salt", salt)
-    counts = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in  # at most max(capacities) rows
-                 counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+                 pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    groups = [(length, -(-n // group_rows)) for length, n in histogram.items() if n > salts * group_rows]
+    parts = F.lit(salts)
+    if groups:  # at most max(capacities) rows
+        pieces = pieces.join(F.broadcast(spark.createDataFrame(groups, "length long, parts long")),
+                             "length", "left")
+        parts = F.coalesce("parts", parts)
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("row"), parts))
+    counts = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
     fit = pack_counts(histogram, capacities, cost)
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "salt",

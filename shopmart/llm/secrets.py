@@ -5,7 +5,10 @@ corpus: of strings known to be random (values that the base patterns found, and
 as a prior strings drawn uniformly from the usual alphabets) and of all ordinary
 identifiers and words.  Every occurrence counts.  A candidate token is a secret
 when its log-likelihood ratio says so both in total and per character, and it
-mixes letters and digits.
+mixes letters and digits, or is a longer string of many different letters only.  The ratio
+per character that is asked for follows from random strings that the models have not
+seen: half of what all but a fiftieth of them reach.  Digits alone are never added,
+as ordinary numbers are as likely.
 
 Base patterns are matched leftmost and non-overlapping per kind; matches that
 are too short are dropped.  Added spans touch no base span.
@@ -48,7 +51,9 @@ BLOCK_BYTES = 1 << 20     # text counted at once
 DRAWN = 5000              # drawn strings that the random side has at least ...
 DRAWN_SHARE = 0.25        # ... and their share of what the base patterns found
 MIN_TOTAL = 20.0        # nats that a secret's ratio reaches in total ...
-MIN_MEAN = 0.8          # ... and per character
+MIN_MEAN = 0.8          # ... and per character at least
+MISSED = 0.02           # share of held-back random strings below twice the ratio asked for
+MIN_LETTERS, MIN_DISTINCT = 20, 8  # length and different letters of a secret without digits
 
 
 def base_spans(text: str) -> list[Span]:
@@ -128,21 +133,46 @@ class MarkovRatio:
         return float(self.ratio[codes[:-2], codes[1:-1], codes[2:]].sum())
 
 
+def held_back(letters_only: bool, n: int = 600, seed: int = 11) -> list[str]:
+    """Random strings of either kind, as short as found ones may be."""
+    rng = random.Random(seed)
+    if letters_only:
+        alphabets = [string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase]
+        return ["".join(rng.choices(alphabets[i % 3], k=MIN_LETTERS + i % 9)) for i in range(n)]
+    strings = ("".join(rng.choices(DRAWN_ALPHABETS[i % len(DRAWN_ALPHABETS)], k=16 + i % 9)) for i in range(2 * n))
+    return [s for s in strings if s.strip(ALPHABET[-6:]) == s and mixed(s)][:n]
+
+
+def mixed(token: str) -> bool:
+    return any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
+
+
+def least_mean(model: MarkovRatio, letters_only: bool) -> float:
+    """Ratio per character that a secret needs, from strings that the models have not seen."""
+    means = [model.of(s) / len(s) for s in held_back(letters_only)]
+    return max(MIN_MEAN, float(np.quantile(means, MISSED)) / 2)
+
+
 def finder(model: MarkovRatio):
     """text → (base spans, base spans with those the model adds)."""
+    mean_mixed, mean_letters = least_mean(model, False), least_mean(model, True)
 
     def find(text: str) -> tuple[list[Span], list[Span]]:
         base = base_spans(text)
         added = []
         for m in _TOKEN.finditer(text):
             token = m[0].rstrip(".=-")
-            if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)):
+            if mixed(token):
+                mean = mean_mixed
+            elif len(token) >= MIN_LETTERS and token.isalpha() and len(set(token)) >= MIN_DISTINCT:
+                mean = mean_letters
+            else:
                 continue
             start, stop = m.start(), m.start() + len(token)
             if any(s < stop and start < e for _, s, e in base):
                 continue
             score = model.of(token)
-            if len(token) >= 16 and score >= MIN_TOTAL and score >= MIN_MEAN * len(token):
+            if len(token) >= 16 and score >= MIN_TOTAL and score >= mean * len(token):
                 added.append(("random", start, stop))
         return base, ordered(base + added, KINDS)
 

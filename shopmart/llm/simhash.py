@@ -335,11 +335,13 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
     """``docs`` with one document of each near-duplicate group, all columns.
 
     The document with the group's smallest id stays (of several texts with
-    that id the one with the smallest text hash, of repeated rows any one); a
-    document without id stays only in groups without any id.
+    that id the one with the smallest text hash, of rows equal in both the one with the
+    smallest hash of all columns but maps); a document without id stays only in groups without any id.
     """
     _, _, groups = _groups(docs, shingle, max_bits, id_col, text_col, hot_bucket)
     keys = ["no_id", "doc_id", "text_key"]
-    rows = docs.select(*_identity(id_col, text_col), F.struct(*docs.columns).alias("row"))
+    hashable = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = docs.select(*_identity(id_col, text_col), F.struct(*docs.columns).alias("row"),
+                       F.xxhash64(*hashable).alias("row_key"))
     kept = rows.join(groups.select("first.*"), keys, "left_semi")
-    return kept.groupBy(*keys).agg(F.first("row").alias("row")).select("row.*")
+    return kept.groupBy(*keys).agg(F.min_by("row", "row_key").alias("row")).select("row.*")

@@ -331,3 +331,14 @@ def test_op1_hot_probes_are_dropped_or_split(spark):
     root = lambda f: roots.get(f, f)  # noqa: E731  (a root has no row of its own)
     assert want and all(root(f) == root(g) for f, others in want.items() for g in others)
     assert set(roots) | set(roots.values()) == set(want) | {g for others in want.values() for g in others}
+
+
+def test_one_row_of_equal_ids_and_texts_is_kept_by_its_other_columns(spark):
+    """Whatever the order and partitions of the rows, the same one stays."""
+    rows = [(1, "the same words again here", f"source {i}", {"k": i}) for i in range(40)]
+    kept = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,int>")
+        kept.add(tuple(r.source for r in simhash.keep_one_per_group(df.repartition(seed + 1)).collect()))
+    assert len(kept) == 1 and len(next(iter(kept))) == 1

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -314,6 +315,25 @@ def test_secret_model_tells_random_strings(spark, docs):
     assert secrets.masked_udf and find(text)[0] == brute_spans(SECRETS, text)
 
 
+def test_recall_of_planted_secrets_by_alphabet(spark, docs):
+    """Random strings of every alphabet and length are found, words joined to as long ones are not."""
+    find = secrets.finder(secrets.train(docs))
+    rng = random.Random(31)
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    for letters, sizes in ((upper + lower + digits, (16, 20, 40)), (lower + digits, (16, 24)), (upper + digits, (16, 24)),
+                           (upper + lower, (20, 32)), (lower, (20, 32)), (upper, (24, 32))):
+        for size in sizes:
+            planted = ["".join(rng.choices(letters, k=size)) for _ in range(200)]
+            hit = sum(bool(find(f"see {s} there")[1]) for s in planted)
+            assert hit >= 0.95 * len(planted), (letters, size, hit)
+    words = [w for t in docs.toPandas()["text"].dropna() for w in re.findall("[a-z]{3,}", t.lower())]
+    joined = ["".join(rng.choices(words, k=5)) for _ in range(500)]
+    joined += ["".join(w.title() for w in rng.choices(words, k=5)) for _ in range(500)]
+    assert sum(bool(find(f"see {s} there")[1]) for s in joined) <= 0.01 * len(joined)
+    for ordinary in ("ACGT" * 12, "x" * 60, "1234567890123456", "4" * 30, "xyzxyzxyz" * 5):
+        assert find(f"see {ordinary} there")[1] == []
+
+
 def test_secret_models_count_every_document(spark):
     """A kind of identifier that only documents late in the order of id hashes hold is ordinary."""
     ids = [r.id for r in spark.range(3000).orderBy(F.xxhash64("id"), "id").collect()]
@@ -557,6 +577,38 @@ def test_packing_odd_rows(odd, empty):
     assert len(rows) == 3000 and len(check_bins(rows, (16, 64))) == 250
 
 
+def test_packing_equals_best_fit_piece_by_piece():
+    """The bins opened for counts are those of placing one piece after the other."""
+    for seed in range(20):
+        rng = random.Random(seed)
+        largest = rng.choice([8, 16, 25])
+        histogram = Counter(rng.randint(1, largest) for _ in range(rng.randint(1, 400)))
+        room = []
+        for length in sorted(histogram.elements(), reverse=True):
+            fits = [i for i, r in enumerate(room) if r >= length]
+            if fits:
+                room[min(fits, key=lambda i: room[i])] -= length
+            else:
+                room.append(largest - length)
+        fit = packing.pack_counts(dict(histogram), (largest,))
+        got = Counter()
+        for _, n, used, _ in fit.downsized():
+            got[largest - used] += n
+        assert got == Counter(room), seed
+
+
+def test_packing_groups_follow_the_size(spark):
+    """A length that most pieces have is numbered in as many groups as it calls for."""
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, F.repeat(
+        F.lit("x"), (F.col("id") % 50).cast("int"))).otherwise("hot").alias("text"))
+    few = packing.pack_documents(rows, (16, 64), salts=2, group_rows=100).collect()
+    assert {(r.doc_id, r.piece) for r in few} == {(i, 0) for i in range(4000)} and len(few) == 4000
+    check_bins(few, (16, 64))
+    plain = packing.pack_documents(rows, (16, 64)).collect()
+    assert Counter((r.length, r.capacity, r.used) for r in few) == Counter(
+        (r.length, r.capacity, r.used) for r in plain)
+
+
 def test_op10_equals_brute_force(spark, texts):
     encoder = token_counts.encoding(token_counts.VOCABULARY)
     lengths = sorted(len(encoder.encode_ordinary(t)) for t in texts.values())
