@@ -188,12 +188,14 @@ def _ranks_by_cell(df: DataFrame, iso_year: bool) -> DataFrame:
 def _ranks_by_size(df: DataFrame, iso_year: bool, window_rows: int | None = None) -> DataFrame:
     """Plain windows for store-years that a task can hold, cells for the others.
 
-    The large store-years are counted first (one per ``window_rows`` rows at most); when there are none, AQE
-    drops the second branch.
+    One small job counts the large store-years first; when there are none, as usual, the windows alone are
+    planned, and the mart below once.  The count picks the plan only: either gives the same ranks.
     """
     limit = WINDOW_ROWS if window_rows is None else window_rows
     large = (df.groupBy(*RANK_GROUP).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
              .select(*(F.col(c).alias(f"_large_{c}") for c in RANK_GROUP)))
+    if large.isEmpty():
+        return _ranks_by_window(df, iso_year)
     same = F.lit(True)
     for c in RANK_GROUP:
         same = same & F.col(c).eqNullSafe(F.col(f"_large_{c}"))

@@ -105,3 +105,5 @@ def test_store_years_are_ranked_by_their_size(spark, hashed_items, monkeypatch):
         monkeypatch.setattr(items_mart, "WINDOW_ROWS", limit)
         got = items_mart.with_ranks(hashed_items)
         assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Union" in plan) == (limit < 1 << 20)     # without large ones the windows alone are planned
