@@ -64,7 +64,7 @@ class Lineage:
                                          self.core("items"), self.core("stores"))
 
     def mart(self, name: str) -> DataFrame:
-        return {"dm_orders": self.dm_orders, "dm_items": self.dm_items}[name]
+        return {"dm_orders": lambda: self.dm_orders, "dm_items": lambda: self.dm_items}[name]()
 
 
 def _core_query(name):

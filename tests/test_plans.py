@@ -7,7 +7,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from shopmart.contracts import CORE
-from shopmart.plans import pipeline
+from shopmart.plans import catalog, pipeline
 from shopmart.sources.fixture import raw_order_lines
 from shopmart.sources.io import Target, read_table
 from tests.conftest import SF_SMALL
@@ -164,3 +164,10 @@ def test_ranks_of_one_big_store_are_spread(spark, monkeypatch):
     top = ranked.filter("store_id = 1 and monthly_popularity_rank <= 2").orderBy("monthly_popularity_rank")
     assert [r.item_id for r in top.collect()] == [3, 7]
     assert ranked.filter("store_id = 1").select("daily_reverse_popularity_rank").distinct().count() == 54000
+
+
+def test_a_report_builds_its_own_mart_only(monkeypatch):
+    lineage = catalog.Lineage(None, "")
+    monkeypatch.setattr(catalog.Lineage, "dm_orders", "orders")
+    monkeypatch.setattr(catalog.Lineage, "dm_items", property(lambda self: pytest.fail("dm_items built")))
+    assert lineage.mart("dm_orders") == "orders"
