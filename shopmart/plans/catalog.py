@@ -18,7 +18,8 @@ from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, FOREIGN_KEYS, present
 from shopmart.operators import items_mart, normalize, orders_mart, quality, reports
 from shopmart.operators.cleaning import fill_defaults
 from shopmart.plans.pipeline import SEQUENCE_KEYS, core_table
-from shopmart.sources.fixture import raw_order_lines
+from shopmart.session import sized_session
+from shopmart.sources.fixture import raw_order_lines, source_table
 
 
 class Lineage:
@@ -187,8 +188,12 @@ REGISTRY = _build_registry()
 
 
 def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build query ``name`` over the tables in ``sf_dir``, in presentation types."""
-    return present(REGISTRY[name](Lineage(spark, sf_dir)))
+    """Build query ``name`` over the tables in ``sf_dir``, in presentation types.
+
+    The number of raw lines (from the files' footers) decides how many partitions its exchanges have.
+    """
+    sized = sized_session(spark, source_table(spark, sf_dir, "lineitem").count())
+    return present(REGISTRY[name](Lineage(sized, sf_dir)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

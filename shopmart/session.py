@@ -44,6 +44,31 @@ def local_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+TASK_ROWS = 1 << 17     # raw rows that a task of a join, an aggregate or a window is given
+MOST_PARTITIONS = 1 << 13
+
+
+def sized_session(spark: SparkSession, rows: int) -> SparkSession:
+    """A session whose exchanges are cut as finely as ``rows`` raw rows call for.
+
+    A task sorts and hashes one partition of every step it holds, so with a fixed number of partitions
+    its memory grows with the input.  When the caller's number gives a task more than ``TASK_ROWS`` rows, a
+    new session of the same context takes over the caller's settings with more partitions, not merged
+    again by their compressed size (which says little: a MB may be 60 in a sort).  Otherwise, and over
+    Spark Connect, the session stays as it is.  The caller's settings are not touched.
+    """
+    parts = min(MOST_PARTITIONS, -(-rows // TASK_ROWS))
+    if parts <= int(spark.conf.get("spark.sql.shuffle.partitions", "200")) or not hasattr(spark, "_jsparkSession"):
+        return spark
+    sized = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sized.conf.set(key, value)
+    sized.conf.set("spark.sql.shuffle.partitions", str(parts))
+    sized.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return sized
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 

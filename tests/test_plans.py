@@ -7,6 +7,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from shopmart.contracts import CORE
+from shopmart import session
 from shopmart.plans import catalog, pipeline
 from shopmart.sources.fixture import raw_order_lines
 from shopmart.sources.io import Target, read_table
@@ -171,3 +172,30 @@ def test_a_report_builds_its_own_mart_only(monkeypatch):
     monkeypatch.setattr(catalog.Lineage, "dm_orders", "orders")
     monkeypatch.setattr(catalog.Lineage, "dm_items", property(lambda self: pytest.fail("dm_items built")))
     assert lineage.mart("dm_orders") == "orders"
+
+
+def exchanges(df) -> list[int]:
+    return [int(n) for n in re.findall(r"hashpartitioning\([^\n]*, (\d+)\)", plan(df))]
+
+
+@pytest.mark.parametrize("name", ["q5_category_turnover", "q1_weekday_totals", "order_drivers_sk", "active_drivers",
+                                  "check_unique_order_items_sk", "check_not_null_core"])
+def test_partitions_follow_the_rows(spark, monkeypatch, name):
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = catalog.run(spark, SF_SMALL, name)
+    assert max(exchanges(small)) == usual
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(session, "TASK_ROWS", -(-lines // 31))
+    fine = catalog.run(spark, SF_SMALL, name)
+    assert min(exchanges(fine)) == max(exchanges(fine)) == 31
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == usual  # the caller's stays
+    assert sorted(map(str, fine.collect())) == sorted(map(str, small.collect()))
+
+
+def test_a_sized_session_keeps_the_settings(spark):
+    sized = session.sized_session(spark, 10 ** 7)
+    assert sized.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert int(sized.conf.get("spark.sql.shuffle.partitions")) == -(-10 ** 7 // session.TASK_ROWS)
+    assert sized.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "false"
+    assert session.sized_session(spark, 1000) is spark
+    assert int(session.sized_session(spark, 10 ** 12).conf.get("spark.sql.shuffle.partitions")) == 1 << 13
