@@ -146,6 +146,31 @@ def test_op11_odd_rows(spark, odd, empty):
     assert perplexity.judge(empty.withColumn("lang", F.lit("en"))).count() == 0
 
 
+def test_each_byte_is_a_symbol(spark):
+    """Digits, capitals and marks are told apart, as are the bytes of other scripts."""
+    texts = ["1234", "4321", "ABCD", "DCBA", "()[]", "{}()", "中文", "文中", "\x01\x02\x03\x04", "\x05\x06\x07\x08"]
+    found = perplexity.count_ngrams(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert {r.code for r in found} == {int.from_bytes(t.encode()[i:i + 4]) for t in texts
+                                       for i in range(len(t.encode()) - 3)}
+    usual = "the price is 1000 and no more " * 20
+    docs = spark.createDataFrame([(i, "en", usual) for i in range(9)] + [(9, "en", usual.replace("1000", "7394"))],
+                                 "doc_id long, lang string, text string")
+    got = perplexity.measure_documents(docs, perplexity.train(docs)).collect()
+    other = {r.doc_id: r.measures.log_prob for r in got}
+    assert other[9] < other[0] - 1
+
+
+def test_rare_ngrams_are_joined_as_rows(spark, odd, monkeypatch):
+    rows = odd.select("doc_id", "text")
+    model = perplexity.train(rows)
+    whole = perplexity.measure_documents(rows, model).collect()
+    monkeypatch.setattr(perplexity, "HELD", 20)
+    monkeypatch.setattr(perplexity, "COUNTED", 16)
+    split = perplexity.measure_documents(rows, perplexity.train(rows)).collect()
+    show = lambda found: sorted((str(r.doc_id), str(r.text), r.measures[:6], round(r.measures.log_prob, 2)) for r in found)
+    assert show(split) == show(whole) and len(split) == len(ODD_ROWS)
+
+
 def test_double_array_finds_all_rows_and_no_others():
     rng = np.random.default_rng(7)
     rows = np.unique(rng.integers(0, 40, (3000, 4)), axis=0)
