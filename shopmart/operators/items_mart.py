@@ -117,7 +117,7 @@ RANK_PERIODS = {"daily": ("report_date",), "weekly": ("report_week",),
                 "monthly": ("report_month",)}
 RANK_GROUP = ("report_year", "city", "store_id")
 RANK_CELL_ROWS = 4096     # rows of a store-year that a range of items aims at
-WINDOW_ROWS = 1 << 20     # a store-year of more rows is ranked by cells
+WINDOW_ROWS = 1 << 18     # a store-year of more rows is ranked by cells; a task may get several smaller ones
 RANK_SALTS = 64     # parts that rows are spread over while only one row per cell counts
 
 

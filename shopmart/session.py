@@ -54,7 +54,8 @@ def sized_session(spark: SparkSession, rows: int) -> SparkSession:
     A task sorts and hashes one partition of every step it holds, so with a fixed number of partitions
     its memory grows with the input.  When the caller's number gives a task more than ``TASK_ROWS`` rows, a
     new session of the same context takes over the caller's settings with more partitions, not merged
-    again by their compressed size (which says little: a MB may be 60 in a sort).  Otherwise, and over
+    again by their compressed size (which says little: a MB may be 60 in a sort).  Files are read in as many
+    pieces, as a task that writes to an exchange holds its piece.  Otherwise, and over
     Spark Connect, the session stays as it is.  The caller's settings are not touched.
     """
     parts = min(MOST_PARTITIONS, -(-rows // TASK_ROWS))
@@ -66,6 +67,7 @@ def sized_session(spark: SparkSession, rows: int) -> SparkSession:
             sized.conf.set(key, value)
     sized.conf.set("spark.sql.shuffle.partitions", str(parts))
     sized.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sized.conf.set("spark.sql.files.minPartitionNum", str(parts))
     return sized
 
 

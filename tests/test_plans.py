@@ -199,3 +199,31 @@ def test_a_sized_session_keeps_the_settings(spark):
     assert sized.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "false"
     assert session.sized_session(spark, 1000) is spark
     assert int(session.sized_session(spark, 10 ** 12).conf.get("spark.sql.shuffle.partitions")) == 1 << 13
+
+
+def test_scans_of_a_sized_session_follow_the_rows(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 400_000, 1, 1).write.option("parquet.block.size", 1 << 17).parquet(path)
+    spark.conf.set("spark.sql.files.openCostInBytes", "65536")
+    try:
+        pieces = [s.read.parquet(path).rdd.getNumPartitions()
+                  for s in (spark, session.sized_session(spark, 16 * session.TASK_ROWS))]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert pieces[1] >= 12 > pieces[0]
+
+
+def test_a_store_year_of_300_000_rows_is_no_single_task(spark):
+    from pyspark.sql import functions as F
+
+    from shopmart.operators.items_mart import with_ranks
+    rows = spark.range(0, 300_000).select(
+        F.lit("2024-03-05").cast("date").alias("report_date"), F.lit(2024).alias("report_year"),
+        F.lit(3).alias("report_month"), F.lit(10).alias("report_week"), F.lit("c").alias("city"),
+        F.lit(1).alias("store_id"), F.col("id").alias("item_id"), (F.col("id") % 40 + 1).alias("ordered_quantity"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as a sized session has it
+    try:
+        tasks = with_ranks(rows).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(t["count"] for t in tasks) == 300_000 and max(t["count"] for t in tasks) < 150_000
