@@ -46,20 +46,25 @@ def local_session(master: str | None = None, shuffle_partitions: int = 8,
 
 TASK_ROWS = 1 << 17     # raw rows that a task of a join, an aggregate or a window is given
 MOST_PARTITIONS = 1 << 13
+MERGED_TASKS = 8        # tasks' rows that may still be merged into one
 
 
 def sized_session(spark: SparkSession, rows: int) -> SparkSession:
     """A session whose exchanges are cut as finely as ``rows`` raw rows call for.
 
     A task sorts and hashes one partition of every step it holds, so with a fixed number of partitions
-    its memory grows with the input.  When the caller's number gives a task more than ``TASK_ROWS`` rows, a
-    new session of the same context takes over the caller's settings with more partitions, not merged
-    again by their compressed size (which says little: a MB may be 60 in a sort).  Files are read in as many
-    pieces, as a task that writes to an exchange holds its piece.  Otherwise, and over
-    Spark Connect, the session stays as it is.  The caller's settings are not touched.
+    its memory grows with the input.  So it does with a large number, when AQE merges the partitions down to
+    the cores or by their compressed size (which says little: a MB may be 60 in a sort).  When the caller's number
+    gives a task more than ``TASK_ROWS`` rows, or merging might give it more than ``MERGED_TASKS`` times as many, a
+    new session of the same context takes over the caller's settings with as many partitions as the rows call for,
+    not merged.  Files are read in as many pieces, as a task that writes to an exchange holds its piece.  Otherwise,
+    and over Spark Connect, the session stays as it is.  The caller's settings are not touched.
     """
     parts = min(MOST_PARTITIONS, -(-rows // TASK_ROWS))
-    if parts <= int(spark.conf.get("spark.sql.shuffle.partitions", "200")) or not hasattr(spark, "_jsparkSession"):
+    merged = all(spark.conf.get(key, "true").lower() == "true" for key in (
+        "spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled"))
+    enough = parts <= int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if enough and (parts <= MERGED_TASKS or not merged) or not hasattr(spark, "_jsparkSession"):
         return spark
     sized = spark.newSession()
     for key, value in spark.conf.getAll.items():

@@ -201,6 +201,25 @@ def test_a_sized_session_keeps_the_settings(spark):
     assert int(session.sized_session(spark, 10 ** 12).conf.get("spark.sql.shuffle.partitions")) == 1 << 13
 
 
+def test_many_partitions_of_the_caller_are_not_merged_into_large_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows, caller = 16 * session.TASK_ROWS, spark.newSession()
+    caller.conf.set("spark.sql.shuffle.partitions", "400")
+    caller.conf.set("spark.sql.adaptive.enabled", "true")
+    caller.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sized = session.sized_session(caller, rows)
+    tasks = (sized.range(0, rows, 1, 8).groupBy(F.xxhash64("id").alias("key")).count()
+             .groupBy(F.spark_partition_id().alias("p")).agg(F.sum("count").alias("n")).collect())
+    assert sum(t.n for t in tasks) == rows and max(t.n for t in tasks) < 1.1 * session.TASK_ROWS
+    assert caller.conf.get("spark.sql.shuffle.partitions") == "400"
+    assert session.sized_session(caller, session.MERGED_TASKS * session.TASK_ROWS) is caller
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled"):
+        caller.conf.set(key, "false")       # nothing merges: the caller's number stands
+        assert session.sized_session(caller, rows) is caller
+        caller.conf.set(key, "true")
+
+
 def test_scans_of_a_sized_session_follow_the_rows(spark, tmp_path):
     path = str(tmp_path / "rows")
     spark.range(0, 400_000, 1, 1).write.option("parquet.block.size", 1 << 17).parquet(path)
