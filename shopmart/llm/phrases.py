@@ -31,6 +31,8 @@ from shopmart.llm.common import cut
 from shopmart.llm.double_array import DoubleArray, build
 
 TRIE_PHRASES = 1 << 19
+BLOCK = 1 << 21  # bytes of text worked on at a time; the arrays of a block take tens of times as many
+BATCH_ROWS = 1 << 16  # rows that leave a task at once: the JVM holds a batch outside its heap
 WIDE = 64  # counts in a row of partial sums
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = runs.byte_class(BREAKS)
@@ -48,8 +50,8 @@ class _Words:
         starts, ends = runs.runs(mask, offsets)
         self.text = np.searchsorted(offsets, starts, "right") - 1
         self.ids, self.distinct = runs.numbered(buf, mask, ends - starts)
-        breaks = np.cumsum(_BREAK[buf])
-        self.piece = breaks[starts] + self.text  # both only grow, so equal sums are one piece
+        breaks = np.searchsorted(np.flatnonzero(_BREAK[buf]), starts)  # before each word
+        self.piece = breaks + self.text  # both only grow, so equal sums are one piece
         spelled, cuts = text_bytes(self.distinct)
         self.hashes = span_hash(prefix(spelled), cuts[:-1], cuts[1:]).view(np.int64)
 
@@ -59,11 +61,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Words, list]]:
     for batch in batches:
         langs = batch.column(0).to_pylist()
         buf, offsets = text_bytes(batch.column(1))
-        for lo, hi in blocks(np.diff(offsets), 2 * runs.BLOCK):
+        for lo, hi in blocks(np.diff(offsets), BLOCK):
             if offsets[hi] > offsets[lo]:
                 yield _Words(buf[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo]), langs[lo:hi]
 
 
+def _batches(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    """Rows of the columns, ``BATCH_ROWS`` at a time."""
+    rows = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    for lo in range(0, rows.num_rows, BATCH_ROWS):
+        yield rows.slice(lo, BATCH_ROWS)
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
 
@@ -77,9 +86,10 @@ def count_words(docs: DataFrame) -> DataFrame:
             keys, n = np.unique(number[words.text] * np.int64(len(words.distinct)) + words.ids,
                                 return_counts=True)
             lang, word = np.divmod(keys, len(words.distinct))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[lang], pa.string()), words.distinct.take(pa.array(word)).cast(pa.string()),
-                 pa.array(words.hashes[word]), pa.array(n)], ["lang", "word", "word_hash", "n"])
+            yield from _batches({
+                "lang": pa.array(names[lang], pa.string()),
+                "word": words.distinct.take(pa.array(word)).cast(pa.string()),
+                "word_hash": pa.array(words.hashes[word]), "n": pa.array(n)})
 
     return (_texts(docs).mapInArrow(counted, "lang string, word string, word_hash bigint, n bigint")
             .groupBy("lang", "word", "word_hash").agg(F.sum("n").alias("n")))
@@ -153,8 +163,8 @@ def _extend(docs: DataFrame, phrases: DataFrame, words: DataFrame, least: int) -
                 spelled = np.int64(len(block.distinct))
                 keys, n = np.unique(state[at] * spelled + block.ids[at + size], return_counts=True)
                 node, word = np.divmod(keys, spelled)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node), pa.array(block.hashes[word]), pa.array(n)], ["node", "word_hash", "n"])
+                yield from _batches({
+                    "node": pa.array(node), "word_hash": pa.array(block.hashes[word]), "n": pa.array(n)})
 
         often = (_texts(docs).mapInArrow(pairs, "node bigint, word_hash bigint, n bigint")
                  .groupBy("node", "word_hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
@@ -181,8 +191,8 @@ def _counted(docs: DataFrame, phrases: DataFrame) -> DataFrame | None:
         def states(batches, trie=trie):
             total = np.zeros(len(trie.array.check), np.int64)
             for block, langs in _blocks(batches):
-                for state in trie.walk(block, langs):
-                    total += np.bincount(state[state >= 0], minlength=len(total))
+                reached = [state[state >= 0] for state in trie.walk(block, langs)]
+                total += np.bincount(np.concatenate(reached), minlength=len(total))
             sums = total[np.sort(trie.nodes)]  # of accepting states, not of mere beginnings
             sums = np.append(sums, np.zeros(-len(sums) % WIDE, np.int64)).reshape(-1, WIDE)
             chunks = np.flatnonzero(sums.any(axis=1))

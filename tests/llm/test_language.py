@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -241,6 +242,23 @@ def test_phrases_of_documents_and_of_nothing(spark, docs, empty):
     assert phrases.mine_phrases(empty.withColumn("lang", F.lit("en"))).count() == 0
 
 
+def test_phrase_blocks_bound_a_task():
+    """The arrays of a task follow the block of text and leave it in small batches."""
+    texts = [" ".join(f"w{i % 4999}, x" for i in range(j, j + 100_000)) for j in range(12)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 12), pa.array(texts)], ["lang", "text"])
+    del texts
+    tracemalloc.start()
+    n = sum(len(words.ids) for words, _ in phrases._blocks(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 12 * 200_000
+    assert peak < 80 << 20
+    numbers = pa.array(np.arange(200_001))
+    parts = list(phrases._batches({"n": numbers}))
+    assert max(part.num_rows for part in parts) <= 1 << 16
+    assert pa.concat_arrays([part.column(0) for part in parts]).equals(numbers)
+
+
 def test_phrase_scores_pass_64_bits(spark, monkeypatch):
     big = 4 * 10 ** 12
     words = spark.createDataFrame([("en", w, 0, big) for w in "ab"], "lang string, word string, word_hash long, n long")
