@@ -20,6 +20,7 @@ from shopmart.functions.dates import iso_week
 from shopmart.functions.dates import iso_year as iso_year_of
 from shopmart.operators.orders_mart import fill_line_defaults
 from shopmart.operators.ranges import MOST_CELLS, with_cell
+from shopmart.session import shuffles_removed
 
 ORDER_ATTRS = ("order_id", "store_id", "store_address", "city", "report_date", "report_year",
                "report_month", "report_day", "order_discount")
@@ -56,6 +57,11 @@ def order_item_pairs(order_items: DataFrame) -> DataFrame:
     )
 
 
+def order_rows(order_items: DataFrame, orders_enriched: DataFrame) -> DataFrame:
+    """The per-(order, item) sums with the attributes of their order."""
+    return order_item_pairs(order_items).join(orders_enriched.select(*ORDER_ATTRS), "order_id")
+
+
 def item_totals(order_items: DataFrame, orders_enriched: DataFrame,
                 with_address: bool = False) -> DataFrame:
     """Measures per (report_date, city, store_id, item_id), no item or store labels.
@@ -66,13 +72,17 @@ def item_totals(order_items: DataFrame, orders_enriched: DataFrame,
     aggregate hashes; ``with_address`` adds ``store_address`` as a group key
     (it follows from ``store_id``) for callers without a stores table.
     """
-    pairs = order_item_pairs(order_items)
+    return _sum_rows(order_rows(order_items, orders_enriched), with_address)
+
+
+def _sum_rows(rows: DataFrame, with_address: bool, dealt: bool = False) -> DataFrame:
+    """``item_totals`` of ``order_rows``; of ``dealt`` ones the year is a group column too, as they are dealt by it."""
     key = list(BASE_KEY)
     if with_address:
         key.insert(3, "store_address")
-    o = orders_enriched.select(*ORDER_ATTRS)
-    agg = (pairs.join(o, "order_id")
-           .groupBy(*key)
+    if dealt:
+        key.insert(1, "report_year")
+    agg = (rows.groupBy(*key)
            .agg(F.sum(F.col("_gross_x100") * money.pct_factor("order_discount"))
                 .alias("_gross_x10000"),
                 F.sum("ordered_quantity").alias("ordered_quantity"),
@@ -81,9 +91,9 @@ def item_totals(order_items: DataFrame, orders_enriched: DataFrame,
                 F.sum("cancel_lines").alias("orders_with_item_cancellation_cnt")))
     d = F.col("report_date")
     return agg.select(
-        "report_date", F.year(d).alias("report_year"), F.month(d).alias("report_month"),
+        "report_date", "report_year" if dealt else F.year(d).alias("report_year"), F.month(d).alias("report_month"),
         F.dayofmonth(d).alias("report_day"), iso_week(d).alias("report_week"),
-        *key[1:],
+        *[c for c in key if not c.startswith("report_")],
         money.to_money(money.numerator_to_amount("_gross_x10000")).alias("item_gross_amount"),
         "ordered_quantity", "canceled_quantity", "orders_with_item_cnt",
         "orders_with_item_cancellation_cnt")
@@ -131,7 +141,14 @@ def _period_group(period: str, iso_year: bool) -> list[str]:
 
 def _ranks_by_window(df: DataFrame, iso_year: bool) -> DataFrame:
     """Six windows over one exchange on the store-year: simple, one task per store-year."""
-    df = df.repartition(*RANK_GROUP)
+    return _windows(df.repartition(*RANK_GROUP), iso_year)
+
+
+def _windows(df: DataFrame, iso_year: bool) -> DataFrame:
+    """The six windows, over rows that are dealt by store-year; if not, with exchanges of their own.
+
+    Nothing of them, exchanges included, is left in the plan of a reader that takes no rank.
+    """
     q, ties = F.col("ordered_quantity"), [F.col("item_id").asc(), F.col("report_date").asc()]
     return df.withColumns({
         f"{period}_{name}": F.row_number().over(
@@ -185,25 +202,39 @@ def _ranks_by_cell(df: DataFrame, iso_year: bool) -> DataFrame:
     return rows.select(*df.columns, *ranks)
 
 
+def _large_store_years(rows: DataFrame, limit: int) -> DataFrame | None:
+    """The store-years of more than ``limit`` rows, found by a small job; None when there are none.
+
+    The job's shuffle files go when it ends, so they do not add up with those of the query.
+    """
+    large = (rows.groupBy(*RANK_GROUP).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
+             .select(*(F.col(c).alias(f"_large_{c}") for c in RANK_GROUP)))
+    with shuffles_removed(rows.sparkSession):
+        return None if large.isEmpty() else large
+
+
+def _of_large(rows: DataFrame, large: DataFrame, how: str) -> DataFrame:
+    same = F.lit(True)
+    for c in RANK_GROUP:
+        same = same & F.col(c).eqNullSafe(F.col(f"_large_{c}"))
+    return rows.join(large, same, how)
+
+
 def _ranks_by_size(df: DataFrame, iso_year: bool, window_rows: int | None = None) -> DataFrame:
     """Plain windows for store-years that a task can hold, cells for the others.
 
     One small job counts the large store-years first; when there are none, as usual, the windows alone are
     planned, and the mart below once.  The count picks the plan only: either gives the same ranks.
     """
-    limit = WINDOW_ROWS if window_rows is None else window_rows
-    large = (df.groupBy(*RANK_GROUP).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-             .select(*(F.col(c).alias(f"_large_{c}") for c in RANK_GROUP)))
-    if large.isEmpty():
+    large = _large_store_years(df, WINDOW_ROWS if window_rows is None else window_rows)
+    if large is None:
         return _ranks_by_window(df, iso_year)
-    same = F.lit(True)
-    for c in RANK_GROUP:
-        same = same & F.col(c).eqNullSafe(F.col(f"_large_{c}"))
-    return _ranks_by_window(df.join(large, same, "left_anti"), iso_year).unionByName(
-        _ranks_by_cell(df.join(large, same, "left_semi"), iso_year))
+    return _ranks_by_window(_of_large(df, large, "left_anti"), iso_year).unionByName(
+        _ranks_by_cell(_of_large(df, large, "left_semi"), iso_year))
 
 
-RANK_METHODS = {"sized": _ranks_by_size, "cells": _ranks_by_cell, "windows": _ranks_by_window}
+RANK_METHODS = {"sized": _ranks_by_size, "cells": _ranks_by_cell, "windows": _ranks_by_window,
+                "dealt": _windows}
 
 
 def with_ranks(df: DataFrame, iso_year: bool = False, method: str = "sized") -> DataFrame:
@@ -216,7 +247,8 @@ def with_ranks(df: DataFrame, iso_year: bool = False, method: str = "sized") ->
 
     All methods give the same ranks: ``"windows"`` from six plain windows, with all rows of a
     store-year in one task; ``"cells"`` holds no rank group in one task, whatever the spread of the item
-    ids; ``"sized"`` takes windows for store-years of up to ``WINDOW_ROWS`` rows, cells for larger ones.
+    ids; ``"sized"`` takes windows for store-years of up to ``WINDOW_ROWS`` rows, cells for larger ones;
+    ``"dealt"`` takes windows without an exchange, for rows that are dealt by store-year or ranks that nobody reads.
     """
     ranked = df.filter(F.col("store_id").isNotNull())
     if iso_year:
@@ -238,5 +270,31 @@ def build_dm_items(orders_enriched: DataFrame, order_items: DataFrame, items: Da
     not carry the long strings.
     """
     oe = orders_enriched.filter(F.col("store_id").isNotNull())
-    totals = item_totals(order_items, oe, with_address=stores is None)
-    return conform(attach_labels(with_ranks(totals, **options), items, stores), DM_ITEMS)
+    ranked = _ranked_totals(order_rows(order_items, oe), stores is None, **options)
+    d = F.col("report_date")  # what follows from the date is not exchanged with it
+    parts = {"report_year": F.year(d), "report_month": F.month(d), "report_day": F.dayofmonth(d),
+             "report_week": iso_week(d)}
+    return conform(attach_labels(ranked.drop(*parts), items, stores).withColumns(parts), DM_ITEMS)
+
+
+def _ranked_totals(rows: DataFrame, with_address: bool, iso_year: bool = False,
+                   method: str = "sized") -> DataFrame:
+    """Totals and ranks of ``order_rows``.
+
+    Where windows rank, the rows are dealt by store-year before they are summed: sums and ranks then share one
+    exchange, and the lines of an order stay together in it, which a hash of the item would scatter.
+    The rows of a store-year are counted before the sum, so a count may only be too large.
+    """
+    if method not in ("sized", "windows"):
+        if method == "dealt":
+            rows = rows.repartition("report_date", "city", "store_id")
+        return with_ranks(_sum_rows(rows, with_address), iso_year, method)
+
+    def windows(part: DataFrame) -> DataFrame:
+        return with_ranks(_sum_rows(part.repartition(*RANK_GROUP), with_address, dealt=True), iso_year, "dealt")
+
+    large = _large_store_years(rows, WINDOW_ROWS) if method == "sized" else None
+    if large is None:
+        return windows(rows)
+    cells = with_ranks(_sum_rows(_of_large(rows, large, "left_semi"), with_address), iso_year, "cells")
+    return windows(_of_large(rows, large, "left_anti")).unionByName(cells)

@@ -65,6 +65,14 @@ def order_drivers(raw: DataFrame) -> DataFrame:
     return require(raw.select("order_id", "driver_id"), ["order_id", "driver_id"]).distinct()
 
 
+# What each table reads of the raw frame, and those that keep a raw row's copies.
+RAW_COLUMNS = {
+    "users": ("user_id", "user_phone"), "stores": ("store_id", "store_address"),
+    "drivers": ("driver_id", "driver_phone"), "items": ("item_id", "item_title", "item_category"),
+    "orders": ORDER_COLUMNS, "order_items": ORDER_ITEM_COLUMNS, "order_drivers": ("order_id", "driver_id"),
+}
+KEEPS_COPIES = frozenset({"order_items"})
+
 CORE_BUILDERS = {
     "users": users, "stores": stores, "drivers": drivers, "items": items,
     "orders": orders, "order_items": order_items, "order_drivers": order_drivers,

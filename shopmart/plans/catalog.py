@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from shopmart.contracts import CORE, DM_ITEMS, DM_ORDERS, FOREIGN_KEYS, present
 from shopmart.operators import items_mart, normalize, orders_mart, quality, reports
-from shopmart.operators.cleaning import fill_defaults
+from shopmart.operators.cleaning import RAW_ZERO_DEFAULTS, fill_defaults
 from shopmart.plans.pipeline import SEQUENCE_KEYS, core_table
 from shopmart.session import sized_session
 from shopmart.sources.fixture import raw_order_lines, source_table
 
 
+FEW_STORES = 1000  # that look-ups broadcast; of more, Spark broadcasts what it measures small
+
+
 class Lineage:
     """Lazily built frames of the whole pipeline for one source folder."""
 
@@ -29,6 +32,7 @@ class Lineage:
         self.spark = spark
         self.sf_dir = sf_dir
         self._raw = raw
+        self._filled: dict[str, DataFrame] = {}
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -38,21 +42,37 @@ class Lineage:
     def filled(self) -> DataFrame:
         return fill_defaults(self.raw)
 
+    def filled_for(self, name: str) -> DataFrame:
+        """The raw rows as core table ``name`` reads them: its columns, and copies only where it keeps them."""
+        if self._raw is not None:
+            return self.filled
+        if name not in self._filled:
+            columns = normalize.RAW_COLUMNS[name]
+            raw = raw_order_lines(self.spark, self.sf_dir, columns, name in normalize.KEEPS_COPIES)
+            self._filled[name] = fill_defaults(raw, [c for c in RAW_ZERO_DEFAULTS if c in columns])
+        return self._filled[name]
+
     def core(self, name: str) -> DataFrame:
-        return normalize.CORE_BUILDERS[name](self.filled)
+        return normalize.CORE_BUILDERS[name](self.filled_for(name))
 
     def core_with_keys(self, name: str) -> DataFrame:
         """Core table in contract shape, with its sequence key when it has one (K9)."""
-        return core_table(self.filled, name)
+        return core_table(self.filled_for(name), name)
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        """Core stores for look-ups.  A store is a nation of the source, so few nations make few stores."""
+        few = self._raw is None and source_table(self.spark, self.sf_dir, "nation").count() <= FEW_STORES
+        return F.broadcast(self.core("stores")) if few else self.core("stores")
 
     @cached_property
     def orders_enriched(self) -> DataFrame:
-        return orders_mart.orders_enriched(self.core("orders"), self.core("stores"))
+        return orders_mart.orders_enriched(self.core("orders"), self.stores)
 
     @cached_property
     def dm_orders(self) -> DataFrame:
         return orders_mart.build_dm_orders(self.core("orders"), self.core("order_items"),
-                                           self.core("order_drivers"), self.core("stores"))
+                                           self.core("order_drivers"), self.stores)
 
     @cached_property
     def dm_items_base(self) -> DataFrame:
@@ -62,10 +82,17 @@ class Lineage:
     @cached_property
     def dm_items(self) -> DataFrame:
         return items_mart.build_dm_items(self.orders_enriched, self.core("order_items"),
-                                         self.core("items"), self.core("stores"))
+                                         self.core("items"), self.stores)
+
+    @cached_property
+    def dm_items_read(self) -> DataFrame:
+        """``dm_items`` for readers that take no rank: what only the ranks need leaves their plans."""
+        return items_mart.build_dm_items(self.orders_enriched, self.core("order_items"),
+                                         self.core("items"), self.stores, method="dealt")
 
     def mart(self, name: str) -> DataFrame:
-        return {"dm_orders": lambda: self.dm_orders, "dm_items": lambda: self.dm_items}[name]()
+        """A mart for reports and checks, none of which takes a rank."""
+        return {"dm_orders": lambda: self.dm_orders, "dm_items": lambda: self.dm_items_read}[name]()
 
 
 def _core_query(name):
@@ -135,7 +162,7 @@ def _not_null_core(L):
 
 def _not_null_marts(L):
     return quality.check_not_null(L.dm_orders, DM_ORDERS).unionByName(
-        quality.check_not_null(L.dm_items, DM_ITEMS))
+        quality.check_not_null(L.mart("dm_items"), DM_ITEMS))
 
 
 def _build_registry() -> dict[str, Callable[[Lineage], DataFrame]]:

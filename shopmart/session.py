@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -44,7 +45,7 @@ def local_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
-TASK_ROWS = 1 << 17     # raw rows that a task of a join, an aggregate or a window is given
+TASK_ROWS = 1 << 18     # raw rows that a task of a join, an aggregate or a window is given; the driver keeps tasks times tasks sizes for each exchange
 MOST_PARTITIONS = 1 << 13
 MERGED_TASKS = 8        # tasks' rows that may still be merged into one
 
@@ -76,6 +77,23 @@ def sized_session(spark: SparkSession, rows: int) -> SparkSession:
     return sized
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Shuffle files of the queries run inside go as soon as each ends, not when the driver collects garbage.
+
+    For jobs whose answer alone counts.  A query of another thread that starts meanwhile loses its files at its end too.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
