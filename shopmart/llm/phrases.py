@@ -5,11 +5,13 @@ double-array trie holds the Apriori-safe candidates of k words; numpy advances t
 positions at once, word by word, and positions whose phrase of k words, and whose phrase of k words one
 word on, are both candidates yield a (node, next word) pair.  Pairs are summed by Spark; those that reach
 the least count, joined back to their words, are the candidates of k + 1 words.  The next word goes by
-its hash, which can only make a candidate too many: a last pass over the tries of all candidates bincounts
+its hash, which can only make a candidate too many: a last pass over the trie of all candidates bincounts
 the accepting states, and the sums over all tasks are the exact counts.
 
-A trie holds at most ``TRIE_PHRASES`` phrases; more candidates are dealt by hash to several tries,
-which take the texts one after the other.  So the driver and a broadcast hold one trie at a time.
+A trie holds at most ``TRIE_PHRASES`` phrases.  With more candidates, as large corpora have, several tries would
+mean a pass over all texts for each; then phrases go by hash (``_by_hash``): the levels' candidates are bits of
+their hashes, of bounded size, so a level is one pass whatever their number, and a last pass counts the
+phrases themselves, word for word, wherever the bits hold.
 
 Defined results: a null text is empty, a null language is ``und``; repeated rows count each; a
 text of any length is worked on whole, so phrases across the borders of work blocks are found.
@@ -17,6 +19,7 @@ text of any length is worked on whole, so phrases across the borders of work blo
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +29,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopmart.llm import runs
-from shopmart.llm.bytehash import blocks, prefix, span_hash, text_bytes
+from shopmart.llm.bytehash import BASE, blocks, mix, prefix, span_hash, text_bytes
 from shopmart.llm.common import cut
 from shopmart.llm.double_array import DoubleArray, build
+from shopmart.session import shuffles_removed
 
-TRIE_PHRASES = 1 << 19
+TRIE_PHRASES = 1 << 16  # the driver lays a trie out in Python; more phrases go by hash
 BLOCK = 1 << 21  # bytes of text worked on at a time; the arrays of a block take tens of times as many
 BATCH_ROWS = 1 << 16  # rows that leave a task at once: the JVM holds a batch outside its heap
+MOST_BITS = 28  # a level's candidates are 2^28 bits (32 MB) at most, 16 for each while there are fewer
+BUCKET_BITS = 15  # of a row of bits, as Spark's bitmap functions have it
 WIDE = 64  # counts in a row of partial sums
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = runs.byte_class(BREAKS)
@@ -73,6 +79,12 @@ def _batches(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
         yield rows.slice(lo, BATCH_ROWS)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df``, written to the shared checkpoint folder; its shuffle files go."""
+    with shuffles_removed(df.sparkSession):
+        return cut(df.select("*"))  # planned anew, under that setting
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
 
@@ -130,53 +142,45 @@ class _Trie:
             state = following
 
 
-def _tries(phrases: DataFrame) -> Iterator[tuple[_Trie, bool, DataFrame]]:
-    """(trie, is it the only one, its phrases with node and place among the nodes), one at a time."""
-    total = phrases.count()
-    shards = -(-total // TRIE_PHRASES)
-    for shard in range(shards):
-        own = phrases if shards == 1 else phrases.where(
-            F.pmod(F.xxhash64("lang", "words"), F.lit(shards)) == shard)
-        table = own.select("lang", "words").toArrow()
-        if table.num_rows:
-            trie = _Trie(table)
-            slots = np.argsort(np.argsort(trie.nodes))
-            yield trie, shards == 1, phrases.sparkSession.createDataFrame(
-                table.append_column("node", pa.array(trie.nodes)).append_column("slot", pa.array(slots)))
+def _trie(phrases: DataFrame) -> tuple[_Trie, DataFrame] | None:
+    """The trie of the phrases, and the phrases with node and place among the nodes."""
+    table = phrases.select("lang", "words").toArrow()
+    if not table.num_rows:
+        return None
+    trie = _Trie(table)
+    slots = np.argsort(np.argsort(trie.nodes))
+    return trie, phrases.sparkSession.createDataFrame(
+        table.append_column("node", pa.array(trie.nodes)).append_column("slot", pa.array(slots)))
 
 
 def _extend(docs: DataFrame, phrases: DataFrame, words: DataFrame, least: int) -> DataFrame | None:
     """Candidates one word longer: (lang, words), all their shorter phrases candidates too."""
-    found = None
-    for trie, alone, names in _tries(phrases):
-        def pairs(batches, trie=trie, alone=alone):
-            for block, langs in _blocks(batches):
-                for state in trie.walk(block, langs):
-                    pass
-                size = trie.depth
-                if len(state) <= size:
-                    continue
-                at = np.flatnonzero(state[:-size] >= 0)
-                at = at[block.piece[at] == block.piece[at + size]]
-                if alone:  # the phrase one word on is known here as well
-                    at = at[state[at + 1] >= 0]
-                spelled = np.int64(len(block.distinct))
-                keys, n = np.unique(state[at] * spelled + block.ids[at + size], return_counts=True)
-                node, word = np.divmod(keys, spelled)
-                yield from _batches({
-                    "node": pa.array(node), "word_hash": pa.array(block.hashes[word]), "n": pa.array(n)})
-
-        often = (_texts(docs).mapInArrow(pairs, "node bigint, word_hash bigint, n bigint")
-                 .groupBy("node", "word_hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
-        longer = (often.join(names, "node").join(words, ["lang", "word_hash"])
-                  .select("lang", F.concat("words", F.array("word")).alias("words")))
-        longer = cut(longer)  # done with this trie before the next is made
-        found = longer if found is None else found.unionByName(longer)
-    if found is None:
+    made = _trie(phrases)
+    if made is None:
         return None
-    end = F.expr("slice(words, 2, size(words) - 1)")
-    return found.join(phrases.select("lang", F.col("words").alias("end")),
-                      (phrases["lang"] == found["lang"]) & (F.col("end") == end), "left_semi")
+    trie, names = made
+
+    def pairs(batches):
+        for block, langs in _blocks(batches):
+            for state in trie.walk(block, langs):
+                pass
+            size = trie.depth
+            if len(state) <= size:
+                continue
+            at = np.flatnonzero(state[:-size] >= 0)
+            at = at[block.piece[at] == block.piece[at + size]]
+            at = at[state[at + 1] >= 0]
+            spelled = np.int64(len(block.distinct))
+            keys, n = np.unique(state[at] * spelled + block.ids[at + size], return_counts=True)
+            node, word = np.divmod(keys, spelled)
+            yield from _batches({
+                "node": pa.array(node), "word_hash": pa.array(block.hashes[word]), "n": pa.array(n)})
+
+    often = (_texts(docs).mapInArrow(pairs, "node bigint, word_hash bigint, n bigint")
+             .groupBy("node", "word_hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+    longer = (often.join(names, "node").join(words, ["lang", "word_hash"])
+              .select("lang", F.concat("words", F.array("word")).alias("words")))
+    return _kept(longer)
 
 
 def _counted(docs: DataFrame, phrases: DataFrame) -> DataFrame | None:
@@ -185,43 +189,161 @@ def _counted(docs: DataFrame, phrases: DataFrame) -> DataFrame | None:
     A task's sums leave it as rows of ``WIDE`` neighbouring counts each, which Spark
     adds column by column.
     """
-    found = None
+    made = _trie(phrases)
+    if made is None:
+        return None
+    trie, names = made
     columns = [f"c{i}" for i in range(WIDE)]
-    for trie, _, names in _tries(phrases):
-        def states(batches, trie=trie):
-            total = np.zeros(len(trie.array.check), np.int64)
-            for block, langs in _blocks(batches):
-                reached = [state[state >= 0] for state in trie.walk(block, langs)]
-                total += np.bincount(np.concatenate(reached), minlength=len(total))
-            sums = total[np.sort(trie.nodes)]  # of accepting states, not of mere beginnings
-            sums = np.append(sums, np.zeros(-len(sums) % WIDE, np.int64)).reshape(-1, WIDE)
-            chunks = np.flatnonzero(sums.any(axis=1))
-            for lo in range(0, len(chunks), 4096):
-                part = chunks[lo: lo + 4096]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part), *(pa.array(c) for c in sums[part].T)], ["chunk", *columns])
-
-        sums = (_texts(docs).mapInArrow(states, ", ".join(f"{c} bigint" for c in ["chunk", *columns]))
-                .groupBy("chunk").agg(*(F.sum(c).alias(c) for c in columns))
-                .select("chunk", F.posexplode(F.array(*columns)).alias("place", "a"))
-                .select((F.col("chunk") * WIDE + F.col("place")).alias("slot"), "a"))
-        part = cut(sums.join(names, "slot").select("lang", "words", "a"))
-        found = part if found is None else found.unionByName(part)
-    return found
+
+    def states(batches):
+        total = np.zeros(len(trie.array.check), np.int64)
+        for block, langs in _blocks(batches):
+            reached = [state[state >= 0] for state in trie.walk(block, langs)]
+            total += np.bincount(np.concatenate(reached), minlength=len(total))
+        sums = total[np.sort(trie.nodes)]  # of accepting states, not of mere beginnings
+        sums = np.append(sums, np.zeros(-len(sums) % WIDE, np.int64)).reshape(-1, WIDE)
+        chunks = np.flatnonzero(sums.any(axis=1))
+        for lo in range(0, len(chunks), 4096):
+            part = chunks[lo: lo + 4096]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), *(pa.array(c) for c in sums[part].T)], ["chunk", *columns])
+
+    sums = (_texts(docs).mapInArrow(states, ", ".join(f"{c} bigint" for c in ["chunk", *columns]))
+            .groupBy("chunk").agg(*(F.sum(c).alias(c) for c in columns))
+            .select("chunk", F.posexplode(F.array(*columns)).alias("place", "a"))
+            .select((F.col("chunk") * WIDE + F.col("place")).alias("slot"), "a"))
+    return _kept(sums.join(names, "slot").select("lang", "words", "a"))
+
+
+class _Bits:
+    """Hashes as bits, two each: every hash put in is found, and few others."""
+
+    def __init__(self, hashes: DataFrame, count: int):
+        self.size = min(MOST_BITS, max(BUCKET_BITS, (16 * count).bit_length()))
+        slots = F.array(F.shiftrightunsigned("h", 64 - self.size), F.col("h").bitwiseAND(F.lit((1 << self.size) - 1)))
+        slot = F.col("slot")
+        rows = (hashes.select(F.explode(slots).alias("slot"))
+                .select(F.shiftright(slot, BUCKET_BITS).alias("bucket"),
+                        slot.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).alias("place"))
+                .repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")))
+        width = 1 << BUCKET_BITS - 3
+        self.bits = np.zeros(1 << self.size - 3, np.uint8)
+        table = rows.toArrow()
+        for bucket, bits in zip(table["bucket"].to_pylist(), table["bits"]):
+            self.bits[bucket * width: (bucket + 1) * width] = np.frombuffer(bits.as_buffer(), np.uint8)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        one, two = hashes >> np.uint64(64 - self.size), hashes & np.uint64((1 << self.size) - 1)
+        seven = np.uint64(7)
+        return ((self.bits[one >> np.uint64(3)] >> (one & seven)) & (self.bits[two >> np.uint64(3)] >> (two & seven))
+                & 1).astype(bool)
+
+
+def _word_hashes(spelled: np.ndarray, langs: list, which: np.ndarray) -> np.ndarray:
+    """Hashes of words of a language, from those of the words and the language of each."""
+    lang = mix(np.array([zlib.crc32(name.encode()) for name in langs], np.uint64))
+    return mix(spelled ^ lang[which])
+
+
+def _walk_bits(words: _Words, langs: list, levels: list[_Bits]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per level of 1, 2, ... words: where phrases start that the bits hold, as all shorter ones inside do, and their hashes."""
+    spelled = words.hashes.view(np.uint64)[words.ids]
+    hashes = _word_hashes(spelled, langs, words.text)
+    at = np.flatnonzero(levels[0].has(hashes))
+    yield at, hashes[at]
+    for size, bits in enumerate(levels[1:], 1):
+        at, found = _longer(words, spelled, at, hashes, size)
+        good = bits.has(found)
+        at = at[good]
+        hashes[at] = found[good]
+        yield at, hashes[at]
+
+
+def _longer(words: _Words, spelled: np.ndarray, at: np.ndarray, hashes: np.ndarray,
+            size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of phrases of ``size`` + 1 words whose two phrases of ``size`` words start at ``at``, and their hashes."""
+    known = np.zeros(len(words.ids) + 1, bool)
+    known[at] = True
+    at = at[known[at + 1] & (at + size < len(words.ids))]
+    at = at[words.piece[at] == words.piece[at + size]]
+    return at, mix(hashes[at] * np.uint64(BASE) + spelled[at + size])
+
+
+def _by_hash(docs: DataFrame, words: DataFrame, least: int, longest: int) -> DataFrame:
+    """(lang, words, a) of every phrase of 2 to ``longest`` words with a >= least: one pass a level, one for the counts.
+
+    ``words`` are those that come often enough.
+    """
+    levels: list[_Bits] = []
+
+    def alone(batches):
+        for batch in batches:
+            langs, which = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+            hashes = _word_hashes(batch.column(1).to_numpy().view(np.uint64), list(langs), which)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["h"])
+
+    def grams(batches):  # of one word more than there are levels
+        for block, langs in _blocks(batches):
+            full = np.zeros(len(block.ids), np.uint64)
+            for at, hashes in _walk_bits(block, langs, levels):
+                full[at] = hashes
+            spelled = block.hashes.view(np.uint64)[block.ids]
+            keys, n = np.unique(_longer(block, spelled, at, full, len(levels))[1], return_counts=True)
+            yield from _batches({"h": pa.array(keys.view(np.int64)), "n": pa.array(n)})
+
+    def counted(batches):
+        for block, langs in _blocks(batches):
+            names, number = np.unique(np.array(langs, object), return_inverse=True)
+            spelled = np.int64(len(block.distinct))
+            phrase = number[block.text] * spelled + block.ids  # a number equal for equal phrases only
+            for size, (at, _) in enumerate(_walk_bits(block, langs, levels), 1):
+                if size > 1:
+                    phrase[at] = phrase[at] * spelled + block.ids[at + size - 1]
+                _, first, own, n = np.unique(phrase[at], return_index=True, return_inverse=True, return_counts=True)
+                phrase[at] = own
+                if size > 1 and len(first):
+                    first = at[first]
+                    parts = [block.distinct.take(pa.array(block.ids[first + i])) for i in range(size)]
+                    yield from _batches({
+                        "lang": pa.array(names[number[block.text[first]]], pa.string()),
+                        "phrase": pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
+                        .cast(pa.large_string()).cast(pa.string()),
+                        "n": pa.array(n)})
+
+    for size in range(1, longest + 1):
+        often = words.select("lang", "word_hash").mapInArrow(alone, "h bigint") if size == 1 else (
+            _texts(docs).mapInArrow(grams, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= least).select("h"))
+        often = _kept(often)
+        count = often.count()
+        if not count:
+            break
+        levels.append(_Bits(often, count))
+    if len(levels) < 2:
+        return words.select("lang", F.array("word").alias("words"), F.lit(0).cast("bigint").alias("a")).limit(0)
+    phrases = (_texts(docs).mapInArrow(counted, "lang string, phrase string, n bigint")
+               .groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
+    return _kept(phrases.select("lang", F.split("phrase", " ").alias("words"), "a"))
 
 
 def frequent_phrases(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, DataFrame]:
     """(lang, word, n of every word; lang, words, a of every phrase of 2 to ``longest`` words with a >= least)."""
-    every_word = cut(count_words(docs))
+    every_word = _kept(count_words(docs))
     often = (every_word.where(F.col("n") >= least).select("lang", "word", "word_hash"))
     level = often.select("lang", F.array("word").alias("words"))
-    candidates = None
-    for _ in range(2, longest + 1):
+    candidates, total = None, 0
+    for size in range(2, longest + 1):
+        rows = level.count()
+        total += rows if size > 2 else 0
+        if max(rows, total) > TRIE_PHRASES:
+            return every_word, _by_hash(docs, often, least, longest)
         longer = _extend(docs, level, often, least)
         if longer is None:
             break
-        level = cut(longer)
+        level = longer
         candidates = level if candidates is None else candidates.unionByName(level)
+    if total + level.count() > TRIE_PHRASES:
+        return every_word, _by_hash(docs, often, least, longest)
     counted = _counted(docs, candidates) if candidates is not None else None
     if counted is None:
         counted = level.limit(0).withColumn("a", F.lit(0).cast("bigint"))

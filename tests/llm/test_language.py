@@ -242,6 +242,19 @@ def test_phrases_of_documents_and_of_nothing(spark, docs, empty):
     assert phrases.mine_phrases(empty.withColumn("lang", F.lit("en"))).count() == 0
 
 
+@pytest.mark.parametrize("most_bits", [28, 15])
+def test_more_phrases_than_a_trie_holds_take_one_pass_a_level(spark, docs, monkeypatch, most_bits):
+    """Passes over the texts don't grow with the candidates; bits that are full make no phrase too many."""
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 20)
+    monkeypatch.setattr(phrases, "MOST_BITS", most_bits)
+    passes, texts = [], phrases._texts
+    monkeypatch.setattr(phrases, "_texts", lambda df: passes.append(1) or texts(df))
+    rows = [(r.lang, r.text) for r in docs.select("lang", "text").collect()]
+    got = sorted(map(tuple, phrases.mine_phrases(docs, min_count=12, longest=5, top=300).collect()))
+    assert got == brute_phrases(rows, 12, 5, 300)
+    assert len(passes) == 1 + 4 + 1  # words, the levels of two words and more, counts
+
+
 def test_phrase_blocks_bound_a_task():
     """The arrays of a task follow the block of text and leave it in small batches."""
     texts = [" ".join(f"w{i % 4999}, x" for i in range(j, j + 100_000)) for j in range(12)]
